@@ -1,0 +1,7 @@
+"""Operators that hold no state and so work on streams without change."""
+
+from movecheck.operators.conform import conform
+from movecheck.operators.decimals import cast_elements, fit_decimals
+from movecheck.operators.drift import align_to
+
+__all__ = ["align_to", "cast_elements", "conform", "fit_decimals"]
