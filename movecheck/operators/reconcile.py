@@ -18,7 +18,7 @@ from movecheck.operators.tidy import in_groups
 ONLY_LEFT = "only_left"
 ONLY_RIGHT = "only_right"
 
-SIDE, N_LEFT, N_RIGHT = "side", "n_left", "n_right"
+SIDE, COPIES = "side", "n_copies"
 # Copies of one row made by one task when a bag difference is written out.
 COPIES_PER_TASK = 100_000
 
@@ -47,53 +47,61 @@ def _rounded(value: Column, dtype: T.DataType, scale: int) -> Column:
     return value
 
 
-def _row_counts(
-    left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]], tolerance_scale: int | None
+def _grouped(
+    left: DataFrame,
+    right: DataFrame,
+    pairs: Sequence[tuple[str, str]],
+    tolerance_scale: int | None,
+    multiset: bool,
 ) -> DataFrame:
-    """Each distinct row with its number of copies on either side.
+    """Each distinct row with one number that tells on which side it is.
 
     Both sides are tagged and united, so one shuffle compares them, and copies
-    of a row collapse in the map tasks before it.
+    of a row collapse in the map tasks before it. The number, ``__mark``, is
+    the excess of left over right copies for bags, and for sets 1 (left), 2
+    (right) or 3 (both).
     """
+    tags = (F.lit(1), F.lit(-1)) if multiset else (F.lit(1), F.lit(2))
     sides = []
-    for spot, df in enumerate((left, right)):
+    for spot, (df, tag) in enumerate(zip((left, right), tags)):
         columns = []
-        for a, b in pairs:
-            own = df.schema[(a, b)[spot]].dataType
-            shared = common_type(left.schema[a].dataType, right.schema[b].dataType)
-            value = comparable(column((a, b)[spot]), own, shared)
+        for pair in pairs:
+            own = df.schema[pair[spot]].dataType
+            shared = common_type(left.schema[pair[0]].dataType, right.schema[pair[1]].dataType)
+            value = comparable(column(pair[spot]), own, shared)
             if tolerance_scale is not None:
                 value = _rounded(value, shared, tolerance_scale)
-            columns.append(value.alias(a))
-        tags = [F.lit(int(spot == 0)).cast("bigint"), F.lit(int(spot == 1)).cast("bigint")]
-        sides.append(df.select(*columns, tags[0].alias(N_LEFT), tags[1].alias(N_RIGHT)))
+            columns.append(value.alias(pair[0]))
+        sides.append(df.select(*columns, tag.cast("bigint" if multiset else "tinyint").alias("__tag")))
+    mark = F.sum("__tag") if multiset else F.bit_or("__tag")
     names = [column(a) for a, _ in pairs]
-    return (
-        sides[0].unionAll(sides[1]).groupBy(*names)
-        .agg(F.sum(N_LEFT).alias(N_LEFT), F.sum(N_RIGHT).alias(N_RIGHT))
-    )
+    return sides[0].unionAll(sides[1]).groupBy(*names).agg(mark.alias("__mark"))
+
+
+def _check_names(pairs: Sequence[tuple[str, str]], *reserved: str) -> None:
+    taken = {*reserved} & {a.lower() for a, _ in pairs}
+    if taken:
+        raise ValueError(f"column name in use by the result: {', '.join(sorted(taken))}")
 
 
 @dataclass(frozen=True)
 class Reconciliation:
     """The rows two tables do not share.
 
-    ``rows`` has the column ``side``, the compared columns, and the copies of
-    the row on the left and on the right.
+    ``rows`` has the column ``side`` and the compared columns; for bags also
+    ``n_copies``, how many more copies that side has.
     """
 
     rows: DataFrame
     columns: tuple[str, ...]
     multiset: bool
 
-    def _excess(self) -> Column:
-        return F.abs(F.col(N_LEFT) - F.col(N_RIGHT)) if self.multiset else F.lit(1).cast("bigint")
-
     def counts(self) -> DataFrame:
         """Two rows, one per side, with the number of rows found only there."""
+        copies = F.col(COPIES) if self.multiset else F.lit(1).cast("bigint")
         totals = self.rows.agg(
             *[
-                F.coalesce(F.sum(F.when(F.col(SIDE) == side, self._excess())), F.lit(0).cast("bigint")).alias(side)
+                F.coalesce(F.sum(F.when(F.col(SIDE) == side, copies)), F.lit(0).cast("bigint")).alias(side)
                 for side in (ONLY_LEFT, ONLY_RIGHT)
             ]
         )
@@ -124,18 +132,20 @@ class Reconciliation:
         Large numbers of copies are cut into slices that are spread over the
         cluster before they are written out.
         """
+        if not self.multiset:
+            return self.rows
         names = [column(name) for name in self.columns]
-        kept = self.rows.select(SIDE, *names, self._excess().alias("__copies"))
-        last = F.floor((F.col("__copies") - 1) / COPIES_PER_TASK)
-        sliced = kept.withColumn("__slice", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
-        spread = sliced.repartition(SIDE, *names, "__slice") if self.multiset else sliced
+        last = F.floor((F.col(COPIES) - 1) / COPIES_PER_TASK)
+        slices = self.rows.withColumn("__slice", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
         size = F.least(
-            F.col("__copies") - F.col("__slice") * COPIES_PER_TASK,
+            F.col(COPIES) - F.col("__slice") * COPIES_PER_TASK,
             F.lit(COPIES_PER_TASK).cast("bigint"),
         )
-        return spread.withColumn(
-            "__copy", F.explode(F.sequence(F.lit(1).cast("bigint"), size))
-        ).select(SIDE, *names)
+        return (
+            slices.repartition(SIDE, *names, "__slice")
+            .withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("bigint"), size)))
+            .select(SIDE, *names)
+        )
 
     def is_empty(self) -> bool:
         return self.rows.isEmpty()
@@ -156,31 +166,32 @@ def reconcile(
     ``tolerance_scale`` rounds floats to that many places first.
     """
     pairs = _shared_columns(left, right, cols)
-    taken = {SIDE, N_LEFT, N_RIGHT} & {a.lower() for a, _ in pairs}
-    if taken:
-        raise ValueError(f"column name in use by the result: {', '.join(sorted(taken))}")
-    counts = _row_counts(left, right, pairs, tolerance_scale)
-    l, r = F.col(N_LEFT), F.col(N_RIGHT)
+    _check_names(pairs, SIDE, COPIES)
+    grouped = _grouped(left, right, pairs, tolerance_scale, multiset)
+    mark = F.col("__mark")
+    names = tuple(a for a, _ in pairs)
     if multiset:
-        side = F.when(l > r, ONLY_LEFT).when(l < r, ONLY_RIGHT)
+        differing, on_left = grouped.filter(mark != 0), mark > 0
+        extra = [F.abs(mark).alias(COPIES)]
     else:
-        side = F.when(r == 0, ONLY_LEFT).when(l == 0, ONLY_RIGHT)
-    names = tuple(a for a, _ in pairs)
-    rows = counts.select(side.alias(SIDE), *[column(n) for n in names], l, r)
-    return Reconciliation(rows.filter(F.col(SIDE).isNotNull()), names, multiset)
+        differing, on_left = grouped.filter(mark != 3), mark == 1
+        extra = []
+    side = F.when(on_left, ONLY_LEFT).otherwise(ONLY_RIGHT)
+    rows = differing.select(side.alias(SIDE), *[column(n) for n in names], *extra)
+    return Reconciliation(rows, names, multiset)
 
 
 # What became of a key that is not equal on both sides.
 CHANGED = "changed"
 AMBIGUOUS = "ambiguous"
+N_ROWS = ("n_left", "n_right")
 
 
 @dataclass(frozen=True)
 class KeyReconciliation:
     """Keys whose rows differ, with both versions of every compared column.
 
-    ``rows`` has the keys, ``status``, the copies in excess on either side
-    and, per compared column, ``left_<name>`` and ``right_<name>``.
+    ``rows`` has the keys, ``status``, the rows in excess on either side and, per compared column, ``left_<name>`` and ``right_<name>``.
     """
 
     rows: DataFrame
@@ -233,19 +244,17 @@ def reconcile_by_key(
     pairs = _shared_columns(left, right, cols)
     key_names = resolve(left, keys)
     others = [a for a, _ in pairs if a not in key_names]
-    taken = {"status", N_LEFT, N_RIGHT} & {a.lower() for a, _ in pairs}
-    if taken:
-        raise ValueError(f"column name in use by the result: {', '.join(sorted(taken))}")
+    _check_names(pairs, "status", *N_ROWS)
     if not others:
         raise ValueError("no column to compare besides the keys")
-    excess = F.col(N_LEFT) - F.col(N_RIGHT)
+    excess = F.col("__mark")
     # What remains after the first shuffle is as small as the difference is.
-    residue = _row_counts(left, right, pairs, tolerance_scale).filter(excess != 0)
+    residue = _grouped(left, right, pairs, tolerance_scale, multiset=True).filter(excess != 0)
     sides = (("left", excess > 0), ("right", excess < 0))
     by_key = residue.groupBy(*[column(k) for k in key_names]).agg(
         *[
             F.coalesce(F.sum(F.when(on_side, F.abs(excess))), F.lit(0).cast("bigint")).alias(name)
-            for name, (_, on_side) in zip((N_LEFT, N_RIGHT), sides)
+            for name, (_, on_side) in zip(N_ROWS, sides)
         ],
         *[
             F.max(F.when(on_side, column(name))).alias(f"{side}_{name}")
@@ -253,7 +262,7 @@ def reconcile_by_key(
             for name in others
         ],
     )
-    l, r = F.col(N_LEFT), F.col(N_RIGHT)
+    l, r = map(F.col, N_ROWS)
     status = (
         F.when(r == 0, ONLY_LEFT).when(l == 0, ONLY_RIGHT)
         .when((l == 1) & (r == 1), CHANGED).otherwise(AMBIGUOUS)
@@ -264,6 +273,6 @@ def reconcile_by_key(
         for side, _ in sides
     ]
     rows = by_key.withColumn("status", status).select(
-        *[column(k) for k in key_names], "status", N_LEFT, N_RIGHT, *shown
+        *[column(k) for k in key_names], "status", *N_ROWS, *shown
     )
     return KeyReconciliation(rows, tuple(key_names), tuple(others))
