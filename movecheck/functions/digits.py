@@ -11,8 +11,6 @@ Two rules exist because the two ways to profile a number disagree:
 
 from __future__ import annotations
 
-from typing import NamedTuple
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,12 +18,6 @@ from pyspark.sql import types as T
 WIDE_DECIMAL = T.DecimalType(38, 18)
 
 
-class Digits(NamedTuple):
-    precision: Column
-    integer_digits: Column
-    scale: Column
-
-
 def plain_text(value: Column, dtype: T.DataType) -> Column:
     """``abs(value)`` without an exponent; null where that cannot be had.
 
@@ -47,29 +39,24 @@ def plain_text(value: Column, dtype: T.DataType) -> Column:
     )
 
 
-def count_digits(text: Column, strip_zeros: bool = False) -> Digits:
-    """Digit counts of a plain text."""
-    if strip_zeros:
-        text = F.when(
-            F.instr(text, ".") > 0, F.rtrim(F.rtrim(text, F.lit("0")), F.lit("."))
-        ).otherwise(text)
-    point, size = F.instr(text, "."), F.length(text)
-    return Digits(
-        F.when(point > 0, size - 1).otherwise(size),
-        F.when(point > 0, point - 1).otherwise(size),
-        F.when(point > 0, size - point).otherwise(F.when(size.isNotNull(), F.lit(0))),
-    )
+def without_end_zeros(text: Column) -> Column:
+    """A plain text without zeros at the end of its fraction."""
+    bare = F.rtrim(F.rtrim(text, F.lit("0")), F.lit("."))
+    return F.when(F.instr(text, ".") > 0, bare).otherwise(text)
 
 
-def signed_text_digits(value: Column, dtype: T.DataType) -> tuple[Column, Column]:
-    """(characters before the point, characters after it) by the signed text rule."""
-    sign = F.when(value < 0, 1).otherwise(0)
-    if isinstance(dtype, (T.FloatType, T.DoubleType)):
-        return _float_text_digits(value.cast("double"), sign)
-    if isinstance(dtype, T.DecimalType) and dtype.scale > 0:
-        return _decimal_text_digits(value, dtype, sign)
-    text = value.cast("string")
-    return F.length(F.ltrim(text, F.lit("-"))), F.length(text)
+def plain_digits(size: Column, point: Column) -> dict[str, Column]:
+    """Digit counts from a plain text's length and the place of its point."""
+    return {
+        "precision": F.when(point > 0, size - 1).otherwise(size),
+        "integer_digits": F.when(point > 0, point - 1).otherwise(size),
+        "scale": F.when(point > 0, size - point).when(size.isNotNull(), F.lit(0)),
+    }
+
+
+def integer_digits(value: Column) -> Column:
+    """Digits before the point of a whole number or decimal."""
+    return F.length(F.substring_index(F.ltrim(value.cast("string"), F.lit("-")), ".", 1))
 
 
 def _scientific(n_digits: Column, exponent_size: Column, sign: Column) -> tuple[Column, Column]:
@@ -82,46 +69,54 @@ def _scientific(n_digits: Column, exponent_size: Column, sign: Column) -> tuple[
     )
 
 
-def _decimal_text_digits(value: Column, dtype: T.DecimalType, sign: Column) -> tuple[Column, Column]:
-    # A decimal's text takes an exponent once its first digit is more than six
-    # places after the point.
-    text = F.abs(value).cast("string")
-    point = F.instr(text, ".")
-    n_digits = F.greatest(F.length(F.ltrim(F.translate(text, ".", ""), F.lit("0"))), F.lit(1))
-    exponent = n_digits - 1 - F.lit(dtype.scale)
-    before, after = _scientific(n_digits, F.length(F.abs(exponent).cast("string")), sign)
-    return (
-        F.when(exponent < -6, before).otherwise(point - 1),
-        F.when(exponent < -6, after).otherwise(F.length(text) - point),
-    )
+def text_parts(value: Column, dtype: T.DataType) -> dict[str, Column]:
+    """What the signed text rule needs to know of a float or decimal."""
+    return {
+        "sign": F.when(value < 0, 1).otherwise(0),
+        "text": F.abs(value.cast("double") if isinstance(dtype, T.FloatType) else value).cast("string"),
+    }
 
 
-def _float_text_digits(value: Column, sign: Column) -> tuple[Column, Column]:
-    size = F.abs(value)
-    text = size.cast("string")
-    point, mark = F.instr(text, "."), F.instr(text, "E")
-    # Inside 1e-3..1e7 the text has no exponent and can be measured directly.
-    plain = (point - 1, F.length(text) - point)
-
-    exponent = F.substring_index(text, "E", -1).try_cast("int")
-    mantissa = F.substring_index(text, "E", 1)
-    n_digits = F.length(F.rtrim(F.translate(mantissa, ".", ""), F.lit("0")))
-    sized = F.length(F.abs(exponent).cast("string"))
-    scientific = _scientific(n_digits, sized, sign)
-    # An integral float below 1e16 keeps its ".0"; from there on its text is
-    # an integer as long as all digits are significant.
+def text_measures(text: Column, sign: Column, dtype: T.DataType) -> dict[str, Column]:
+    """Numbers that the sizes follow from; the costly ones only where needed."""
+    measures = {"size": F.length(text), "point": F.instr(text, "."), "sign": sign}
+    if isinstance(dtype, T.DecimalType):
+        n_digits = F.length(F.ltrim(F.translate(text, ".", ""), F.lit("0")))
+        return measures | {"n_digits": F.greatest(n_digits, F.lit(1))}
+    marked = F.instr(text, "E") > 0
+    mantissa = F.translate(F.substring_index(text, "E", 1), ".", "")
+    return measures | {
+        "exponent": F.when(marked, F.substring_index(text, "E", -1).cast("int")),
+        "n_digits": F.when(marked, F.length(F.rtrim(mantissa, F.lit("0")))),
+    }
+
+
+def signed_text_sizes(m: dict[str, Column], dtype: T.DataType) -> tuple[Column, Column]:
+    """(characters before the point, characters after it) by the signed text rule."""
+    size, point, sign, n_digits = m["size"], m["point"], m["sign"], m["n_digits"]
+    if isinstance(dtype, T.DecimalType):
+        # The text takes an exponent once its first digit is more than six
+        # places after the point.
+        exponent = n_digits - 1 - F.lit(dtype.scale)
+        before, after = _scientific(n_digits, F.length(F.abs(exponent).cast("string")), sign)
+        return (
+            F.when(exponent < -6, before).otherwise(point - 1),
+            F.when(exponent < -6, after).otherwise(size - point),
+        )
+    # A float's text has a point within 1e-3..1e7, an exponent outside it, and
+    # neither only if it is NaN or infinite. In the general decimal text an
+    # integral float below 1e16 keeps its ".0"; from there on it is an integer
+    # as long as all its digits are significant.
+    exponent = m["exponent"]
+    before, after = _scientific(n_digits, F.length(F.abs(exponent).cast("string")), sign)
     cases = (
-        ((exponent >= 0) & (exponent < 16),
-         (exponent + 1, F.greatest(n_digits - 1 - exponent, F.lit(1)))),
-        ((exponent >= 16) & (exponent < n_digits), (exponent + 1, exponent + 1 + sign)),
-        ((exponent < 0) & (exponent >= -6), (F.lit(1), n_digits - 1 - exponent)),
+        (exponent.isNull() & (point > 0), point - 1, size - point),
+        (exponent.isNull(), size, size + sign),
+        ((exponent >= 0) & (exponent < 16), exponent + 1, F.greatest(n_digits - 1 - exponent, F.lit(1))),
+        ((exponent >= 16) & (exponent < n_digits), exponent + 1, exponent + 1 + sign),
+        ((exponent < 0) & (exponent >= -6), F.lit(1), n_digits - 1 - exponent),
     )
-    named = F.length(text)
-    result = []
-    for part in (0, 1):
-        out = F.when(F.isnan(value), 3).when(size == F.lit(float("inf")), named + (sign if part else 0))
-        out = out.when(mark == 0, plain[part])
-        for condition, sizes in cases:
-            out = out.when(condition, sizes[part])
-        result.append(F.when(value.isNotNull(), out.otherwise(scientific[part])))
-    return result[0], result[1]
+    found = (before, after)
+    for condition, *sizes in reversed(cases):
+        found = tuple(F.when(condition, own).otherwise(rest) for own, rest in zip(sizes, found))
+    return tuple(F.when(size.isNotNull(), one) for one in found)

@@ -9,7 +9,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from movecheck.functions.digits import count_digits, plain_text, signed_text_digits
+from movecheck.functions.digits import (
+    integer_digits,
+    plain_digits,
+    plain_text,
+    signed_text_sizes,
+    text_measures,
+    text_parts,
+    without_end_zeros,
+)
 from movecheck.functions.names import column, resolve
 from movecheck.functions.types import FLOAT_TYPES, INTEGRAL_TYPES
 from movecheck.operators.tidy import in_groups, text
@@ -30,6 +38,10 @@ def _has_type(dtype: T.DataType, part: type) -> bool:
     return isinstance(dtype, part)
 
 
+def _layer(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    return df.select("*", *[value.alias(name) for name, value in columns.items()])
+
+
 class _ColumnProfile:
     """The aggregates one column needs and the result row they make.
 
@@ -38,105 +50,117 @@ class _ColumnProfile:
     the smallest and largest value say it all.
     """
 
-    def __init__(self, name: str, dtype: T.DataType, alias: str, strip_zeros: bool, approx: bool):
-        self.name, self.dtype, self.alias = name, dtype, alias
-        self.strip_zeros, self.approx = strip_zeros, approx
+    def __init__(self, name: str, dtype: T.DataType, alias: str, strip_zeros: bool):
+        self.name, self.dtype, self.alias, self.strip_zeros = name, dtype, alias, strip_zeros
         self.numeric = isinstance(dtype, NUMERIC_TYPES)
+        self.textual = isinstance(dtype, T.StringType)
         self.by_value = isinstance(dtype, FLOAT_TYPES) or (
             strip_zeros and isinstance(dtype, T.DecimalType) and dtype.scale > 0
         )
         self.ranged = isinstance(dtype, T.AtomicType) and not isinstance(dtype, T.BinaryType)
         self.countable = not _has_type(dtype, T.MapType)
 
+    def kind(self) -> str:
+        """Columns of one kind share an aggregate that the JVM compiles well."""
+        return "measured" if self.by_value else "text" if self.textual else "plain"
+
     def out(self, what: str) -> str:
         return f"{self.alias}_{what}"
 
-    def inputs(self) -> list[Column]:
-        value = column(self.name)
-        columns = [value.alias(self.out("value"))]
-        if self.by_value:
-            columns.append(plain_text(value, self.dtype).alias(self.out("text")))
-        return columns
+    def texts(self) -> dict[str, Column]:
+        if not self.by_value:
+            return {}
+        found = plain_text(F.col(self.alias), self.dtype)
+        return {self.out("text"): without_end_zeros(found) if self.strip_zeros else found}
+
+    def sizes(self) -> dict[str, Column]:
+        if not self.by_value:
+            return {}
+        found = F.col(self.out("text"))
+        return {self.out("size"): F.length(found), self.out("point"): F.instr(found, ".")}
 
     def aggregates(self) -> list[Column]:
-        value = F.col(self.out("value"))
+        value = F.col(self.alias)
         wanted = {"n": F.count(value)}
         if self.ranged:
             wanted |= {"min": F.min(value), "max": F.max(value)}
-        if self.approx and self.countable:
-            wanted["distinct"] = F.approx_count_distinct(value)
-        if isinstance(self.dtype, T.StringType):
+        if self.textual:
             wanted["length"] = F.max(F.length(value))
         if self.by_value:
-            measured = F.col(self.out("text"))
-            digits = count_digits(measured, self.strip_zeros)
-            wanted |= {
-                "precision": F.max(digits.precision),
-                "integer": F.max(digits.integer_digits),
-                "scale": F.max(digits.scale),
-                "measured": F.count(measured),
-            }
+            size = F.col(self.out("size"))
+            digits = plain_digits(size, F.col(self.out("point")))
+            wanted |= {what: F.max(count) for what, count in digits.items()}
+            wanted["measured"] = F.count(size)
         return [agg.alias(self.out(what)) for what, agg in wanted.items()]
 
-    def _digits(self) -> tuple[Column, Column, Column, Column]:
-        n = F.col(self.out("n"))
+    def digits(self) -> dict[str, Column]:
+        n, out = F.col(self.out("n")), self.out
         if self.by_value:
-            precision, integer, scale = (
-                F.col(self.out(what)) for what in ("precision", "integer", "scale")
-            )
-            return precision, integer, scale, n - F.col(self.out("measured"))
+            found = {what: F.col(out(what)) for what in ("precision", "integer_digits", "scale")}
+            return found | {"unmeasured": n - F.col(out("measured"))}
         if not self.numeric:
-            none = F.lit(None).cast("int")
-            return none, none, none, F.lit(None).cast("bigint")
+            return {}
         fixed = self.dtype.scale if isinstance(self.dtype, T.DecimalType) else 0
-        ends = [
-            F.length(
-                F.substring_index(
-                    F.ltrim(F.col(self.out(end)).cast("string"), F.lit("-")), ".", 1
-                )
-            )
-            for end in ("min", "max")
-        ]
-        integer = F.greatest(*ends)
+        integer = F.greatest(integer_digits(F.col(out("min"))), integer_digits(F.col(out("max"))))
         scale = F.when(n > 0, F.lit(fixed))
-        return integer + scale, integer, scale, F.lit(0).cast("bigint")
+        return {
+            "precision": integer + scale,
+            "integer_digits": integer,
+            "scale": scale,
+            "unmeasured": F.lit(0).cast("bigint"),
+        }
 
     def row(self) -> Column:
-        n = F.col(self.out("n"))
-        empty = F.lit(None)
-        precision, integer, scale, unmeasured = self._digits()
-        ends = {
-            end: F.col(self.out(end)).cast("string") if self.ranged else empty.cast("string")
-            for end in ("min", "max")
-        }
-        distinct = self.out("distinct") if self.approx and self.countable else None
-        length = self.out("length") if isinstance(self.dtype, T.StringType) else None
+        n, digits = F.col(self.out("n")), self.digits()
+
+        def end(which: str) -> Column:
+            return F.col(self.out(which)).cast("string") if self.ranged else text(None)
+
+        no_count, no_size = F.lit(None).cast("bigint"), F.lit(None).cast("int")
         values = (
             text(self.name),
             text(self.dtype.simpleString()),
             F.col("n_rows"),
             F.col("n_rows") - n,
-            ends["min"],
-            ends["max"],
-            F.col(distinct) if distinct else empty.cast("bigint"),
-            F.col(length) if length else empty.cast("int"),
-            precision,
-            integer,
-            scale,
-            unmeasured,
+            end("min"),
+            end("max"),
+            no_count,
+            F.col(self.out("length")) if self.textual else no_size,
+            digits.get("precision", no_size),
+            digits.get("integer_digits", no_size),
+            digits.get("scale", no_size),
+            digits.get("unmeasured", no_count),
         )
         return F.struct(*[v.alias(name) for v, name in zip(values, PROFILE_COLUMNS)])
 
 
 def _profile_pass(df: DataFrame, group: Sequence[_ColumnProfile]) -> DataFrame:
-    inputs = df.select(*[c for p in group for c in p.inputs()])
+    inputs = df.select(*[column(p.name).alias(p.alias) for p in group])
+    # Texts and sizes get layers of their own: each is used several times.
+    inputs = _layer(inputs, {k: v for p in group for k, v in p.texts().items()})
+    inputs = _layer(inputs, {k: v for p in group for k, v in p.sizes().items()})
     totals = inputs.agg(
         F.count(F.lit(1)).alias("n_rows"), *[a for p in group for a in p.aggregates()]
     )
     return totals.select(F.inline(F.array(*[p.row() for p in group])))
 
 
-def _distinct_counts(df: DataFrame, names: Sequence[str]) -> DataFrame:
+def _estimated_distinct(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Estimated distinct values per column, without a shuffle of values."""
+    parts = []
+    for group in in_groups(names):
+        totals = df.agg(
+            *[F.approx_count_distinct(column(n)).alias(f"c{i}") for i, n in enumerate(group)]
+        )
+        rows = [
+            F.struct(text(n).alias("column_name"), F.col(f"c{i}").alias("found"))
+            for i, n in enumerate(group)
+        ]
+        parts.append(totals.select(F.inline(F.array(*rows))))
+    return reduce(DataFrame.unionAll, parts)
+
+
+def _exact_distinct(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """Exact distinct values per column, one narrow branch each.
 
     Several exact counts in one aggregate would copy every input row once per
@@ -145,8 +169,8 @@ def _distinct_counts(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """
     branches = [
         df.select(column(name).alias("value"))
-        .agg(F.count_distinct("value").alias("exact"))
-        .select(text(name).alias("column_name"), "exact")
+        .agg(F.count_distinct("value").alias("found"))
+        .select(text(name).alias("column_name"), "found")
         for name in names
     ]
     return reduce(DataFrame.unionAll, branches)
@@ -157,32 +181,38 @@ def profile_columns(
     columns: Sequence[str] | None = None,
     exact_distinct: bool = False,
     strip_zeros: bool = False,
+    count_distinct: bool = True,
 ) -> DataFrame:
     """One row per column: type, nulls, range, distinct values, length, digits.
 
     Digits follow the plain rule (:mod:`movecheck.functions.digits`); values
     without a plain text are counted in ``n_unmeasured``. ``max_length`` is
-    for text columns. Distinct values are estimated unless
-    ``exact_distinct``; the estimate needs no shuffle of values.
-    ``strip_zeros`` ignores zeros at the end of a fraction.
+    for text columns. Distinct values are estimated, counted exactly on
+    request, or left out with ``count_distinct=False``. ``strip_zeros``
+    ignores zeros at the end of a fraction.
+
+    All columns of a kind (floats, text, others) are measured by one aggregate
+    over just these columns. A frame whose source is not columnar, or costly
+    to compute, should be written out before it is profiled.
     """
     names = resolve(df, columns) if columns is not None else df.columns
     if not names:
         raise ValueError("no column to profile")
     profiles = [
-        _ColumnProfile(name, df.schema[name].dataType, f"c{i}", strip_zeros, not exact_distinct)
+        _ColumnProfile(name, df.schema[name].dataType, f"c{i}", strip_zeros)
         for i, name in enumerate(names)
     ]
-    passes = [_profile_pass(df, group) for group in in_groups(profiles)]
+    passes = []
+    for kind in ("plain", "text", "measured"):
+        alike = [p for p in profiles if p.kind() == kind]
+        passes += [_profile_pass(df, group) for group in in_groups(alike)]
     result = reduce(DataFrame.unionAll, passes)
-    if not exact_distinct:
-        return result
     countable = [p.name for p in profiles if p.countable]
-    if not countable:
+    if not (count_distinct and countable):
         return result
-    counts = _distinct_counts(df, countable)
+    counts = (_exact_distinct if exact_distinct else _estimated_distinct)(df, countable)
     return result.join(counts, "column_name", "left").select(
-        *[F.col("exact").alias(c) if c == "n_distinct" else F.col(c) for c in PROFILE_COLUMNS]
+        *[F.col("found").alias(c) if c == "n_distinct" else F.col(c) for c in PROFILE_COLUMNS]
     )
 
 
@@ -200,26 +230,89 @@ def numeric_profile(df: DataFrame, name: str) -> DataFrame:
         measured = plain_text(value, dtype)
     else:
         measured = F.ltrim(value.cast("string"), F.lit("-"))
-    digits = count_digits(F.col("measured"))
-    return (
+    digits = plain_digits(F.col("size"), F.col("point"))
+    # One row per value with its frequency, so that digits are counted once per
+    # value and the distinct count is a plain count.
+    values = (
         df.filter(column(name).isNotNull())
-        .select(column(name).alias("value"))
-        # One row per value with its frequency, so that digits are counted
-        # once per value and the distinct count is a plain count.
-        .groupBy("value")
+        .groupBy(column(name).alias("value"))
         .agg(F.count(F.lit(1)).alias("copies"))
-        .withColumn("measured", measured)
-        .agg(
-            F.max(digits.precision).alias("max_precision"),
-            F.max(digits.scale).alias("max_scale"),
-            F.min("value").alias("min_value"),
-            F.max("value").alias("max_value"),
-            F.coalesce(F.sum("copies"), F.lit(0).cast("bigint")).alias("total_rows"),
-            F.count("value").alias("distinct_values"),
-        )
+        .withColumn("text", measured)
+    )
+    sized = _layer(values, {"size": F.length("text"), "point": F.instr("text", ".")})
+    return sized.agg(
+        F.max(digits["precision"]).alias("max_precision"),
+        F.max(digits["scale"]).alias("max_scale"),
+        F.min("value").alias("min_value"),
+        F.max("value").alias("max_value"),
+        F.coalesce(F.sum("copies"), F.lit(0).cast("bigint")).alias("total_rows"),
+        F.count("value").alias("distinct_values"),
     )
 
 
+class _TextDigits:
+    """The older analyser's sizes of one column."""
+
+    def __init__(self, name: str, dtype: T.DataType, alias: str):
+        self.name, self.dtype, self.alias = name, dtype, alias
+        self.numeric, self.textual = isinstance(dtype, NUMERIC_TYPES), isinstance(dtype, T.StringType)
+        fixed = dtype.scale if isinstance(dtype, T.DecimalType) else 0
+        # Up to six places a decimal's text is as long as its ends are.
+        self.by_value = isinstance(dtype, FLOAT_TYPES) or fixed > 6
+        self.fixed = fixed
+
+    def kind(self) -> str:
+        return "measured" if self.by_value else "text" if self.textual else "plain"
+
+    def out(self, what: str) -> str:
+        return f"{self.alias}_{what}"
+
+    def parts(self) -> dict[str, Column]:
+        if not self.by_value:
+            return {}
+        return {self.out(k): v for k, v in text_parts(F.col(self.alias), self.dtype).items()}
+
+    def measures(self) -> dict[str, Column]:
+        if not self.by_value:
+            return {}
+        found = text_measures(F.col(self.out("text")), F.col(self.out("sign")), self.dtype)
+        return {self.out(f"m_{k}"): v for k, v in found.items()}
+
+    def aggregates(self) -> list[Column]:
+        value, wanted = F.col(self.alias), {}
+        if self.by_value:
+            names = text_measures(value, value, self.dtype)
+            found = {k: F.col(self.out(f"m_{k}")) for k in names}
+            before, after = signed_text_sizes(found, self.dtype)
+            wanted = {"before": F.max(before), "after": F.max(after)}
+        elif self.numeric:
+            wanted = {"min": F.min(value), "max": F.max(value)}
+        elif self.textual:
+            wanted = {"length": F.max(F.length(value))}
+        return [agg.alias(self.out(what)) for what, agg in wanted.items()]
+
+    def row(self) -> Column:
+        before = after = length = F.lit(None).cast("int")
+        if self.by_value:
+            before, after = F.col(self.out("before")), F.col(self.out("after"))
+        elif self.numeric:
+            ends = [F.col(self.out(end)) for end in ("min", "max")]
+            before = F.greatest(*[integer_digits(end) for end in ends])
+            if self.fixed:
+                after = F.when(ends[0].isNotNull(), F.lit(self.fixed))
+            else:
+                after = F.greatest(*[F.length(end.cast("string")) for end in ends])
+        elif self.textual:
+            length = F.col(self.out("length"))
+        return F.struct(
+            text(self.name).alias("column_name"),
+            text(self.dtype.simpleString()).alias("data_type"),
+            before.alias("max_precision"),
+            after.alias("max_scale"),
+            length.alias("max_length"),
+        )
+
+
 def text_digit_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """One row per column with the older analyser's sizes, by the signed text rule.
 
@@ -231,31 +324,15 @@ def text_digit_profile(df: DataFrame, columns: Sequence[str] | None = None) -> D
     names = resolve(df, columns) if columns is not None else df.columns
     if not names:
         raise ValueError("no column to profile")
-    none = F.lit(None).cast("int")
-    parts = []
-    for group in in_groups(list(enumerate(names))):
-        inputs, aggregates, rows = [], [], []
-        for i, name in group:
-            dtype, value = df.schema[name].dataType, column(name)
-            found = {"max_precision": none, "max_scale": none, "max_length": none}
-            sizes = {}
-            if isinstance(dtype, NUMERIC_TYPES):
-                before, after = signed_text_digits(value, dtype)
-                sizes = {"max_precision": before, "max_scale": after}
-            elif isinstance(dtype, T.StringType):
-                sizes = {"max_length": F.length(value)}
-            for what, size in sizes.items():
-                alias = f"c{i}_{what}"
-                inputs.append(size.alias(alias))
-                aggregates.append(F.max(alias).alias(alias))
-                found[what] = F.col(alias)
-            rows.append(
-                F.struct(
-                    text(name).alias("column_name"),
-                    text(dtype.simpleString()).alias("data_type"),
-                    *[size.alias(what) for what, size in found.items()],
-                )
+    wanted = [_TextDigits(n, df.schema[n].dataType, f"c{i}") for i, n in enumerate(names)]
+    passes = []
+    for kind in ("plain", "text", "measured"):
+        for group in in_groups([w for w in wanted if w.kind() == kind]):
+            inputs = df.select(*[column(w.name).alias(w.alias) for w in group])
+            inputs = _layer(inputs, {k: v for w in group for k, v in w.parts().items()})
+            inputs = _layer(inputs, {k: v for w in group for k, v in w.measures().items()})
+            totals = inputs.agg(
+                F.count(F.lit(1)).alias("n"), *[a for w in group for a in w.aggregates()]
             )
-        totals = df.select(*inputs).agg(F.count(F.lit(1)).alias("n"), *aggregates)
-        parts.append(totals.select(F.inline(F.array(*rows))))
-    return reduce(DataFrame.unionAll, parts)
+            passes.append(totals.select(F.inline(F.array(*[w.row() for w in group]))))
+    return reduce(DataFrame.unionAll, passes)
