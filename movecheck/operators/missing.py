@@ -17,18 +17,20 @@ def _key_names(count: int) -> list[str]:
     return [f"__key{i}" for i in range(count)]
 
 
-def _once_each(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _once_each(df: DataFrame, keys: Sequence[str], null_safe: bool) -> DataFrame:
     """Each key once, in no partitioning that the coming join could reuse.
 
-    Copies of a hot key collapse inside each map task. Grouping by the keys
-    alone would leave the result partitioned for the join, which then puts an
-    aggregate between shuffle and join; adaptive execution splits hot keys of
-    the other side only if both sides come straight from a shuffle. The extra
-    grouping column, a function of the keys, brings that shuffle back; it
-    moves distinct keys only.
+    Copies of a hot key collapse inside each map task. Adaptive execution then
+    splits a hot key of the other side, but only if both sides come straight
+    from a shuffle made for the join. A null-safe join shuffles on expressions
+    of its own; for a plain one the extra grouping column, a function of the
+    keys, keeps the deduplication from standing in for that shuffle. What is
+    shuffled twice are distinct keys only.
     """
     names = _key_names(len(keys))
     renamed = df.select(*[column(k).alias(n) for k, n in zip(keys, names)])
+    if null_safe:
+        return renamed.distinct()
     return renamed.withColumn("__spread", F.xxhash64(*names)).distinct().select(*names)
 
 
@@ -49,9 +51,9 @@ def missing_rows(
     if unique_target:
         known = tgt.select(*[column(k).alias(n) for k, n in zip(other, names)])
     else:
-        known = _once_each(tgt, other)
+        known = _once_each(tgt, other, null_safe)
     matches = [
-        src[f"`{k}`"].eqNullSafe(known[n]) if null_safe else src[f"`{k}`"] == known[n]
+        column(k).eqNullSafe(column(n)) if null_safe else column(k) == column(n)
         for k, n in zip(own, names)
     ]
     return src.join(known, reduce(and_, matches), "left_anti")
