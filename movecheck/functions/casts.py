@@ -2,13 +2,69 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from movecheck.functions.types import FLOAT_TYPES, INTEGRAL_TYPES, as_decimal
+
+# Texts outside these patterns cannot be cast to the type. A failed cast costs
+# the JVM an exception, some hundred times a pattern match, and a column of the
+# wrong kind fails in every row. The patterns only rule out; the cast decides.
+_PAD = r"[\x00-\x20\x7f]*"
+_WHOLE = rf"^{_PAD}[+-]?[0-9]+{_PAD}$"
+_DECIMAL = rf"^{_PAD}[+-]?\.?\p{{Nd}}[\p{{Nd}}.eE+-]*{_PAD}$"
+_FLOAT = rf"(?i)^{_PAD}[+-]?(\.?[0-9][0-9.e+-]*[df]?|0x.*|nan|inf|infinity){_PAD}$"
+_BOOLEAN = rf"(?i)^{_PAD}(t|true|y|yes|1|f|false|n|no|0){_PAD}$"
+_DATE = rf"^{_PAD}[+-]?[0-9]{{4}}"
+_TIME = rf"^{_PAD}[+-]?T?[0-9]"
+PLAUSIBLE_TEXTS = (
+    (INTEGRAL_TYPES, _WHOLE),
+    ((T.DecimalType,), _DECIMAL),
+    (FLOAT_TYPES, _FLOAT),
+    ((T.BooleanType,), _BOOLEAN),
+    ((T.DateType,), _DATE),
+    ((T.TimestampType, T.TimestampNTZType), _TIME),
+)
+WHOLE_BITS = {T.ByteType: 8, T.ShortType: 16, T.IntegerType: 32, T.LongType: 64}
+
+
+def _plausible(value: Column, own: T.DataType, wanted: T.DataType) -> Column | None:
+    """A cheap condition without which the cast would fail, if there is one."""
+    if isinstance(own, T.StringType):
+        for types, pattern in PLAUSIBLE_TEXTS:
+            if isinstance(wanted, types):
+                return value.rlike(pattern)
+    bits = WHOLE_BITS.get(type(wanted))
+    if bits and isinstance(own, (*INTEGRAL_TYPES, *FLOAT_TYPES)):
+        if bits < WHOLE_BITS.get(type(own), 128):
+            # One beyond the range on either side, as fractions are cut off.
+            limit = 2 ** (bits - 1)
+            kind = float if isinstance(own, FLOAT_TYPES) else int
+            return value.between(F.lit(kind(-limit - 1)), F.lit(kind(limit)))
+    if isinstance(wanted, T.DecimalType):
+        room = wanted.precision - wanted.scale
+        if isinstance(own, FLOAT_TYPES):
+            # A little beyond the range, as powers of ten are not exact here.
+            limit = F.lit(10.0**room * (1 + 1e-9))
+            return value.between(-limit, limit)
+        needed = as_decimal(own) if isinstance(own, (*INTEGRAL_TYPES, T.DecimalType)) else None
+        if needed and needed.precision - needed.scale > room:
+            return value.between(F.lit(Decimal(-(10**room))), F.lit(Decimal(10**room)))
+    return None
+
+
+def try_cast(value: Column, own: T.DataType, wanted: T.DataType) -> Column:
+    """``try_cast`` that is cheap for values that cannot be cast."""
+    plausible = _plausible(value, own, wanted)
+    cast = value.try_cast(wanted)
+    return cast if plausible is None else F.when(plausible, cast)
+
 
 def safe_cast(value: Column, own: T.DataType, wanted: T.DataType) -> Column:
-    """``try_cast`` that works element by element inside arrays.
+    """:func:`try_cast` that works element by element inside arrays.
 
     Equal types give the column itself, so that filters on it still reach the
     scan.
@@ -17,7 +73,7 @@ def safe_cast(value: Column, own: T.DataType, wanted: T.DataType) -> Column:
         return value
     if isinstance(own, T.ArrayType) and isinstance(wanted, T.ArrayType):
         return F.transform(value, lambda x: safe_cast(x, own.elementType, wanted.elementType))
-    return value.try_cast(wanted)
+    return try_cast(value, own, wanted)
 
 
 def lost(value: Column, own: T.DataType, wanted: T.DataType) -> Column:
@@ -29,4 +85,4 @@ def lost(value: Column, own: T.DataType, wanted: T.DataType) -> Column:
             F.exists(value, lambda x: lost(x, own.elementType, wanted.elementType)),
             F.lit(False),
         )
-    return value.isNotNull() & value.try_cast(wanted).isNull()
+    return value.isNotNull() & try_cast(value, own, wanted).isNull()

@@ -66,7 +66,8 @@ def _decimal_type(text: str, params: str | None, strict: bool) -> T.DecimalType:
     return T.DecimalType(precision, scale)
 
 
-def _as_decimal(dtype: T.DataType) -> T.DecimalType:
+def as_decimal(dtype: T.DataType) -> T.DecimalType:
+    """The decimal type that holds every value of a whole number or decimal type."""
     if isinstance(dtype, T.DecimalType):
         return dtype
     digits = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}
@@ -92,7 +93,7 @@ def common_type(left: T.DataType, right: T.DataType) -> T.DataType:
             return T.DoubleType()
         if not any(isinstance(t, T.DecimalType) for t in pair):
             return max(pair, key=lambda t: INTEGRAL_TYPES.index(type(t)))
-        a, b = map(_as_decimal, pair)
+        a, b = map(as_decimal, pair)
         scale = max(a.scale, b.scale)
         precision = max(a.precision - a.scale, b.precision - b.scale) + scale
         return T.DecimalType(precision, scale) if precision <= 38 else T.StringType()
