@@ -59,10 +59,12 @@ def month_coverage(df: DataFrame, ts: str, first: str, last: str) -> DataFrame:
     """
     (ts,) = resolve(df, [ts])
     dtype = df.schema[ts].dataType
+    # Months are grouped as numbers; only the few results are made into text.
     counts = (
         df.filter(in_months(column(ts), dtype, first, last))
-        .groupBy(F.date_format(column(ts), KEY_FORMAT).alias("yyyymm"))
+        .groupBy((F.year(column(ts)) * 100 + F.month(column(ts))).alias("month"))
         .agg(F.count(F.lit(1)).alias("n_rows"))
+        .select(F.lpad(F.col("month").cast("string"), 6, "0").alias("yyyymm"), "n_rows")
     )
     spine = months_between(df.sparkSession, first, last)
     return spine.join(counts, "yyyymm", "left").select(

@@ -9,10 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from movecheck.operators.conform import contract_losses
 from movecheck.operators.decimals import fit_decimals
+from movecheck.operators.drift import align_to, drift_report
 from movecheck.operators.reconcile import Reconciliation, reconcile
 from movecheck.sources.contract import Contract, as_contract
-from movecheck.sources.sinks import write_table
-from movecheck.sources.tables import read_table
+from movecheck.sources.sinks import CONNECTOR_OPTIONS, write_table
+from movecheck.sources.tables import MERGING_FORMATS, read_source, read_table
 
 
 @dataclass(frozen=True)
@@ -47,6 +48,16 @@ def compare_with_table(
     return reconcile(source, loaded, cols, multiset, tolerance_scale)
 
 
+def read_written(
+    spark: SparkSession, target: str, fmt: str, options: Mapping[str, str] | None = None
+) -> DataFrame:
+    """Read a table back from where :func:`write_table` put it."""
+    names = CONNECTOR_OPTIONS.get(fmt.lower())
+    if names:
+        return read_table(spark, None, fmt, options={**(options or {}), names["target"]: target})
+    return read_table(spark, target, fmt)
+
+
 def check_source(source: DataFrame, contract: Contract) -> None:
     """Raise if the source loses values or breaks a not-null rule."""
     broken = contract_losses(source, contract).filter("n_lost > 0 or n_violations > 0")
@@ -85,17 +96,13 @@ def migrate(
     if strict:
         paths = [source] if isinstance(source, str) else source
         for path in paths:
-            check_source(
-                read_table(spark, path, source_fmt, options=read_options,
-                           merge_schema=source_fmt in ("orc", "parquet")),
-                contract,
-            )
+            check_source(read_source(spark, path, source_fmt, contract, read_options), contract)
     rows = read_table(spark, source, source_fmt, contract, read_options)
     rows = fit_decimals(rows, *(decimal or ()))
     write_table(
         rows, target, target_fmt, mode, partition_by, cluster_by, options=write_options
     )
-    written = read_table(spark, target, target_fmt)
+    written = read_written(spark, target, target_fmt, write_options)
     return Migration(rows, written, reconcile(rows, written, multiset=multiset))
 
 
@@ -103,7 +110,6 @@ def align_partitions(
     spark: SparkSession, old_path: str, new_path: str, fmt: str = "orc"
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(drift report, old partition in the new types, new partition)."""
-    from movecheck.operators.drift import align_to, drift_report
-
-    old, new = read_table(spark, old_path, fmt), read_table(spark, new_path, fmt)
+    merge = fmt.lower() in MERGING_FORMATS
+    old, new = (read_table(spark, path, fmt, merge_schema=merge) for path in (old_path, new_path))
     return drift_report(old, new), align_to(old, new), new

@@ -51,17 +51,31 @@ def read_table(
         return reader.load(path if isinstance(path, str) else list(path))
 
     contract = as_contract(contract)
-    if merge_schema is None:
-        merge_schema = fmt.lower() in MERGING_FORMATS
     paths = [path] if path is None or isinstance(path, str) else list(path)
-    parts = []
-    for one in paths:
-        physical = read_table(spark, one, fmt, None, options, merge_schema)
-        named = _name_positions(spark, physical, one, fmt, contract, options, allow_extra)
-        parts.append(conform(named, contract))
+    parts = [
+        conform(read_source(spark, one, fmt, contract, options, merge_schema, allow_extra), contract)
+        for one in paths
+    ]
     return reduce(DataFrame.unionByName, parts)
 
 
+def read_source(
+    spark: SparkSession,
+    path: str | None,
+    fmt: str,
+    contract: Contract,
+    options: Mapping[str, str] | None = None,
+    merge_schema: bool | None = None,
+    allow_extra: bool = False,
+) -> DataFrame:
+    """A table in its physical types, under the contract's source names."""
+    if merge_schema is None:
+        merge_schema = fmt.lower() in MERGING_FORMATS
+    options = dict(options or {})
+    physical = read_table(spark, path, fmt, None, options, merge_schema)
+    return _name_positions(spark, physical, path, fmt, contract, options, allow_extra)
+
+
 def _name_positions(
     spark: SparkSession,
     physical: DataFrame,
