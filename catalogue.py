@@ -661,6 +661,18 @@ def cast_loss_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mc.cast_loss(table(spark, sf_dir, "orders"), wanted)
 
 
+@query(
+    "SELECT l_orderkey, l_linenumber, CAST(CAST(l_extendedprice AS DECIMAL(18,2)) "
+    "* CAST(l_discount AS DECIMAL(4,2)) AS VARCHAR) AS amount FROM lineitem"
+)
+def keep_decimals_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Without a precision, decimals are recast to what they are."""
+    lineitem = table(spark, sf_dir, "lineitem")
+    price = F.col("l_extendedprice").cast("decimal(18,2)") * F.col("l_discount").cast("decimal(4,2)")
+    amounts = lineitem.select("l_orderkey", "l_linenumber", price.alias("amount"))
+    return as_text(mc.fit_decimals(amounts), "amount")
+
+
 def wide_prices(lineitem: DataFrame) -> DataFrame:
     price = F.col("l_extendedprice").cast("decimal(18,2)") * F.col("l_discount").cast("decimal(4,2)")
     return lineitem.select("l_orderkey", "l_linenumber", (price * price).alias("amount"))
@@ -880,6 +892,74 @@ def write_dynamic_overwrite_orders(spark: SparkSession, sf_dir: str) -> DataFram
     return mc.read_table(spark, target, "parquet")
 
 
+@query(ORDERS_REPLICA_SQL.replace("o_orderdate,", "CAST(o_orderdate AS VARCHAR) AS o_orderdate,"))
+def write_full_refresh_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A refresh that replaces the whole table."""
+    orders = table(spark, sf_dir, "orders")
+    target = scratch_path(spark, "orders-replaced")
+    mc.write_table(orders, target, cluster_by=["o_custkey"])
+    mc.write_table(orders_replica(orders), target, mode="overwrite", cluster_by=["o_custkey"])
+    return as_text(mc.read_table(spark, target, "parquet"), "o_orderdate")
+
+
+@query(
+    """
+    SELECT o_orderkey, o_custkey, o_totalprice, CAST(NULL AS VARCHAR) AS o_orderpriority FROM orders
+    UNION ALL
+    SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority FROM orders
+    """
+)
+def read_drifted_paths_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two folders of one table, whose types and columns changed between them."""
+    orders = table(spark, sf_dir, "orders")
+    paths = [scratch_path(spark, f"orders-{age}") for age in ("old", "new")]
+    old = orders.select("o_orderkey", F.col("o_custkey").cast("string").alias("o_custkey"), "o_totalprice")
+    mc.write_table(old, paths[0], "orc")
+    mc.write_table(orders, paths[1], "orc")
+    types = {"o_orderkey": "bigint", "o_custkey": "bigint", "o_totalprice": "double", "o_orderpriority": "string"}
+    wanted = contract(*[(name, name, dtype, "true") for name, dtype in types.items()])
+    return mc.read_table(spark, paths, contract=wanted)
+
+
+@query(
+    """
+    SELECT TRY_CAST(CAST(o_orderkey AS VARCHAR) AS BIGINT) AS o_orderkey, o_custkey,
+           CAST(o_totalprice AS DOUBLE) AS o_totalprice, o_orderstatus FROM orders
+    """
+)
+def align_partitions_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An old ORC partition in the types of a newer one."""
+    orders = table(spark, sf_dir, "orders")
+    old_path, new_path = (scratch_path(spark, f"orders-{age}-partition") for age in ("old", "new"))
+    old = orders.select(
+        F.col("o_orderkey").cast("string").alias("o_orderkey"), "o_custkey",
+        F.col("o_totalprice").cast("decimal(15,2)").alias("o_totalprice"), "o_orderstatus",
+    )
+    mc.write_table(old, old_path, "orc")
+    mc.write_table(orders.drop("o_orderstatus"), new_path, "orc")
+    _, aligned, _ = mc.align_partitions(spark, old_path, new_path)
+    return aligned
+
+
+@query(
+    f"""
+    WITH source AS ({ORDERS_CONFORMED_SQL}),
+    loaded AS ({ORDERS_CONFORMED_SQL.replace("FROM orders", f"FROM ({ORDERS_REPLICA_SQL}) r")})
+    SELECT 'only_left' AS side, * FROM (SELECT * FROM source EXCEPT ALL SELECT * FROM loaded)
+    UNION ALL
+    SELECT 'only_right' AS side, * FROM (SELECT * FROM loaded EXCEPT ALL SELECT * FROM source)
+    """
+)
+def compare_orders_with_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ORC files read under a contract against a table that was loaded badly."""
+    orders = table(spark, sf_dir, "orders")
+    source, loaded = scratch_path(spark, "orders-files"), scratch_path(spark, "orders-loaded")
+    mc.write_table(orders, source, "orc")
+    mc.write_table(mc.conform(orders_replica(orders), ORDERS_CONTRACT), loaded)
+    found = mc.compare_with_table(spark, source, ORDERS_CONTRACT, loaded, multiset=True)
+    return as_text(found.expanded(), "price", "ordered_on")
+
+
 def _migrate_orders(spark: SparkSession, sf_dir: str) -> mc.Migration:
     source, target = scratch_path(spark, "orders-source"), scratch_path(spark, "orders-target")
     mc.write_table(table(spark, sf_dir, "orders"), source, "orc")

@@ -123,43 +123,44 @@ def common_type(left: T.DataType, right: T.DataType) -> T.DataType:
     )
 
 
-def _has_map(dtype: T.DataType) -> bool:
-    if isinstance(dtype, T.MapType):
-        return True
-    if isinstance(dtype, T.ArrayType):
-        return _has_map(dtype.elementType)
-    return isinstance(dtype, T.StructType) and any(_has_map(f.dataType) for f in dtype)
+def _plain(own: T.DataType, shared: T.DataType) -> bool:
+    """Whether values of ``own`` can be grouped as ``shared`` without any change."""
 
+    def has_map(dtype: T.DataType) -> bool:
+        if isinstance(dtype, T.ArrayType):
+            return has_map(dtype.elementType)
+        if isinstance(dtype, T.StructType):
+            return any(has_map(f.dataType) for f in dtype)
+        return isinstance(dtype, T.MapType)
 
-def _without_maps(value: Column, dtype: T.DataType) -> Column:
-    """Maps cannot be grouped; sorted entries can, whatever the key order was."""
-    if not _has_map(dtype):
+    return own.simpleString() == shared.simpleString() and not has_map(shared)
+
+
+def comparable(value: Column, own: T.DataType, shared: T.DataType) -> Column:
+    """``value`` in the shared type, in a form that ``groupBy`` accepts.
+
+    Maps become sorted entries, so the order of their keys does not matter.
+    """
+    if _plain(own, shared):
         return value
-    if isinstance(dtype, T.ArrayType):
-        return F.transform(value, lambda x: _without_maps(x, dtype.elementType))
-    if isinstance(dtype, T.StructType):
+    if isinstance(own, T.ArrayType):
+        return F.transform(value, lambda x: comparable(x, own.elementType, shared.elementType))
+    if isinstance(own, T.StructType):
         fields = [
-            _without_maps(value.getField(f.name), f.dataType).alias(f.name)
-            for f in dtype
+            comparable(value.getField(a.name), a.dataType, b.dataType).alias(a.name)
+            for a, b in zip(own, shared)
         ]
         return F.when(value.isNotNull(), F.struct(*fields))
-    entries = F.transform(
-        F.map_entries(value),
-        lambda e: F.struct(
-            e.getField("key").alias("key"),
-            _without_maps(e.getField("value"), dtype.valueType).alias("value"),
-        ),
-    )
-    return F.array_sort(entries)
-
-
-def comparable(value: Column, own: T.DataType, shared: T.DataType) -> Column:
-    """``value`` in the shared type, in a form that ``groupBy`` accepts."""
+    if isinstance(own, T.MapType):
+        entries = F.transform(
+            F.map_entries(value),
+            lambda e: F.struct(
+                comparable(e.getField("key"), own.keyType, shared.keyType).alias("key"),
+                comparable(e.getField("value"), own.valueType, shared.valueType).alias("value"),
+            ),
+        )
+        return F.array_sort(entries)
     if isinstance(own, T.DecimalType) and isinstance(shared, T.StringType):
         text = value.cast("string")
-        if own.scale > 0:
-            text = F.rtrim(F.rtrim(text, F.lit("0")), F.lit("."))
-        return text
-    if own.simpleString() != shared.simpleString():
-        value = value.cast(shared)
-    return _without_maps(value, shared)
+        return F.rtrim(F.rtrim(text, F.lit("0")), F.lit(".")) if own.scale > 0 else text
+    return value.cast(shared)

@@ -40,7 +40,7 @@ def months_between(spark: SparkSession, first: str, last: str) -> DataFrame:
     if start > end:
         return spark.createDataFrame([], "yyyymm string")
     days = F.sequence(F.lit(start), F.lit(end), F.expr("interval 1 month"))
-    return spark.range(1).select(
+    return spark.range(0, 1, 1, 1).select(
         F.explode(F.transform(days, lambda d: F.date_format(d, KEY_FORMAT))).alias("yyyymm")
     )
 

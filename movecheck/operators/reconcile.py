@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -78,8 +78,8 @@ def _grouped(
     return sides[0].unionAll(sides[1]).groupBy(*names).agg(mark.alias("__mark"))
 
 
-def _check_names(pairs: Sequence[tuple[str, str]], *reserved: str) -> None:
-    taken = {*reserved} & {a.lower() for a, _ in pairs}
+def _check_names(names: Iterable[str], *reserved: str) -> None:
+    taken = {*reserved} & {name.lower() for name in names}
     if taken:
         raise ValueError(f"column name in use by the result: {', '.join(sorted(taken))}")
 
@@ -122,6 +122,7 @@ class Reconciliation:
 
     def report(self, n: int = 5) -> DataFrame:
         """Counts and samples as one frame; one job, which shuffles once."""
+        _check_names(self.columns, "entry", "n_rows")
         counts = self.counts().select(F.lit("count").alias("entry"), SIDE, "n_rows")
         sample = self.sample(n).select(F.lit("sample").alias("entry"), "*")
         return counts.unionByName(sample, allowMissingColumns=True)
@@ -166,7 +167,7 @@ def reconcile(
     ``tolerance_scale`` rounds floats to that many places first.
     """
     pairs = _shared_columns(left, right, cols)
-    _check_names(pairs, SIDE, COPIES)
+    _check_names([a for a, _ in pairs], SIDE, COPIES)
     grouped = _grouped(left, right, pairs, tolerance_scale, multiset)
     mark = F.col("__mark")
     names = tuple(a for a, _ in pairs)
@@ -244,7 +245,7 @@ def reconcile_by_key(
     pairs = _shared_columns(left, right, cols)
     key_names = resolve(left, keys)
     others = [a for a, _ in pairs if a not in key_names]
-    _check_names(pairs, "status", *N_ROWS)
+    _check_names([a for a, _ in pairs], "status", *N_ROWS)
     if not others:
         raise ValueError("no column to compare besides the keys")
     excess = F.col("__mark")

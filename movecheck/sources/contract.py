@@ -25,6 +25,10 @@ PRESENT = "iscolpresentindata"
 _OVERFLOW = "__overflow"
 
 
+def _text(value: object) -> str:
+    return "" if value is None else str(value).strip()
+
+
 @dataclass(frozen=True)
 class ContractColumn:
     source: str
@@ -67,16 +71,16 @@ class Contract:
             absent = [n for n in (SOURCE_NAME, TYPE_TEXT, NULLABLE) if n not in row]
             if absent:
                 raise ValueError(f"contract lacks {', '.join(absent)}")
-            source = str(row[SOURCE_NAME] or "").strip()
+            source = _text(row[SOURCE_NAME])
             if not source:
                 raise ValueError("contract row without a column name")
             columns.append(
                 ContractColumn(
                     source=source,
-                    target=str(row.get(TARGET_NAME) or "").strip() or source,
+                    target=_text(row.get(TARGET_NAME)) or source,
                     dtype=contract_type(row[TYPE_TEXT], strict),
-                    nullable=str(row[NULLABLE]).strip().lower() == "true",
-                    present=str(row.get(PRESENT) or "true").strip().lower() == "true",
+                    nullable=_text(row[NULLABLE]).lower() == "true",
+                    present=(_text(row.get(PRESENT)) or "true").lower() == "true",
                 )
             )
         for kind in ("source", "target"):
@@ -97,6 +101,8 @@ def read_contract(
 ) -> DataFrame:
     """The rows of a delimited contract file with a header, all as text.
 
+    Rows keep the file's order, which is the column order of positional files.
+
     Lines with too many fields are dropped; short lines keep nulls at the end.
     Spark's own malformed-line mode would drop both kinds, so one extra column
     is read behind the header's and must stay empty.

@@ -69,8 +69,9 @@ def write_table(
     With ``partition_by`` the rows are rebalanced on the partition columns
     first: without that every task would write a file into every partition.
     The rebalance lets Spark cut a hot partition into several tasks by size.
-    ``cluster_by`` sorts each file, which costs no shuffle. ``dynamic``
-    replaces only the partitions that the frame holds.
+    ``cluster_by`` sorts each file, which costs no shuffle; a catalog table
+    without partitions also records the columns. ``dynamic`` replaces only the
+    partitions that the frame holds.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {', '.join(MODES)}")
@@ -98,6 +99,8 @@ def write_table(
         writer = writer.option("partitionOverwriteMode", "dynamic")
     if parts:
         writer = writer.partitionBy(*parts)
+    elif clusters and as_table:
+        writer = writer.clusterBy(*clusters)
     if as_table:
         writer.saveAsTable(target)
     else:

@@ -98,7 +98,7 @@ def test_conform_renames_and_marks_absent(spark):
             {"src_column_name": "A", "target_column_name": "id", "source_datatype": "int", "isnullable": "true"},
             {"src_column_name": "gone", "source_datatype": "decimal(5,2)", "isnullable": "true"},
             {"src_column_name": "b", "source_datatype": "string", "isnullable": "true",
-             "iscolpresentindata": "false"},
+             "iscolpresentindata": False},
         ]
     )
     frame = spark.createDataFrame([("12", "x"), ("no", "y"), ("99999999999", None)], "a string, b string")

@@ -69,6 +69,8 @@ def test_different_columns_are_refused(spark):
     assert mc.reconcile(left, right, ["A"]).is_empty()
     with pytest.raises(ValueError, match="side"):
         mc.reconcile(left.toDF("a", "Side"), left.toDF("a", "Side"))
+    with pytest.raises(ValueError, match="n_rows"):
+        mc.reconcile(left.toDF("a", "n_rows"), left.toDF("a", "n_rows")).report()
 
 
 def test_float_edges(spark):
@@ -87,6 +89,10 @@ def test_decimals_beyond_38_digits_compare_exactly(spark):
     left = spark.sql("SELECT cast(x AS decimal(38,18)) AS x FROM VALUES ('12.5'), ('100'), ('0') AS t(x)")
     right = spark.sql("SELECT cast(x AS decimal(38,0)) AS x FROM VALUES ('13'), ('100'), ('0') AS t(x)")
     assert rows(mc.reconcile(left, right).rows) == [("only_left", "12.5"), ("only_right", "13")]
+    nested = [f.selectExpr("array(x) AS a", "map(1, x) AS m", "named_struct('x', x) AS s") for f in (left, right)]
+    found = mc.reconcile(*nested)
+    assert counts(found) == {"only_left": 1, "only_right": 1}
+    assert {r.a[0] for r in found.rows.collect()} == {"12.5", "13"}
 
 
 def test_maps_compare_whatever_their_order(spark):

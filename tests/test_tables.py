@@ -130,6 +130,22 @@ def test_partitions_get_few_files(spark, tmp_path):
     assert ids == sorted(ids) and len(ids) == 800
 
 
+def test_hot_partition_is_written_by_several_tasks(spark, tmp_path):
+    """Half of the rows are in one partition; the write splits it by size."""
+    path = str(tmp_path / "t")
+    frame = spark.range(0, 60_000, numPartitions=8).selectExpr(
+        "sha2(cast(id AS string), 256) AS v", "if(id % 2 = 0, 'hot', cast(id % 100 AS string)) AS p"
+    )
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "200KB")
+    try:
+        mc.write_table(frame, path, partition_by="p")
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+    assert len([f for f in os.listdir(f"{path}/p=hot") if f.endswith(".parquet")]) > 3
+    assert spark.read.parquet(path).filter("p = 'hot'").count() == 30_000
+
+
 def test_partition_grain(spark, tmp_path):
     path = str(tmp_path / "t")
     frame = spark.createDataFrame([(datetime(2022, 7, 1, 5),), (datetime(2022, 8, 2),)], "At timestamp_ntz")
@@ -141,8 +157,10 @@ def test_partition_grain(spark, tmp_path):
 
 def test_write_catalog_table(spark):
     frame = spark.createDataFrame([(1, "a")], "id int, s string")
-    mc.write_table(frame, "written_table", as_table=True, mode="overwrite")
-    assert rows(spark.table("written_table")) == [(1, "a")]
+    for _ in range(2):
+        mc.write_table(frame, "written_table", as_table=True, cluster_by=["S"])
+    assert rows(spark.table("written_table")) == [(1, "a"), (1, "a")]
+    assert "clusteringColumns" in str(spark.sql("SHOW TBLPROPERTIES written_table").collect())
     spark.sql("DROP TABLE written_table")
 
 
