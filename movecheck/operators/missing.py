@@ -62,6 +62,12 @@ def missing_rows(
 def copy_missing(
     src: DataFrame, tgt: DataFrame, keys: Sequence[str], target: str, **write
 ) -> None:
-    """Append to the table at ``target``, read as ``tgt``, the rows it lacks."""
+    """Append to the table at ``target``, read as ``tgt``, the rows it lacks.
+
+    Few rows may be left of every task, so they are gathered into files of a
+    sensible size; only missing rows are moved for that.
+    """
     missing = missing_rows(src, tgt, keys)
+    if not write.get("partition_by"):
+        missing = missing.hint("rebalance")
     write_table(missing, target, mode="append", **write)

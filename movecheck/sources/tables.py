@@ -39,9 +39,12 @@ def read_table(
 
     Several paths under a contract are read, conformed and united one by one,
     so each may have its own physical types. Without a path the format's
-    connector finds the table from ``options``.
+    connector finds the table from ``options``; ``fmt="table"`` takes the name
+    of a catalog table for the path.
     """
     options = dict(options or {})
+    if contract is None and fmt.lower() == "table":
+        return spark.table(path)
     if contract is None:
         reader = spark.read.format(fmt).options(**options)
         if merge_schema:

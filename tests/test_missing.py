@@ -57,6 +57,11 @@ def test_copy_missing_twice_adds_nothing(spark, tmp_path):
     for _ in range(2):
         mc.copy_missing(src, mc.read_table(spark, target, "parquet"), ["k"], target)
         assert rows(mc.read_table(spark, target, "parquet")) == rows(src)
+    split = str(tmp_path / "split")
+    mc.write_table(src.filter("k < 4"), split, partition_by="v")
+    tgt = mc.read_table(spark, split, "parquet")
+    mc.copy_missing(src, tgt, ["k"], split, partition_by="v")
+    assert mc.reconcile(src, spark.read.parquet(split), ["k", "v"], multiset=True).is_empty()
 
 
 def test_month_keys(spark):

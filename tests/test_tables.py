@@ -159,7 +159,9 @@ def test_write_catalog_table(spark):
     frame = spark.createDataFrame([(1, "a")], "id int, s string")
     for _ in range(2):
         mc.write_table(frame, "written_table", as_table=True, cluster_by=["S"])
-    assert rows(spark.table("written_table")) == [(1, "a"), (1, "a")]
+    assert rows(mc.read_table(spark, "written_table", "table")) == [(1, "a"), (1, "a")]
+    renamed = mc.read_table(spark, "written_table", "table", contract(s="string", id="string"))
+    assert rows(renamed) == [("a", "1"), ("a", "1")]
     assert "clusteringColumns" in str(spark.sql("SHOW TBLPROPERTIES written_table").collect())
     spark.sql("DROP TABLE written_table")
 
