@@ -303,10 +303,10 @@ def reconcile_lineitem_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT 'count', 'only_right', (SELECT COUNT(*) FROM added), NULL, NULL, NULL
     UNION ALL
     SELECT 'sample', 'only_left', NULL, o_orderkey, o_totalprice, o_orderpriority
-    FROM (SELECT * FROM lost ORDER BY ALL LIMIT 5)
+    FROM (SELECT * FROM lost ORDER BY ALL ASC NULLS FIRST LIMIT 5)
     UNION ALL
     SELECT 'sample', 'only_right', NULL, o_orderkey, o_totalprice, o_orderpriority
-    FROM (SELECT * FROM added ORDER BY ALL LIMIT 5)
+    FROM (SELECT * FROM added ORDER BY ALL ASC NULLS FIRST LIMIT 5)
     """
 )
 def reconcile_orders_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -321,8 +321,11 @@ BAG_SQL = f"""
     l AS (SELECT o_orderstatus, o_orderpriority, COUNT(*) AS n FROM orders GROUP BY ALL),
     r AS (SELECT o_orderstatus, o_orderpriority, COUNT(*) AS n FROM replica GROUP BY ALL)
     SELECT CASE WHEN COALESCE(l.n, 0) > COALESCE(r.n, 0) THEN 'only_left' ELSE 'only_right' END AS side,
-           o_orderstatus, o_orderpriority, ABS(COALESCE(l.n, 0) - COALESCE(r.n, 0)) AS n_copies
-    FROM l FULL JOIN r USING (o_orderstatus, o_orderpriority)
+           COALESCE(l.o_orderstatus, r.o_orderstatus) AS o_orderstatus,
+           COALESCE(l.o_orderpriority, r.o_orderpriority) AS o_orderpriority,
+           ABS(COALESCE(l.n, 0) - COALESCE(r.n, 0)) AS n_copies
+    FROM l FULL JOIN r ON l.o_orderstatus IS NOT DISTINCT FROM r.o_orderstatus
+                      AND l.o_orderpriority IS NOT DISTINCT FROM r.o_orderpriority
     WHERE COALESCE(l.n, 0) <> COALESCE(r.n, 0)
 """
 
@@ -406,17 +409,22 @@ def reconcile_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORDERS_BY_KEY_SQL = f"""
     WITH replica AS ({ORDERS_REPLICA_SQL}),
+    l AS (SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority FROM orders),
+    r AS (SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority FROM replica),
+    lost AS (SELECT o_orderkey AS k, COUNT(*) AS n, MAX(o_custkey) AS o_custkey,
+                    MAX(o_totalprice) AS o_totalprice, MAX(o_orderpriority) AS o_orderpriority
+             FROM (SELECT * FROM l EXCEPT ALL SELECT * FROM r) GROUP BY o_orderkey),
+    added AS (SELECT o_orderkey AS k, COUNT(*) AS n, MAX(o_custkey) AS o_custkey,
+                     MAX(o_totalprice) AS o_totalprice, MAX(o_orderpriority) AS o_orderpriority
+              FROM (SELECT * FROM r EXCEPT ALL SELECT * FROM l) GROUP BY o_orderkey),
     joined AS (
-        SELECT COALESCE(l.o_orderkey, r.o_orderkey) AS o_orderkey,
-               CASE WHEN r.o_orderkey IS NULL THEN 'only_left'
-                    WHEN l.o_orderkey IS NULL THEN 'only_right' ELSE 'changed' END AS status,
-               l.o_totalprice AS left_o_totalprice, r.o_totalprice AS right_o_totalprice,
-               l.o_orderpriority AS left_o_orderpriority, r.o_orderpriority AS right_o_orderpriority,
-               l.o_custkey AS left_o_custkey, r.o_custkey AS right_o_custkey
-        FROM orders l FULL JOIN replica r ON l.o_orderkey = r.o_orderkey
-        WHERE l.o_totalprice IS DISTINCT FROM r.o_totalprice
-           OR l.o_orderpriority IS DISTINCT FROM r.o_orderpriority
-           OR l.o_custkey IS DISTINCT FROM r.o_custkey
+        SELECT COALESCE(lost.k, added.k) AS o_orderkey,
+               CASE WHEN added.n IS NULL THEN 'only_left' WHEN lost.n IS NULL THEN 'only_right'
+                    WHEN lost.n = 1 AND added.n = 1 THEN 'changed' ELSE 'ambiguous' END AS status,
+               lost.o_totalprice AS left_o_totalprice, added.o_totalprice AS right_o_totalprice,
+               lost.o_orderpriority AS left_o_orderpriority, added.o_orderpriority AS right_o_orderpriority,
+               lost.o_custkey AS left_o_custkey, added.o_custkey AS right_o_custkey
+        FROM lost FULL JOIN added ON lost.k IS NOT DISTINCT FROM added.k
     )
 """
 COMPARED = ["o_custkey", "o_totalprice", "o_orderpriority"]
@@ -424,8 +432,12 @@ COMPARED = ["o_custkey", "o_totalprice", "o_orderpriority"]
 
 @query(
     ORDERS_BY_KEY_SQL
-    + "SELECT o_orderkey, status, left_o_totalprice, right_o_totalprice, left_o_orderpriority, "
-    "right_o_orderpriority FROM joined"
+    + "SELECT o_orderkey, status, "
+    + ", ".join(
+        f"CASE WHEN status <> 'ambiguous' THEN {x} END AS {x}"
+        for x in ("left_o_totalprice", "right_o_totalprice", "left_o_orderpriority", "right_o_orderpriority")
+    )
+    + " FROM joined"
 )
 def reconcile_orders_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
@@ -556,7 +568,9 @@ LABELLED_CONTRACT = contract(
 @query(
     """
     WITH labelled AS (SELECT d.doc_id, d.text, l.quality, l.toxic
-                      FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)
+                      FROM documents d LEFT JOIN (
+                          SELECT doc_id, MAX(quality) AS quality, MAX(toxic) AS toxic FROM labels GROUP BY doc_id
+                      ) l ON d.doc_id = l.doc_id)
     SELECT 'doc_id' AS column_name, COUNT(*) AS n_rows, COUNT(*) FILTER (doc_id IS NULL) AS n_nulls FROM labelled
     UNION ALL
     SELECT 'quality', COUNT(*), COUNT(*) FILTER (quality IS NULL) FROM labelled
@@ -565,7 +579,11 @@ LABELLED_CONTRACT = contract(
     """
 )
 def null_violations_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    labelled = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left")
+    # One label row per document, so that the join cannot multiply rows.
+    labels = table(spark, sf_dir, "labels").groupBy("doc_id").agg(
+        F.max("quality").alias("quality"), F.max("toxic").alias("toxic")
+    )
+    labelled = table(spark, sf_dir, "documents").join(labels, "doc_id", "left")
     return mc.null_violations(labelled, LABELLED_CONTRACT)
 
 
@@ -724,12 +742,17 @@ def cast_elements_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- missing rows and months ------------------------------------------------
 
 
-@query("SELECT * FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)")
+@query("SELECT * FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id IS NOT DISTINCT FROM d.doc_id)")
 def missing_rows_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mc.missing_rows(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ["doc_id"])
 
 
-@query("SELECT * FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)")
+@query(
+    """
+    SELECT * FROM orders WHERE NOT EXISTS
+        (SELECT 1 FROM lineitem WHERE l_orderkey IS NOT DISTINCT FROM o_orderkey)
+    """
+)
 def missing_rows_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders without lines: the other table repeats each key many times."""
     lines = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"))
@@ -741,7 +764,8 @@ def missing_rows_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     WITH replica AS ({LINEITEM_REPLICA_SQL})
     SELECT l.l_orderkey, l.l_linenumber, l.l_quantity, l.l_tax FROM lineitem l
     WHERE NOT EXISTS (SELECT 1 FROM replica r
-                      WHERE r.l_orderkey = l.l_orderkey AND r.l_linenumber = l.l_linenumber)
+                      WHERE r.l_orderkey IS NOT DISTINCT FROM l.l_orderkey
+                        AND r.l_linenumber IS NOT DISTINCT FROM l.l_linenumber)
     """
 )
 def missing_rows_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -807,7 +831,7 @@ def scan_months_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     """
     SELECT user_id AS table_name, COUNT(*) AS n_failures FROM events
-    WHERE event_type = 'error' GROUP BY user_id
+    WHERE event_type = 'error' AND user_id IS NOT NULL GROUP BY user_id
     """
 )
 def failure_summary_events(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import math
+import random
 from collections import Counter
 from decimal import Decimal
 
@@ -46,6 +47,24 @@ def test_bag_rows_agree_with_except_all(spark, pair, monkeypatch):
     assert rows(found) == sorted(wanted, key=repr)
 
 
+def test_random_bags_against_brute_force(spark):
+    chance = random.Random(11)
+
+    def some_rows(n):
+        words = [None, "", "a", "b", "\xe9"]
+        return [(chance.choice([None, 0, 1, 2]), chance.choice(words), chance.choice([None, 0.5, 1.0])) for _ in range(n)]
+
+    ddl = "a int, b string, c double"
+    left, right = some_rows(300), some_rows(280)
+    frames = [spark.createDataFrame(r, ddl) for r in (left, right)]
+    a, b = Counter(left), Counter(right)
+    bag = [("only_left", *r, n) for r, n in (a - b).items()] + [("only_right", *r, n) for r, n in (b - a).items()]
+    one_sided = [("only_left", *r) for r in a.keys() - b.keys()] + [("only_right", *r) for r in b.keys() - a.keys()]
+    assert rows(mc.reconcile(*frames, multiset=True).rows) == sorted(bag, key=repr)
+    assert rows(mc.reconcile(*frames).rows) == sorted(one_sided, key=repr)
+    assert counts(mc.reconcile(*frames, multiset=True)) == {"only_left": (a - b).total(), "only_right": (b - a).total()}
+
+
 def test_metamorphic(pair):
     left, right = pair
     for multiset in (False, True):
