@@ -28,6 +28,9 @@ PROFILE_COLUMNS = (
     "max_scale", "n_unmeasured",
 )
 NUMERIC_TYPES = (*INTEGRAL_TYPES, *FLOAT_TYPES, T.DecimalType)
+RANGED_TYPES = (
+    *NUMERIC_TYPES, T.StringType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType,
+)
 
 
 def _has_type(dtype: T.DataType, part: type) -> bool:
@@ -57,8 +60,8 @@ class _ColumnProfile:
         self.by_value = isinstance(dtype, FLOAT_TYPES) or (
             strip_zeros and isinstance(dtype, T.DecimalType) and dtype.scale > 0
         )
-        self.ranged = isinstance(dtype, T.AtomicType) and not isinstance(dtype, T.BinaryType)
-        self.countable = not _has_type(dtype, T.MapType)
+        self.ranged = isinstance(dtype, RANGED_TYPES)
+        self.countable = not (_has_type(dtype, T.MapType) or _has_type(dtype, T.VariantType))
 
     def kind(self) -> str:
         """Columns of one kind share an aggregate that the JVM compiles well."""
@@ -219,7 +222,9 @@ def profile_columns(
 def numeric_profile(df: DataFrame, name: str) -> DataFrame:
     """One row about one numeric column's values that are not null.
 
-    Digits, range, row count and exact distinct count, all in one pass.
+    Digits, range, row count and exact distinct count, all in one pass. Rows
+    whose value has no plain text are in every measure but the digits, and
+    counted in ``n_unmeasured``.
     """
     (name,) = resolve(df, [name])
     dtype = df.schema[name].dataType
@@ -247,6 +252,9 @@ def numeric_profile(df: DataFrame, name: str) -> DataFrame:
         F.max("value").alias("max_value"),
         F.coalesce(F.sum("copies"), F.lit(0).cast("bigint")).alias("total_rows"),
         F.count("value").alias("distinct_values"),
+        F.coalesce(
+            F.sum(F.when(F.col("text").isNull(), F.col("copies"))), F.lit(0).cast("bigint")
+        ).alias("n_unmeasured"),
     )
 
 

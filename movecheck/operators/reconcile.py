@@ -211,12 +211,16 @@ class KeyReconciliation:
             totals = changed.agg(
                 F.count(F.lit(1)).alias("n_changed"),
                 *[
-                    F.count_if(~column(f"left_{name}").eqNullSafe(column(f"right_{name}"))).alias(f"c{i}")
+                    F.count_if(
+                        ~column(f"left_{name}").eqNullSafe(column(f"right_{name}"))
+                    ).alias(f"c{i}")
                     for i, name in enumerate(group)
                 ],
             )
             rows = [
-                F.struct(F.lit(name).alias("column_name"), "n_changed", F.col(f"c{i}").alias("n_mismatches"))
+                F.struct(
+                    F.lit(name).alias("column_name"), "n_changed", F.col(f"c{i}").alias("n_mismatches")
+                )
                 for i, name in enumerate(group)
             ]
             parts.append(totals.select(F.inline(F.array(*rows))))

@@ -8,7 +8,6 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from movecheck.functions.names import column, resolve
 
@@ -107,11 +106,6 @@ def write_table(
         writer.save(target)
 
 
-def void_columns(schema: T.StructType) -> list[str]:
-    """Columns without a type, which no file format can store."""
-    return [f.name for f in schema if isinstance(f.dataType, T.NullType)]
-
-
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new folder name in the cluster's shared scratch space.
 

@@ -65,9 +65,11 @@ def test_profile_of_every_kind_of_column(spark):
     frame = spark.createDataFrame(
         [(1, "abc", [1], {"a": 1}, True, None), (1, "\xe9", None, None, False, None), (2, None, [1], None, None, None)],
         "i int, s string, a array<int>, m map<string,int>, b boolean, n double",
-    )
+    ).selectExpr("*", "cast(s AS binary) AS y", "parse_json('1') AS v", "named_struct('f', i) AS t")
     got = by_name(mc.profile_columns(frame, exact_distinct=True))
-    assert len(got) == 6
+    assert len(got) == 9
+    assert (got["y"]["n_distinct"], got["y"]["min_value"], got["t"]["n_distinct"]) == (2, None, 2)
+    assert (got["v"]["n_distinct"], got["v"]["n_nulls"]) == (None, 0)
     assert (got["i"]["n_rows"], got["i"]["n_nulls"], got["i"]["n_distinct"]) == (3, 0, 2)
     assert (got["i"]["min_value"], got["i"]["max_value"]) == ("1", "2")
     assert (got["s"]["max_length"], got["s"]["n_nulls"], got["s"]["max_scale"]) == (3, 1, None)
@@ -85,12 +87,14 @@ def test_profile_of_an_empty_table(spark):
     frame = spark.createDataFrame([], "i int, d double, s string, x decimal(5,2)")
     got = by_name(mc.profile_columns(frame, exact_distinct=True))
     assert all(r["n_rows"] == 0 and r["max_precision"] is None for r in got.values())
-    assert rows(mc.numeric_profile(frame, "d")) == [(None, None, None, None, 0, 0)]
+    assert rows(mc.numeric_profile(frame, "d")) == [(None, None, None, None, 0, 0, 0)]
 
 
 def test_numeric_profile(spark):
     frame = spark.createDataFrame([(12.5,), (-5.0,), (None,), (12.5,), (100.25,)], "Amount double")
-    assert rows(mc.numeric_profile(frame, "amount")) == [(5, 2, -5.0, 100.25, 4, 3)]
+    assert rows(mc.numeric_profile(frame, "amount")) == [(5, 2, -5.0, 100.25, 4, 3, 0)]
+    odd = spark.createDataFrame([(1e30,), (1e30,), (2.5,)], "x double")
+    assert rows(mc.numeric_profile(odd, "x")) == [(2, 1, 2.5, 1e30, 3, 2, 2)]
     with pytest.raises(TypeError):
         mc.numeric_profile(spark.createDataFrame([("a",)], "s string"), "s")
 

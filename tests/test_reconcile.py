@@ -3,7 +3,6 @@ from __future__ import annotations
 import math
 import random
 from collections import Counter
-from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
