@@ -20,7 +20,12 @@ from movecheck.functions.digits import (
 )
 from movecheck.functions.names import column, resolve
 from movecheck.functions.types import FLOAT_TYPES, INTEGRAL_TYPES
-from movecheck.operators.tidy import in_groups, text
+from movecheck.operators.tidy import (
+    COLUMNS_PER_PASS,
+    MEASURED_COLUMNS_PER_PASS,
+    in_groups,
+    text,
+)
 
 PROFILE_COLUMNS = (
     "column_name", "data_type", "n_rows", "n_nulls", "min_value", "max_value",
@@ -33,6 +38,12 @@ RANGED_TYPES = (
 )
 
 
+# Columns per aggregate, by kind of column.
+PASS_SIZES = {
+    "plain": COLUMNS_PER_PASS, "text": COLUMNS_PER_PASS, "measured": MEASURED_COLUMNS_PER_PASS,
+}
+
+
 def _has_type(dtype: T.DataType, part: type) -> bool:
     if isinstance(dtype, T.ArrayType):
         return _has_type(dtype.elementType, part)
@@ -206,9 +217,9 @@ def profile_columns(
         for i, name in enumerate(names)
     ]
     passes = []
-    for kind in ("plain", "text", "measured"):
+    for kind, size in PASS_SIZES.items():
         alike = [p for p in profiles if p.kind() == kind]
-        passes += [_profile_pass(df, group) for group in in_groups(alike)]
+        passes += [_profile_pass(df, group) for group in in_groups(alike, size)]
     result = reduce(DataFrame.unionAll, passes)
     countable = [p.name for p in profiles if p.countable]
     if not (count_distinct and countable):
@@ -334,8 +345,8 @@ def text_digit_profile(df: DataFrame, columns: Sequence[str] | None = None) -> D
         raise ValueError("no column to profile")
     wanted = [_TextDigits(n, df.schema[n].dataType, f"c{i}") for i, n in enumerate(names)]
     passes = []
-    for kind in ("plain", "text", "measured"):
-        for group in in_groups([w for w in wanted if w.kind() == kind]):
+    for kind, size in PASS_SIZES.items():
+        for group in in_groups([w for w in wanted if w.kind() == kind], size):
             inputs = df.select(*[column(w.name).alias(w.alias) for w in group])
             inputs = _layer(inputs, {k: v for w in group for k, v in w.parts().items()})
             inputs = _layer(inputs, {k: v for w in group for k, v in w.measures().items()})

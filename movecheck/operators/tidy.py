@@ -14,7 +14,8 @@ Item = TypeVar("Item")
 
 # One aggregate over very many columns outgrows what the JVM will compile, so
 # wide tables are measured in groups. Each group scans its own columns only.
-COLUMNS_PER_PASS = 32
+COLUMNS_PER_PASS = 16
+MEASURED_COLUMNS_PER_PASS = 8
 
 
 @dataclass(frozen=True)
