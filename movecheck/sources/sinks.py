@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Mapping, Sequence
@@ -109,8 +110,21 @@ def write_table(
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new folder name in the cluster's shared scratch space.
 
-    The space is ``spark.checkpoint.dir``; only where that is unset (a local
-    test) a machine-local folder is made.
+    The space is ``spark.checkpoint.dir``. Where that is unset, a local master
+    gets a folder of this machine and any other master an error, as executors
+    could not read each other's files. Nothing here removes the folders: the
+    owner of the scratch space does, once the frames read from it are done with.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="movecheck-")
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        base = tempfile.mkdtemp(prefix="movecheck-")
     return f"{base.rstrip('/')}/movecheck/{label}-{uuid.uuid4().hex}"
+
+
+def saved(df: DataFrame, label: str) -> DataFrame:
+    """The frame written to scratch space and read back: its lineage ends here."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
