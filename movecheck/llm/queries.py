@@ -9,9 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from movecheck.llm.byte_bpe import round_trip
 from movecheck.llm.gam import classify_quality
+from movecheck.llm.orc_tokens import token_files
 from movecheck.llm.quality_rules import quality_rules
 from movecheck.llm.simhash import near_duplicates
 
@@ -46,3 +49,17 @@ def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document."""
     return classify_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document, decoded again."""
+    return round_trip(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    )
+
+
+@query
+def op10_orc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token files of all documents, as read back."""
+    return token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -82,6 +83,29 @@ def text_counts(text: str | None) -> dict[str, int]:
     }
 
 
+def distinct(values: pa.Array) -> tuple[np.ndarray, list[bytes]]:
+    """(for each value the number of its distinct value, the distinct values)."""
+    coded = values.dictionary_encode()
+    return coded.indices.to_numpy(), coded.dictionary.to_pylist()
+
+
+def spread(lists: list[tuple[int, ...]], index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbered lists end to end, and where each of them ends."""
+    sizes = np.fromiter(map(len, lists), np.int32, len(lists))
+    flat = np.fromiter(chain.from_iterable(lists), np.int32, int(sizes.sum()))
+    starts = np.cumsum(sizes, dtype=np.int64) - sizes
+    own = sizes[index]
+    ends = np.cumsum(own, dtype=np.int64)
+    at = np.repeat(starts[index] - (ends - own), own)
+    at += np.arange(len(at))
+    return flat[at], ends
+
+
+def ends_of(groups: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Offsets of groups of lists: ``groups`` are offsets into the lists."""
+    return np.concatenate([[0], ends])[groups]
+
+
 def slices(batch: pa.RecordBatch, column: str, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """The batch in runs of rows with about ``size`` bytes of text (one row at least)."""
     lengths = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0)
