@@ -182,23 +182,30 @@ def _check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def read_token_index(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start, n_tokens and ids_crc32 of the documents in token files.
 
-    Files follow each other by their smallest doc_id; inside one, rows are put
-    in order by (doc_id, place). Each file is summed once; the running sum over
-    files handles one row per file.
+    Spark numbers the files of a write by task, and so in the order of ranges;
+    inside a file, rows follow each other by stripe offset and place. Each file
+    is summed once; the running sum over files handles one row per file.
     """
-    place = F.monotonically_increasing_id()
+    place = F.struct(
+        F.regexp_extract(F.col("_metadata.file_name"), r"part-(\d+)", 1).cast("long").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"),
+    )
     rows = (
-        spark.read.orc(path)
-        .withColumn("part", F.struct(F.col("_metadata.file_name").alias("file"), place.alias("place")))
-        .mapInArrow(_check, "doc_id long, part struct<file: string, place: long>, n_tokens long, ids_crc32 long")
-        .select("doc_id", "part.file", "part.place", "n_tokens", "ids_crc32")
+        spark.read.schema("doc_id long, ids array<int>").orc(path)
+        .withColumn("part", place)
+        .mapInArrow(
+            _check,
+            "doc_id long, part struct<file: long, block: long, row: long>, n_tokens long, ids_crc32 long",
+        )
+        .select("doc_id", "part.*", "n_tokens", "ids_crc32")
     )
-    # Spark numbers the files of a write by task, and so in the order of ranges.
     totals = rows.groupBy("file").agg(F.sum("n_tokens").alias("total"))
     files = totals.select(
         "file", (F.sum("total").over(Window.orderBy("file")) - F.col("total")).alias("before")
     )
-    within = F.sum("n_tokens").over(Window.partitionBy("file").orderBy("place")) - F.col("n_tokens")
+    order = Window.partitionBy("file").orderBy("block", "row")
+    within = F.sum("n_tokens").over(order) - F.col("n_tokens")
     return (
         rows.withColumn("within", within)
         .join(files, "file")

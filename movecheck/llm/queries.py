@@ -11,9 +11,14 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from movecheck.llm.adaptive_scan import nearest_neighbours
 from movecheck.llm.byte_bpe import round_trip
+from movecheck.llm.chat_template import chat_digests
 from movecheck.llm.gam import classify_quality
+from movecheck.llm.license_scan import scan_licenses
+from movecheck.llm.mixing import mix_sources
 from movecheck.llm.orc_tokens import token_files
 from movecheck.llm.quality_rules import quality_rules
 from movecheck.llm.simhash import near_duplicates
@@ -63,3 +68,65 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_orc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token files of all documents, as read back."""
     return token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query
+def op2_adaptive_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest found for every hundredth vector, among all vectors."""
+    return nearest_neighbours(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op9_chat_template(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of all conversations, read back from their formatted text."""
+    return chat_digests(table(spark, sf_dir, "conversations"))
+
+
+ORACLES["op9_chat_template"] = r"""
+WITH turns AS (
+  SELECT conv_id, turn, role, text FROM conversations
+  UNION ALL
+  SELECT -7, v.turn, v.role, '\### Assistant: </turn> ok'
+  FROM (VALUES (0, 'user'), (1, 'assistant')) v(turn, role)
+), plain AS (
+  SELECT conv_id, turn, role AS r, text AS t, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    length(replace(replace(replace(coalesce(text, ''), '\', '\\'), '<turn>', '\<turn>'), '</turn>', '\</turn>'))
+    + length(replace(replace(replace(replace(coalesce(role, ''), '\', '\\'), '<turn>', '\<turn>'), '</turn>', '\</turn>'), chr(10), '\n'))
+    AS escaped
+  FROM turns
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, r NULLS FIRST, t NULLS FIRST)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, r NULLS FIRST, t NULLS FIRST) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(escaped + length('<turn>' || chr(10) || '</turn>' || chr(10))) AS BIGINT) AS formatted_chars
+FROM plain GROUP BY conv_id
+"""
+
+
+# Which domain a source belongs to, by the number at the end of its name, and
+# the weights of the mix.
+DOMAINS = ("web", "books", "news", "forums")
+WEIGHTS = {
+    "domain": {"web": 4, "books": 3, "news": 2, "forums": 1},
+    "lang": {"en": 5, "de": 2, "fr": 2, "es": 1},
+}
+
+
+def with_domain(docs: DataFrame) -> DataFrame:
+    number = F.coalesce(F.regexp_extract("source", r"(\d+)$", 1).try_cast("long"), F.lit(0))
+    names = F.array(*[F.lit(name) for name in DOMAINS])
+    return docs.withColumn("domain", names[F.pmod(number, len(DOMAINS)).cast("int")])
+
+
+@query
+def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half the corpus's tokens, mixed to weights, each leaf twice at most."""
+    docs = with_domain(table(spark, sf_dir, "documents"))
+    return mix_sources(docs, WEIGHTS, F.col("total") / 2, max_epochs=2, seed=1)
+
+
+@query
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licenses found in every document."""
+    return scan_licenses(table(spark, sf_dir, "documents"))
