@@ -17,6 +17,7 @@ from movecheck.llm.adaptive_scan import nearest_neighbours
 from movecheck.llm.byte_bpe import round_trip
 from movecheck.llm.chat_template import chat_digests
 from movecheck.llm.gam import classify_quality
+from movecheck.llm.gru_lm import score_documents
 from movecheck.llm.license_scan import scan_licenses
 from movecheck.llm.mixing import mix_sources
 from movecheck.llm.orc_tokens import token_files
@@ -130,3 +131,9 @@ def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licenses found in every document."""
     return scan_licenses(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and network likelihood of every document."""
+    return score_documents(table(spark, sf_dir, "documents"))
