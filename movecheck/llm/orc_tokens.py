@@ -10,8 +10,8 @@ whole sequence follows from the files' totals and a running sum within each.
 The tokenizer drops white space and never looks across it, so a word's ids do
 not depend on its neighbours. Words are therefore encoded by the library once
 per worker and kept in a bounded cache. Words that are missing go to it together:
-words of letters as they are, as each ends in one closing id, and all others with
-a separating word between them.
+letters as they are, as each word of them ends in one closing id, and all others
+with a separating word between them.
 """
 
 from __future__ import annotations
@@ -49,6 +49,7 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.limit = cache
+        self.stems: dict[bytes, tuple[int, ...]] = {}
         self.cache: dict[bytes, tuple[int, ...]] = {}
         vocabulary = self.tokenizer.get_vocab()
         self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
@@ -83,44 +84,79 @@ class WordEncoder:
         flat = ids.tolist()
         return [tuple(flat[a:b]) for a, b in zip([0, *ends.tolist()], ends.tolist())]
 
-    def _parts(self, word: bytes) -> tuple[bytes, bytes] | None:
-        """(letters, closing symbols) if the word is just that, else None."""
-        bare = word.rstrip(CLOSING)
-        # Lower case can bring combining marks, which join what follows.
-        if not bare or not bare.decode("utf-8", "surrogatepass").lower().isalpha():
-            return None
-        return (bare.lower() if bare.isascii() else bare), word[len(bare) :]
-
-    def _fill(self, words: set[bytes], encode: Callable, run: int = 2000) -> None:
-        todo = [w for w in words if w not in self.cache]
-        for i in range(0, len(todo), run):
-            self.cache.update(zip(todo[i : i + run], encode(todo[i : i + run])))
-
-    def known(self, words: Sequence[bytes]) -> dict[bytes, tuple[int, ...]]:
-        """A mapping that holds at least the given words."""
-        wanted = set(words)
-        missing = wanted - self.cache.keys()
-        if len(self.cache) + 2 * len(missing) > self.limit:
-            self.cache = {}
-            missing = wanted
+    def _known(self, cache: dict, words: list[bytes], encode: Callable, run: int = 2000) -> list[tuple[int, ...]]:
+        """The ids of distinct words, by way of a bounded cache."""
+        found = list(map(cache.get, words))
+        missing = [w for w, ids in zip(words, found) if ids is None]
+        if missing:
+            if len(cache) + len(missing) > self.limit:
+                cache.clear()
+            new: dict[bytes, tuple[int, ...]] = {}
+            for i in range(0, len(missing), run):
+                new.update(zip(missing[i : i + run], encode(missing[i : i + run])))
+            cache.update(new)
+            found = [new[w] if ids is None else ids for w, ids in zip(words, found)]
+        return found
+
+    def _encode_any(self, words: list[bytes]) -> list[tuple[int, ...]]:
         mark = SEPARATOR.encode()
-        parts = {w: self._parts(w) for w in missing if mark not in w}
-        split = {w: both for w, both in parts.items() if both}
-        self._fill({bare for bare, _ in split.values()}, self._encode_bare)
-        self._fill({tail for _, tail in split.values() if tail}, self._encode_words)
-        cache = self.cache
-        cache.update((w, cache[a] + cache[b] if b else cache[a]) for w, (a, b) in split.items())
-        self._fill({w for w, both in parts.items() if not both}, self._encode_words)
-        for word in missing - parts.keys():
-            cache[word] = tuple(self._encode(word.decode("utf-8", "surrogatepass")))
-        return cache
+        plain = [w for w in words if mark not in w]
+        found = dict(zip(plain, self._encode_words(plain))) if plain else {}
+        return [
+            found[w] if w in found else tuple(self._encode(w.decode("utf-8", "surrogatepass")))
+            for w in words
+        ]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts end to end, offsets of the texts in them)."""
-        words = pa.compute.ascii_split_whitespace(texts.cast(pa.large_string()))
-        index, uniques = distinct(words.values.cast(pa.large_binary()))
-        ids, ends = spread(list(map(self.known(uniques).__getitem__, uniques)), index)
-        return ids, ends_of(words.offsets.to_numpy(), ends)
+        """(ids of all texts end to end, offsets of the texts in them).
+
+        A word of letters with closing symbols is its letters, in lower case,
+        followed by its symbols; any other word is looked up as it is.
+        """
+        lists = pa.compute.ascii_split_whitespace(texts.cast(pa.large_string()))
+        words = lists.values
+        bare = pa.compute.ascii_lower(pa.compute.ascii_rtrim(words, CLOSING.decode()))
+        stem_of, stems = distinct(bare.cast(pa.large_binary()))
+        plain = np.array([letters_only(stem) for stem in stems], bool)[stem_of] if stems else np.zeros(0, bool)
+        used = np.unique(stem_of[plain])
+        number = np.zeros(len(stems), np.int64)
+        number[used] = np.arange(len(used))
+        table = self._known(self.stems, [stems[i] for i in used.tolist()], self._encode_bare)
+
+        lengths = pa.compute.binary_length(bare).to_numpy().astype(np.int64)
+        bounds = np.frombuffer(words.buffers()[1], np.int64)[words.offset : words.offset + len(words) + 1]
+        begins, ends = bounds[:-1], bounds[1:]
+        closed = plain & (begins + lengths < ends)
+        starts, sizes = (begins + lengths)[closed], (ends - begins - lengths)[closed]
+        symbol_of, symbols = distinct(cut_out(words, starts, sizes))
+        other_of, others = distinct(words.filter(pa.array(~plain)).cast(pa.large_binary()))
+        index = np.empty(len(words), np.int64)
+        index[plain] = number[stem_of[plain]]
+        index[~plain] = other_of + len(table) + len(symbols)
+        # A closed word takes two places in the sequence of looked-up parts.
+        place = np.arange(len(words)) + np.cumsum(closed) - closed
+        parts = np.empty(len(words) + int(closed.sum()), np.int64)
+        parts[place] = index
+        parts[place[closed] + 1] = symbol_of + len(table)
+        table = table + self._known(self.cache, symbols + others, self._encode_any)
+        ids, part_ends = spread(table, parts)
+        groups = np.append(place, len(parts))[lists.offsets.to_numpy()]
+        return ids, ends_of(groups, part_ends)
+
+
+def letters_only(stem: bytes) -> bool:
+    """True for letters that stay letters in lower case (which can bring marks)."""
+    return stem.isalpha() if stem.isascii() else stem.decode("utf-8", "surrogatepass").lower().isalpha()
+
+
+def cut_out(words: pa.Array, starts: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """Slices of the words' bytes as an array of their own."""
+    offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+    at = np.repeat(starts - offsets[:-1], sizes) + np.arange(offsets[-1])
+    data = np.frombuffer(words.buffers()[2] or b"", np.uint8)[at]
+    return pa.LargeBinaryArray.from_buffers(
+        pa.large_binary(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(data.tobytes())]
+    )
 
 
 @lru_cache(2)
@@ -140,7 +176,7 @@ def write_token_files(docs: DataFrame, target: str, tokenizer: str, end_id: int
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = word_encoder(tokenizer)
         for batch in batches:
-            for part in slices(batch, "text", 8 << 20):
+            for part in slices(batch, "text", 16 << 20):
                 flat, offsets = encoder.encode(part.column(1).fill_null(""))
                 flat = np.insert(flat, offsets[1:], end_id)
                 offsets = offsets + np.arange(len(offsets))
