@@ -28,7 +28,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from movecheck.llm.gam import remainder
@@ -353,10 +353,20 @@ def _texts(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary) -> Iterato
 
 
 def gather_vocabulary(training: DataFrame, counts: DataFrame) -> Vocabulary:
-    """Totals, and at most ``FREQUENT`` words, to the driver."""
+    """Totals, and at most ``FREQUENT`` words, to the driver.
+
+    These are all words from the count on at which no more than so many remain.
+    """
     n_docs = training.count()
     totals = counts.agg(F.count("*").alias("v"), F.coalesce(F.sum("c"), F.lit(0)).alias("n")).first()
-    top = counts.orderBy(F.desc("c"), "word").limit(FREQUENT).toPandas()
+    # A row per different count, far fewer than words.
+    upto = F.sum("words").over(Window.orderBy(F.desc("c")))
+    least = (
+        counts.groupBy("c").agg(F.count("*").alias("words")).withColumn("upto", upto)
+        .filter(F.col("upto") <= FREQUENT).agg(F.min("c").alias("c")).first()["c"]
+    )
+    top = counts.filter(F.col("c") >= F.lit(least)).toPandas()
+    top = top.sort_values(["c", "word"], ascending=[False, True])
     return Vocabulary(
         top["word"].tolist(), top["c"].to_numpy(np.int64), n_docs, totals["n"] + n_docs,
         totals["v"] + (n_docs > 0),
