@@ -92,7 +92,7 @@ def automaton() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndar
     n_states, n_symbols = T_DONE + 1, S_BREAK + 1
     moves = np.array([[step(s, c)[0] for c in range(n_symbols)] for s in range(n_states)], np.uint8)
     starts = np.array([[step(s, c)[1] for c in range(n_symbols)] for s in range(n_states)], bool)
-    known: dict[tuple[int, ...], int] = {tuple(range(n_states)): 0}
+    known: dict[bytes, int] = {tuple(range(n_states)): 0}
     todo = [tuple(range(n_states))]
     symbols = [tuple(int(x) for x in moves[:, c]) for c in range(n_symbols)]
     while todo:
@@ -199,7 +199,7 @@ class Merger:
 
     def __init__(self, ranks: dict[bytes, int], cache: int = CACHE):
         self.ranks, self.limit = ranks, cache
-        self.cache: dict[bytes, tuple[int, ...]] = {}
+        self.cache: dict[bytes, bytes] = {}
         self.octets = np.array([ranks[bytes([i])] for i in range(256)], np.int64)
         pairs = sorted(
             (ranks[t[:i]] << 32 | ranks[t[i:]], rank)
@@ -210,7 +210,7 @@ class Merger:
         self.pair_keys = np.array([key for key, _ in pairs], np.int64)
         self.pair_ranks = np.array([rank for _, rank in pairs], np.int64)
 
-    def known(self, pieces: Sequence[bytes]) -> dict[bytes, tuple[int, ...]]:
+    def known(self, pieces: Sequence[bytes]) -> dict[bytes, bytes]:
         """A mapping that holds at least the given pieces."""
         wanted = set(pieces)
         missing = wanted - self.cache.keys()
@@ -235,7 +235,7 @@ class Merger:
         at = np.minimum(np.searchsorted(self.pair_keys, keys), len(self.pair_keys) - 1)
         return np.where(self.pair_keys[at] == keys, self.pair_ranks[at], NEVER)
 
-    def merge_all(self, pieces: list[bytes], length: int) -> list[tuple[int, ...]]:
+    def merge_all(self, pieces: list[bytes], length: int) -> list[bytes]:
         """Merge many pieces of one length side by side.
 
         Every row holds a piece's ids from the left, -1 behind them. Each pass
@@ -270,10 +270,11 @@ class Merger:
             ranks[rows, at] = np.where(after >= 0, self.pair_rank(rank, np.maximum(after, 0)), NEVER)
             inner = np.flatnonzero(at > 0)
             ranks[inner, at[inner] - 1] = self.pair_rank(ids[inner, at[inner] - 1], rank[inner])
-        sizes = (out >= 0).sum(1).tolist()
-        return [tuple(row[:size]) for row, size in zip(out.tolist(), sizes)]
+        ends = (4 * (out >= 0).sum(1)).tolist()
+        flat, width = out.astype(np.int32).tobytes(), 4 * (length + 1)
+        return [flat[i * width : i * width + end] for i, end in enumerate(ends)]
 
-    def merge(self, piece: bytes) -> tuple[int, ...]:
+    def merge(self, piece: bytes) -> bytes:
         """One long piece, in n log n: a heap of pairs over a linked list."""
         n, ranks = len(piece), self.ranks
         ends = list(range(1, n + 1))
@@ -302,7 +303,7 @@ class Merger:
             offer(i)
             if before[i] >= 0:
                 offer(before[i])
-        return tuple(ranks[piece[i : ends[i]]] for i in range(n) if alive[i])
+        return np.array([ranks[piece[i : ends[i]]] for i in range(n) if alive[i]], np.int32).tobytes()
 
 
 def read_ranks(path: str) -> dict[bytes, int]:

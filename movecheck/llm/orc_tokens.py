@@ -30,7 +30,7 @@ from tokenizers import Tokenizer
 from movecheck.llm.text import distinct, ends_of, slices, spread
 from movecheck.sources.sinks import scratch_path
 
-CACHE = 600_000
+CACHE = 350_000
 END_ID = 1
 ROW_INDEX = 1000
 STRIPE_BYTES = 16 << 20
@@ -49,8 +49,8 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.limit = cache
-        self.stems: dict[bytes, tuple[int, ...]] = {}
-        self.cache: dict[bytes, tuple[int, ...]] = {}
+        self.stems: dict[bytes, bytes] = {}
+        self.cache: dict[bytes, bytes] = {}
         vocabulary = self.tokenizer.get_vocab()
         self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
         self.closes[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
@@ -59,7 +59,10 @@ class WordEncoder:
     def _encode(self, text: str) -> list[int]:
         return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
-    def _encode_words(self, words: list[bytes]) -> list[tuple[int, ...]]:
+    def _alone(self, word: bytes) -> bytes:
+        return np.array(self._encode(word.decode("utf-8", "surrogatepass")), np.int32).tobytes()
+
+    def _encode_words(self, words: list[bytes]) -> list[bytes]:
         """Ids of many words, none of which holds the separator."""
         text = f" {SEPARATOR} ".join([w.decode("utf-8", "surrogatepass") for w in words])
         ids = np.array(self._encode(text), np.int64)
@@ -69,43 +72,40 @@ class WordEncoder:
             hits &= ids[i : len(ids) - k + 1 + i] == part
         cuts = np.flatnonzero(hits)
         if len(cuts) != len(words) - 1:
-            return [tuple(self._encode(w.decode("utf-8", "surrogatepass"))) for w in words]
-        flat = ids.tolist()
+            return [self._alone(w) for w in words]
+        flat = ids.astype(np.int32).tobytes()
         starts = [0, *(cuts + k).tolist()]
-        return [tuple(flat[a:b]) for a, b in zip(starts, [*cuts.tolist(), len(flat)])]
+        return [flat[4 * a : 4 * b] for a, b in zip(starts, [*cuts.tolist(), len(ids)])]
 
-    def _encode_bare(self, words: list[bytes]) -> list[tuple[int, ...]]:
+    def _encode_bare(self, words: list[bytes]) -> list[bytes]:
         """Ids of words of letters only: each is one piece, closed by one end id."""
         text = b" ".join(words).decode("utf-8", "surrogatepass")
         ids = np.array(self._encode(text), np.int64)
         ends = np.flatnonzero(self.closes[ids]) + 1
         if len(ends) != len(words):
             return self._encode_words(words)
-        flat = ids.tolist()
-        return [tuple(flat[a:b]) for a, b in zip([0, *ends.tolist()], ends.tolist())]
+        flat = ids.astype(np.int32).tobytes()
+        return [flat[4 * a : 4 * b] for a, b in zip([0, *ends.tolist()], ends.tolist())]
 
-    def _known(self, cache: dict, words: list[bytes], encode: Callable, run: int = 2000) -> list[tuple[int, ...]]:
+    def _known(self, cache: dict, words: list[bytes], encode: Callable, run: int = 2000) -> list[bytes]:
         """The ids of distinct words, by way of a bounded cache."""
         found = list(map(cache.get, words))
         missing = [w for w, ids in zip(words, found) if ids is None]
         if missing:
             if len(cache) + len(missing) > self.limit:
                 cache.clear()
-            new: dict[bytes, tuple[int, ...]] = {}
+            new: dict[bytes, bytes] = {}
             for i in range(0, len(missing), run):
                 new.update(zip(missing[i : i + run], encode(missing[i : i + run])))
             cache.update(new)
             found = [new[w] if ids is None else ids for w, ids in zip(words, found)]
         return found
 
-    def _encode_any(self, words: list[bytes]) -> list[tuple[int, ...]]:
+    def _encode_any(self, words: list[bytes]) -> list[bytes]:
         mark = SEPARATOR.encode()
         plain = [w for w in words if mark not in w]
         found = dict(zip(plain, self._encode_words(plain))) if plain else {}
-        return [
-            found[w] if w in found else tuple(self._encode(w.decode("utf-8", "surrogatepass")))
-            for w in words
-        ]
+        return [found[w] if w in found else self._alone(w) for w in words]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts end to end, offsets of the texts in them).
