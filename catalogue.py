@@ -840,13 +840,15 @@ def failure_summary_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """
-    SELECT 'The following tables failed to load: ' || string_agg(o_orderpriority, ', ' ORDER BY o_orderpriority)
-           AS message
-    FROM (SELECT DISTINCT o_orderpriority FROM orders WHERE o_orderstatus = 'F')
+    WITH failed AS (SELECT DISTINCT o_orderpriority AS p FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority IS NOT NULL)
+    SELECT 'The following tables failed to load: ' || p AS message FROM failed
+    UNION ALL
+    SELECT CASE WHEN count(*) > 0 THEN count(*) || ' tables failed to load.' ELSE 'All tables loaded successfully.' END
+    FROM failed
     """
 )
 def failure_message_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The closing message, with each order priority as a table and F as failed."""
+    """The messages of a load, with each order priority as a table and F as failed."""
     return mc.failure_message(table(spark, sf_dir, "orders"), "o_orderpriority", "o_orderstatus", failed="F")
 
 

@@ -8,8 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 import movecheck as mc
 
-SHOWN_ROWS = 10_000
-
 
 def _pairs(items: list[str]) -> dict[str, str]:
     return dict(item.split("=", 1) for item in items)
@@ -90,8 +88,8 @@ def main(argv: list[str] | None = None) -> None:
     if args.output:
         mc.write_table(report, args.output, mode="errorifexists")
     else:
-        # One row per column, or the sample that was asked for.
-        report.show(SHOWN_ROWS, truncate=False)
+        # All of it: one row per column, or the sample that was asked for.
+        report.show(max(report.count(), 1), truncate=False)
 
 
 if __name__ == "__main__":

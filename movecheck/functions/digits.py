@@ -15,26 +15,28 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-WIDE_DECIMAL = T.DecimalType(38, 18)
-
 
 def plain_text(value: Column, dtype: T.DataType) -> Column:
-    """``abs(value)`` without an exponent; null where that cannot be had.
+    """``abs(value)`` without an exponent; null for NaN and the infinities.
 
-    Floats print an exponent outside 1e-3..1e7. Such a text is re-read as a
-    wide decimal and used only if that decimal is the same float again, which
-    rejects what is too large or too small for 38 digits. NaN and the
-    infinities have no digits.
+    Floats print an exponent outside 1e-3..1e7. Such a text is written out from
+    its digits and its exponent, whatever their size.
     """
     size = F.abs(value)
     text = size.cast("string")
     if isinstance(dtype, T.DecimalType):
         return text
-    exact = text.try_cast(WIDE_DECIMAL)
-    short = F.rtrim(exact.cast("string"), F.lit("0"))
-    plain = F.when(F.endswith(short, F.lit(".")), F.concat(short, F.lit("0")))
+    exponent = F.substring_index(text, "E", -1).try_cast("int")
+    digits = F.rtrim(F.translate(F.substring_index(text, "E", 1), ".", ""), F.lit("0"))
+    whole = exponent + 1
+    padded = F.concat(digits, F.repeat(F.lit("0"), F.greatest(whole - F.length(digits), F.lit(0))))
+    fraction = F.substr(padded, whole + 1)
+    large = F.concat(
+        F.substr(padded, F.lit(1), whole), F.lit("."), F.when(fraction == "", "0").otherwise(fraction)
+    )
+    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), F.greatest(-exponent - 1, F.lit(0))), digits)
     return (
-        F.when(F.instr(text, "E") > 0, F.when(exact.cast(dtype) == size, plain.otherwise(short)))
+        F.when(F.instr(text, "E") > 0, F.when(exponent >= 0, large).otherwise(small))
         .when(~F.isnan(size) & (size != F.lit(float("inf"))), text)
     )
 

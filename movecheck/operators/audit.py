@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from movecheck.functions.names import column, resolve
 
-# The two messages a load report ends with.
+# The messages of a load report.
 FAILED_MESSAGE = "The following tables failed to load: "
+FAILED_COUNT = " tables failed to load."
 LOADED_MESSAGE = "All tables loaded successfully."
 
 
@@ -30,15 +31,13 @@ def failure_summary(
 def failure_message(
     runs: DataFrame, table: str = "table", status: str = "status", failed: str = "failed"
 ) -> DataFrame:
-    """One row with the report's closing message.
+    """A message for every failed table, and a closing one.
 
-    The message names every failed table once, in order; it is as long as
-    that list, so use it for tables of a load and :func:`failure_summary`
-    where the keys are data.
+    The closing message has the number of failed tables, or says that all
+    loaded. Nothing is gathered into one row, so tables may be many.
     """
-    names = F.array_sort(F.collect_list(F.col("table_name").cast("string")))
-    return failure_summary(runs, table, status, failed).agg(
-        F.when(F.count(F.lit(1)) > 0, F.concat(F.lit(FAILED_MESSAGE), F.array_join(names, ", ")))
-        .otherwise(F.lit(LOADED_MESSAGE))
-        .alias("message")
-    )
+    summary = failure_summary(runs, table, status, failed)
+    named = summary.select(F.concat(F.lit(FAILED_MESSAGE), F.col("table_name").cast("string")).alias("message"))
+    n = F.count(F.lit(1))
+    closing = F.when(n > 0, F.concat(n.cast("string"), F.lit(FAILED_COUNT))).otherwise(F.lit(LOADED_MESSAGE))
+    return named.unionByName(summary.agg(closing.alias("message")))

@@ -81,6 +81,8 @@ def write_table(
     parts, clusters = resolve(df, parts), resolve(df, cluster_by or [])
 
     if fmt.lower() in CONNECTOR_OPTIONS:
+        if dynamic or partition_grain or as_table:
+            raise ValueError(f"{fmt} has no counterpart here for dynamic, partition_grain or as_table")
         settings = connector_options(fmt, target, parts, clusters)
         df.write.format(fmt).options(**settings).options(**(options or {})).mode(mode).save()
         return
@@ -101,7 +103,18 @@ def write_table(
         writer = writer.partitionBy(*parts)
     elif clusters and as_table:
         writer = writer.clusterBy(*clusters)
-    if as_table:
+    if as_table and dynamic and df.sparkSession.catalog.tableExists(target):
+        # saveAsTable would make the table anew and lose its other partitions;
+        # insertInto takes the mode from the session alone.
+        spark, setting = df.sparkSession, "spark.sql.sources.partitionOverwriteMode"
+        rows = df.select(*[column(name) for name in spark.table(target).columns])
+        before = spark.conf.get(setting)
+        spark.conf.set(setting, "dynamic")
+        try:
+            rows.write.mode("overwrite").insertInto(target)
+        finally:
+            spark.conf.set(setting, before)
+    elif as_table:
         writer.saveAsTable(target)
     else:
         writer.save(target)

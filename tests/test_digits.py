@@ -29,8 +29,10 @@ def digits(found):
         (1.5, (2, 1, 1, 0)),
         (1e7, (9, 8, 1, 0)),
         (1.5e-7, (9, 1, 8, 0)),
-        (1e20, (None, None, None, 1)),
-        (1e-30, (None, None, None, 1)),
+        (1e20, (22, 21, 1, 0)),
+        (1e-30, (31, 1, 30, 0)),
+        (1e300, (302, 301, 1, 0)),
+        (-1.25e-20, (23, 1, 22, 0)),
         (math.nan, (None, None, None, 1)),
         (-math.inf, (None, None, None, 1)),
     ],
@@ -94,7 +96,7 @@ def test_numeric_profile(spark):
     frame = spark.createDataFrame([(12.5,), (-5.0,), (None,), (12.5,), (100.25,)], "Amount double")
     assert rows(mc.numeric_profile(frame, "amount")) == [(5, 2, -5.0, 100.25, 4, 3, 0)]
     odd = spark.createDataFrame([(1e30,), (1e30,), (2.5,)], "x double")
-    assert rows(mc.numeric_profile(odd, "x")) == [(2, 1, 2.5, 1e30, 3, 2, 2)]
+    assert rows(mc.numeric_profile(odd, "x")) == [(32, 1, 2.5, 1e30, 3, 2, 0)]
     with pytest.raises(TypeError):
         mc.numeric_profile(spark.createDataFrame([("a",)], "s string"), "s")
 
@@ -107,8 +109,15 @@ def test_profile_runs_without_python(spark):
 
 def general_text_sizes(value) -> tuple[int, int]:
     """The signed text rule, on Python's own decimal text."""
-    text = str(Decimal(str(value)))
-    return len(text.strip("-").split(".")[0]), len(text.split(".")[-1])
+    sign, digits, exponent = Decimal(str(value)).as_tuple()
+    if isinstance(exponent, str):
+        return (3, 3) if exponent == "n" else (8, 8 + sign)
+    n = len(digits)
+    first = exponent + n - 1
+    if exponent > 0 or first < -6:
+        tail = 2 + len(str(abs(first)))
+        return (1 + tail, 1 + tail + sign) if n == 1 else (1, n - 1 + tail)
+    return (n, n + sign) if exponent == 0 else (max(n + exponent, 1), -exponent)
 
 
 FIXED = [

@@ -115,7 +115,10 @@ def test_failure_reports(spark):
         "table string, task string, status string",
     )
     assert rows(mc.failure_summary(runs)) == [("big_table", 2), ("c", 1)]
-    assert rows(mc.failure_message(runs)) == [("The following tables failed to load: big_table, c",)]
+    assert rows(mc.failure_message(runs)) == [
+        ("2 tables failed to load.",),
+        ("The following tables failed to load: big_table",), ("The following tables failed to load: c",),
+    ]
     fine = runs.filter("status = 'success'")
     assert rows(mc.failure_summary(fine)) == []
     assert rows(mc.failure_message(fine)) == [("All tables loaded successfully.",)]

@@ -221,12 +221,10 @@ def test_align_partitions(spark, tmp_path):
 
 
 def test_stateless_operators_on_a_stream(spark, tmp_path):
-    from movecheck import streaming
-
     path = str(tmp_path / "in")
     spark.createDataFrame([("1", [1.5])], "id string, xs array<double>").write.parquet(path)
     stream = spark.readStream.schema("id string, xs array<double>").parquet(path)
-    shaped = streaming.conform(stream, contract(id="int", xs="array<decimal(10,1)>"))
+    shaped = mc.conform(stream, contract(id="int", xs="array<decimal(10,1)>"))
     run = shaped.writeStream.format("memory").queryName("conformed").start()
     try:
         run.processAllAvailable()
@@ -242,3 +240,18 @@ def test_month_scan_of_written_table(spark, tmp_path):
     found = mc.scan_months(mc.read_table(spark, path), "d_month", "202207", "202208")
     assert rows(found.select("id")) == [(1,)]
     assert "PartitionFilters: [d_month" in plan_of(found) or "isnotnull(d_month" in plan_of(found)
+
+
+def test_dynamic_refresh_of_a_catalog_table_keeps_other_partitions(spark):
+    first = spark.createDataFrame([(1, "a"), (2, "b")], "id int, p string")
+    mc.write_table(first, "refreshed", partition_by="p", as_table=True)
+    again = spark.createDataFrame([("a", 9)], "p string, id int")
+    mc.write_table(again, "refreshed", mode="overwrite", dynamic=True, as_table=True, partition_by="p")
+    assert rows(spark.table("refreshed").select("id", "p")) == [(2, "b"), (9, "a")]
+    spark.sql("DROP TABLE refreshed")
+
+
+def test_connector_options_without_counterpart_are_refused(spark):
+    frame = spark.range(1)
+    with pytest.raises(ValueError):
+        mc.write_table(frame, "t", "bigquery", mode="overwrite", dynamic=True)
