@@ -86,3 +86,61 @@ def lost(value: Column, own: T.DataType, wanted: T.DataType) -> Column:
             F.lit(False),
         )
     return value.isNotNull() & try_cast(value, own, wanted).isNull()
+
+
+def _any_pair(value: Column, final: Column, test) -> Column:
+    """True where the test holds for some element of an array and of its cast."""
+    pairs = F.zip_with(value, final, test)
+    return F.coalesce(F.exists(pairs, lambda x: x), F.lit(False))
+
+
+def is_lost(value: Column, own: T.DataType, final: Column, wanted: T.DataType) -> Column:
+    """True where ``final``, made from ``value`` by casts, is null for a value.
+
+    :func:`lost` for more than one cast in a row.
+    """
+    if own.simpleString() == wanted.simpleString() and isinstance(own, T.ArrayType):
+        return F.lit(False)
+    if isinstance(own, T.ArrayType) and isinstance(wanted, T.ArrayType):
+        return _any_pair(
+            value, final, lambda a, b: is_lost(a, own.elementType, b, wanted.elementType)
+        )
+    return value.isNotNull() & final.isNull()
+
+
+def altered(value: Column, own: T.DataType, final: Column, wanted: T.DataType) -> Column:
+    """True where ``final`` is another value than ``value``: it does not come back.
+
+    Numbers and times are cast back to their own type and compared there, so
+    for floats a decimal counts as the same if it gives the float again. A text
+    is compared by what it says: as number with a number (``1.50`` is 1.5), as
+    timestamp with a date or timestamp; other kinds made from text, and text
+    made from others, count as the same. Null results are lost, not altered.
+    """
+    if own.simpleString() == wanted.simpleString() and not isinstance(own, T.DecimalType):
+        return F.lit(False)
+    if isinstance(own, T.ArrayType) and isinstance(wanted, T.ArrayType):
+        return _any_pair(
+            value, final, lambda a, b: altered(a, own.elementType, b, wanted.elementType)
+        )
+    if isinstance(own, T.StringType):
+        if isinstance(wanted, FLOAT_TYPES):
+            back, origin = final.cast("double"), try_cast(value, own, T.DoubleType())
+            if isinstance(wanted, T.FloatType):
+                origin = origin.cast("float").cast("double")
+        elif isinstance(wanted, (*INTEGRAL_TYPES, T.DecimalType)):
+            # Digits beyond the target's scale are what a cast rounds away.
+            scale = min(getattr(wanted, "scale", 0) + 9, 38 - as_decimal(wanted).precision + getattr(wanted, "scale", 0))
+            wide = T.DecimalType(38, scale)
+            back, origin = final.cast(wide), try_cast(value, own, wide)
+            more = value.rlike(rf"\.[0-9]{{{scale},}}[1-9]")
+            powers = value.rlike("[eE]") & (try_cast(value, own, T.DoubleType()) != final.cast("double"))
+            return F.coalesce(final.isNotNull() & ((back != origin) | more | powers), F.lit(False))
+        elif isinstance(wanted, T.DateType):
+            back, origin = final.cast("timestamp_ntz"), try_cast(value, own, T.TimestampNTZType())
+        else:
+            return F.lit(False)
+        return F.coalesce(final.isNotNull() & ~back.eqNullSafe(origin), F.lit(False))
+    if isinstance(wanted, T.StringType):
+        return F.lit(False)
+    return final.isNotNull() & ~try_cast(final, wanted, own).eqNullSafe(value)

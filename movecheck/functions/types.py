@@ -74,13 +74,34 @@ def as_decimal(dtype: T.DataType) -> T.DecimalType:
     return T.DecimalType(digits[type(dtype)], 0)
 
 
-def common_type(left: T.DataType, right: T.DataType) -> T.DataType:
+class NumberText(T.StringType):
+    """Numbers as plain decimal text, for pairs that no number type holds exactly."""
+
+    def __init__(self, scale: int):
+        super().__init__()
+        self.scale = scale
+
+
+def _holds_variant(dtype: T.DataType) -> bool:
+    if isinstance(dtype, T.ArrayType):
+        return _holds_variant(dtype.elementType)
+    if isinstance(dtype, T.MapType):
+        return _holds_variant(dtype.keyType) or _holds_variant(dtype.valueType)
+    if isinstance(dtype, T.StructType):
+        return any(_holds_variant(f.dataType) for f in dtype)
+    return isinstance(dtype, T.VariantType)
+
+
+def common_type(left: T.DataType, right: T.DataType, exact: bool = True) -> T.DataType:
     """The type both sides are compared in.
 
     Numbers widen, dates widen to timestamps, and anything against text is
-    compared as text. Two decimals whose digits do not fit 38 places together
-    are compared as plain decimal text (see :func:`comparable`).
+    compared as text. Two decimals whose digits do not fit 38 places together,
+    and floats against bigints or decimals, are compared as plain decimal text
+    (see :func:`comparable`); without ``exact`` the latter become doubles.
     """
+    if _holds_variant(left) or _holds_variant(right):
+        raise TypeError("variants cannot be compared; cast them to a type of their own")
     if left.simpleString() == right.simpleString():
         return left
     pair = (left, right)
@@ -90,6 +111,9 @@ def common_type(left: T.DataType, right: T.DataType) -> T.DataType:
         return left
     if all(isinstance(t, (*INTEGRAL_TYPES, *FLOAT_TYPES, T.DecimalType)) for t in pair):
         if any(isinstance(t, FLOAT_TYPES) for t in pair):
+            other = right if isinstance(left, FLOAT_TYPES) else left
+            if exact and isinstance(other, (T.LongType, T.DecimalType)):
+                return NumberText(as_decimal(other).scale)
             return T.DoubleType()
         if not any(isinstance(t, T.DecimalType) for t in pair):
             return max(pair, key=lambda t: INTEGRAL_TYPES.index(type(t)))
@@ -101,16 +125,16 @@ def common_type(left: T.DataType, right: T.DataType) -> T.DataType:
     if all(isinstance(t, times) for t in pair):
         return max(pair, key=lambda t: times.index(type(t)))
     if all(isinstance(t, T.ArrayType) for t in pair):
-        return T.ArrayType(common_type(left.elementType, right.elementType))
+        return T.ArrayType(common_type(left.elementType, right.elementType, exact))
     if all(isinstance(t, T.MapType) for t in pair):
         return T.MapType(
-            common_type(left.keyType, right.keyType),
-            common_type(left.valueType, right.valueType),
+            common_type(left.keyType, right.keyType, exact),
+            common_type(left.valueType, right.valueType, exact),
         )
     if all(isinstance(t, T.StructType) for t in pair) and left.names == right.names:
         return T.StructType(
             [
-                T.StructField(a.name, common_type(a.dataType, b.dataType))
+                T.StructField(a.name, common_type(a.dataType, b.dataType, exact))
                 for a, b in zip(left, right)
             ]
         )
@@ -136,6 +160,28 @@ def _plain(own: T.DataType, shared: T.DataType) -> bool:
     return own.simpleString() == shared.simpleString() and not has_map(shared)
 
 
+def _float_text(value: Column, scale: int) -> Column:
+    """A float as the text that an equal bigint or decimal of the scale has.
+
+    Whole floats below 2^63 are taken exactly, others by the shortest digits
+    that name them. A float that no such decimal equals keeps a text of its own.
+    """
+    number = value.cast("double")
+    whole = (number == F.floor(number)) & (F.abs(number) < F.lit(2.0**63))
+    digits = F.when(F.abs(number) < F.lit(10.0 ** (38 - scale)), number.try_cast(T.DecimalType(38, scale)))
+    same = digits.cast("double") == number
+    return (
+        F.when(F.coalesce(whole, F.lit(False)), number.try_cast("bigint").cast("string"))
+        .when(F.coalesce(same, F.lit(False)), _decimal_text(digits, scale))
+        .otherwise(number.cast("string"))
+    )
+
+
+def _decimal_text(value: Column, scale: int) -> Column:
+    text = value.cast("string")
+    return F.rtrim(F.rtrim(text, F.lit("0")), F.lit(".")) if scale > 0 else text
+
+
 def comparable(value: Column, own: T.DataType, shared: T.DataType) -> Column:
     """``value`` in the shared type, in a form that ``groupBy`` accepts.
 
@@ -161,6 +207,7 @@ def comparable(value: Column, own: T.DataType, shared: T.DataType) -> Column:
         )
         return F.array_sort(entries)
     if isinstance(own, T.DecimalType) and isinstance(shared, T.StringType):
-        text = value.cast("string")
-        return F.rtrim(F.rtrim(text, F.lit("0")), F.lit(".")) if own.scale > 0 else text
+        return _decimal_text(value, own.scale)
+    if isinstance(shared, NumberText):
+        return _float_text(value, shared.scale) if isinstance(own, FLOAT_TYPES) else value.cast("string")
     return value.cast(shared)

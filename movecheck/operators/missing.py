@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from movecheck.functions.names import column, resolve
+from movecheck.functions.types import common_type, comparable
 from movecheck.sources.sinks import write_table
 
 
@@ -17,7 +18,7 @@ def _key_names(count: int) -> list[str]:
     return [f"__key{i}" for i in range(count)]
 
 
-def _once_each(df: DataFrame, keys: Sequence[str], null_safe: bool) -> DataFrame:
+def _once_each(renamed: DataFrame, names: Sequence[str], null_safe: bool) -> DataFrame:
     """Each key once, in no partitioning that the coming join could reuse.
 
     Copies of a hot key collapse inside each map task. Adaptive execution then
@@ -27,8 +28,6 @@ def _once_each(df: DataFrame, keys: Sequence[str], null_safe: bool) -> DataFrame
     keys, keeps the deduplication from standing in for that shuffle. What is
     shuffled twice are distinct keys only.
     """
-    names = _key_names(len(keys))
-    renamed = df.select(*[column(k).alias(n) for k, n in zip(keys, names)])
     if null_safe:
         return renamed.distinct()
     return renamed.withColumn("__spread", F.xxhash64(*names)).distinct().select(*names)
@@ -44,17 +43,23 @@ def missing_rows(
     """Rows of ``src`` whose key does not occur in ``tgt``, copies included.
 
     Null keys match null keys unless ``null_safe=False``. ``unique_target``
-    promises distinct keys in ``tgt`` and saves their deduplication.
+    promises distinct keys in ``tgt`` and saves their deduplication. Keys of
+    two types are compared in their common type, as :func:`reconcile` does.
     """
     own, other = resolve(src, keys), resolve(tgt, keys)
     names = _key_names(len(keys))
-    if unique_target:
-        known = tgt.select(*[column(k).alias(n) for k, n in zip(other, names)])
-    else:
-        known = _once_each(tgt, other, null_safe)
+    own_types = [src.schema[k].dataType for k in own]
+    other_types = [tgt.schema[k].dataType for k in other]
+    shared = [common_type(a, b) for a, b in zip(own_types, other_types)]
+    known = tgt.select(
+        *[comparable(column(k), t, s).alias(n) for k, t, s, n in zip(other, other_types, shared, names)]
+    )
+    if not unique_target:
+        known = _once_each(known, names, null_safe)
+    values = [comparable(column(k), t, s) for k, t, s in zip(own, own_types, shared)]
     matches = [
-        column(k).eqNullSafe(column(n)) if null_safe else column(k) == column(n)
-        for k, n in zip(own, names)
+        value.eqNullSafe(column(n)) if null_safe else value == column(n)
+        for value, n in zip(values, names)
     ]
     return src.join(known, reduce(and_, matches), "left_anti")
 

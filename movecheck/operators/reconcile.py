@@ -42,9 +42,32 @@ def _shared_columns(left: DataFrame, right: DataFrame, cols: Sequence[str] | Non
 def _rounded(value: Column, dtype: T.DataType, scale: int) -> Column:
     if isinstance(dtype, FLOAT_TYPES):
         return F.round(value, scale)
-    if isinstance(dtype, T.ArrayType) and isinstance(dtype.elementType, FLOAT_TYPES):
-        return F.transform(value, lambda x: F.round(x, scale))
-    return value
+    if not _holds_float(dtype):
+        return value
+    if isinstance(dtype, T.ArrayType):
+        return F.transform(value, lambda x: _rounded(x, dtype.elementType, scale))
+    if isinstance(dtype, T.MapType):
+        # As :func:`comparable` leaves it: entries, sorted by key.
+        return F.transform(
+            value,
+            lambda e: F.struct(
+                e.getField("key").alias("key"),
+                _rounded(e.getField("value"), dtype.valueType, scale).alias("value"),
+            ),
+        )
+    fields = [_rounded(value.getField(f.name), f.dataType, scale).alias(f.name) for f in dtype]
+    return F.when(value.isNotNull(), F.struct(*fields))
+
+
+def _holds_float(dtype: T.DataType) -> bool:
+    """Whether rounding reaches a float in it; keys of maps are left as they are."""
+    if isinstance(dtype, T.ArrayType):
+        return _holds_float(dtype.elementType)
+    if isinstance(dtype, T.MapType):
+        return _holds_float(dtype.valueType)
+    if isinstance(dtype, T.StructType):
+        return any(_holds_float(f.dataType) for f in dtype)
+    return isinstance(dtype, FLOAT_TYPES)
 
 
 def _grouped(
@@ -67,7 +90,9 @@ def _grouped(
         columns = []
         for pair in pairs:
             own = df.schema[pair[spot]].dataType
-            shared = common_type(left.schema[pair[0]].dataType, right.schema[pair[1]].dataType)
+            shared = common_type(
+                left.schema[pair[0]].dataType, right.schema[pair[1]].dataType, exact=tolerance_scale is None
+            )
             value = comparable(column(pair[spot]), own, shared)
             if tolerance_scale is not None:
                 value = _rounded(value, shared, tolerance_scale)
@@ -164,7 +189,8 @@ def reconcile(
     Columns pair up by name and are compared in their common type; nulls
     equal nulls and NaN equals NaN. As sets, a row is reported if the other
     side has no copy of it; as multisets, if the numbers of copies differ.
-    ``tolerance_scale`` rounds floats to that many places first.
+    ``tolerance_scale`` rounds floats to that many places first, nested ones
+    too; only then does a float against a bigint or decimal count as a double.
     """
     pairs = _shared_columns(left, right, cols)
     _check_names([a for a, _ in pairs], SIDE, COPIES)
@@ -249,7 +275,8 @@ def reconcile_by_key(
     pairs = _shared_columns(left, right, cols)
     key_names = resolve(left, keys)
     others = [a for a, _ in pairs if a not in key_names]
-    _check_names([a for a, _ in pairs], "status", *N_ROWS)
+    made = [f"{side}_{name}".lower() for side in ("left", "right") for name in others]
+    _check_names([a for a, _ in pairs], "status", *N_ROWS, *made)
     if not others:
         raise ValueError("no column to compare besides the keys")
     excess = F.col("__mark")

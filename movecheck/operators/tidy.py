@@ -35,10 +35,17 @@ def text(value: str | None) -> Column:
     return F.lit(value).cast("string")
 
 
-def tidy_counts(df: DataFrame, measures: Sequence[Measure]) -> DataFrame:
-    """Row count and conditional counts, one row per measure."""
+def tidy_counts(
+    df: DataFrame, measures: Sequence[Measure], labels: Sequence[str], counts: Sequence[str]
+) -> DataFrame:
+    """Row count and conditional counts, one row per measure.
+
+    ``labels`` and ``counts`` name what every measure holds, so that a frame
+    without columns to measure gives an empty result of the same kind.
+    """
     if not measures:
-        raise ValueError("no column to measure")
+        kinds = [f"{n} string" for n in labels] + [f"{n} bigint" for n in ("n_rows", *counts)]
+        return df.sparkSession.createDataFrame([], ", ".join(kinds))
     parts = []
     for group in in_groups(measures):
         counts = {

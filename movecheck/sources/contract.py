@@ -21,6 +21,7 @@ TARGET_NAME = "target_column_name"
 TYPE_TEXT = "source_datatype"
 NULLABLE = "isnullable"
 PRESENT = "iscolpresentindata"
+REQUIRED = "isrequired"
 
 _OVERFLOW = "__overflow"
 
@@ -36,6 +37,7 @@ class ContractColumn:
     dtype: T.DataType
     nullable: bool
     present: bool = True
+    required: bool = False
 
 
 @dataclass(frozen=True)
@@ -62,8 +64,9 @@ class Contract:
     ) -> "Contract":
         """Build a contract from attribute mappings; attribute names ignore case.
 
-        A column is nullable only if its flag reads ``true``. Target name and
-        presence are optional and default to the source name and ``true``.
+        A column is nullable only if its flag reads ``true``, and required
+        likewise. Target name, presence and requirement are optional and default
+        to the source name, ``true`` and ``false``.
         """
         columns = []
         for raw in rows:
@@ -81,6 +84,7 @@ class Contract:
                     dtype=contract_type(row[TYPE_TEXT], strict),
                     nullable=_text(row[NULLABLE]).lower() == "true",
                     present=(_text(row.get(PRESENT)) or "true").lower() == "true",
+                    required=_text(row.get(REQUIRED)).lower() == "true",
                 )
             )
         for kind in ("source", "target"):
@@ -120,7 +124,13 @@ def as_contract(contract: Contract | DataFrame, strict: bool = False) -> Contrac
     """Accept a contract, or a frame of contract rows (one row per column)."""
     if isinstance(contract, Contract):
         return contract
-    return Contract.from_rows([row.asDict() for row in contract.collect()], strict)
+    given = {name.strip().lower(): name for name in contract.columns}
+    absent = [n for n in (SOURCE_NAME, TYPE_TEXT, NULLABLE) if n not in given]
+    if absent:
+        raise ValueError(f"contract lacks {', '.join(absent)}")
+    attributes = (SOURCE_NAME, TARGET_NAME, TYPE_TEXT, NULLABLE, PRESENT, REQUIRED)
+    rows = contract.select(*[column(given[n]).alias(n) for n in attributes if n in given])
+    return Contract.from_rows([row.asDict() for row in rows.collect()], strict)
 
 
 def load_contract(spark: SparkSession, path: str, strict: bool = False, **options) -> Contract:

@@ -21,6 +21,8 @@ CONNECTOR_OPTIONS = {
         "target": "table",
         "partition": "partitionField",
         "cluster": "clusterFields",
+        "grain": "partitionType",
+        "grains": {"day": "DAY", "month": "MONTH"},
         "defaults": {"createDisposition": "CREATE_IF_NEEDED"},
     },
 }
@@ -29,7 +31,11 @@ GRAIN_FORMATS = {"day": "yyyyMMdd", "month": "yyyyMM"}
 
 
 def connector_options(
-    fmt: str, target: str, partition_by: Sequence[str], cluster_by: Sequence[str]
+    fmt: str,
+    target: str,
+    partition_by: Sequence[str],
+    cluster_by: Sequence[str],
+    partition_grain: str | None = None,
 ) -> dict[str, str]:
     names = CONNECTOR_OPTIONS[fmt.lower()]
     if len(partition_by) > 1:
@@ -37,6 +43,10 @@ def connector_options(
     options = {names["target"]: target, **names["defaults"]}
     if partition_by:
         options[names["partition"]] = partition_by[0]
+    if partition_grain:
+        if not partition_by:
+            raise ValueError("partition_grain needs one partition column")
+        options[names["grain"]] = names["grains"][partition_grain]
     if cluster_by:
         options[names["cluster"]] = ",".join(cluster_by)
     return options
@@ -81,9 +91,9 @@ def write_table(
     parts, clusters = resolve(df, parts), resolve(df, cluster_by or [])
 
     if fmt.lower() in CONNECTOR_OPTIONS:
-        if dynamic or partition_grain or as_table:
-            raise ValueError(f"{fmt} has no counterpart here for dynamic, partition_grain or as_table")
-        settings = connector_options(fmt, target, parts, clusters)
+        if dynamic or as_table:
+            raise ValueError(f"{fmt} has no counterpart here for dynamic or as_table")
+        settings = connector_options(fmt, target, parts, clusters, partition_grain)
         df.write.format(fmt).options(**settings).options(**(options or {})).mode(mode).save()
         return
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,6 +28,7 @@ def read_table(
     options: Mapping[str, str] | None = None,
     merge_schema: bool | None = None,
     allow_extra: bool = False,
+    infer_partitions: bool = True,
 ) -> DataFrame:
     """Scan a table, and conform it if a contract is given.
 
@@ -38,7 +39,10 @@ def read_table(
     ``merge_schema=False`` saves that job where all files are alike.
 
     Several paths under a contract are read, conformed and united one by one,
-    so each may have its own physical types. Without a path the format's
+    so each may have its own physical types. Values in folder names are texts
+    until the contract types them, so ``01`` stays ``01`` in a text column;
+    without a contract Spark guesses their types, unless ``infer_partitions`` is
+    false. Without a path the format's
     connector finds the table from ``options``; ``fmt="table"`` takes the name
     of a catalog table for the path.
     """
@@ -51,7 +55,8 @@ def read_table(
             reader = reader.option("mergeSchema", True)
         if path is None:
             return reader.load()
-        return reader.load(path if isinstance(path, str) else list(path))
+        path = path if isinstance(path, str) else list(path)
+        return reader.load(path) if infer_partitions else _with_text_folders(spark, lambda: reader.load(path))
 
     contract = as_contract(contract)
     paths = [path] if path is None or isinstance(path, str) else list(path)
@@ -62,6 +67,20 @@ def read_table(
     return reduce(DataFrame.unionByName, parts)
 
 
+def _with_text_folders(spark: SparkSession, load: Callable[[], DataFrame]) -> DataFrame:
+    """The frame that ``load`` makes, with the values of folder names as texts.
+
+    Only the session holds this setting; folders are listed while it is changed.
+    """
+    setting = "spark.sql.sources.partitionColumnTypeInference.enabled"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "false")
+    try:
+        return load()
+    finally:
+        spark.conf.set(setting, before)
+
+
 def read_source(
     spark: SparkSession,
     path: str | None,
@@ -75,7 +94,7 @@ def read_source(
     if merge_schema is None:
         merge_schema = fmt.lower() in MERGING_FORMATS
     options = dict(options or {})
-    physical = read_table(spark, path, fmt, None, options, merge_schema)
+    physical = read_table(spark, path, fmt, None, options, merge_schema, infer_partitions=False)
     return _name_positions(spark, physical, path, fmt, contract, options, allow_extra)
 
 
@@ -136,7 +155,8 @@ def _name_positions(
     if holes:
         raise ValueError(f"no file has a column for {', '.join(holes)}")
     schema = T.StructType([*fields, *known.values()])
-    return spark.read.format(fmt).options(**options).schema(schema).load(path)
+    reader = spark.read.format(fmt).options(**options).schema(schema)
+    return _with_text_folders(spark, lambda: reader.load(path))
 
 
 def scan_months(

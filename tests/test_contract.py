@@ -147,3 +147,50 @@ def test_cast_loss_and_alignment_of_wide_tables(spark):
     wanted = T.StructType([T.StructField(n, T.IntegerType()) for n in names])
     got = by_name(mc.cast_loss(frame, wanted))
     assert len(got) == 70 and all(r["n_lost"] == 1 and r["n_values"] == 2 for r in got.values())
+
+
+def test_swapped_names(spark):
+    swapped = mc.Contract.from_rows([
+        {"src_column_name": "a", "target_column_name": "b", "source_datatype": "int", "isnullable": "false"},
+        {"src_column_name": "b", "target_column_name": "c", "source_datatype": "int", "isnullable": "true"},
+    ])
+    frame = spark.createDataFrame([(1, None), (2, 3)], "a int, b int")
+    assert [r.n_nulls for r in mc.null_violations(frame, swapped, names="source").collect()] == [0]
+    assert [r.n_nulls for r in mc.null_violations(mc.conform(frame, swapped), swapped).collect()] == [0]
+    with pytest.raises(ValueError):
+        mc.null_violations(frame, swapped, names="both")
+
+
+def test_nothing_to_measure(spark):
+    frame = spark.range(2)
+    loose = mc.Contract.from_rows([{"src_column_name": "id", "source_datatype": "int", "isnullable": "true"}])
+    assert mc.null_violations(frame, loose).columns == ["column_name", "n_rows", "n_nulls"]
+    assert mc.decimal_overflow(frame, 5, 2).count() == 0
+    assert mc.cast_loss(frame, spark.createDataFrame([], "x int").schema).count() == 0
+
+
+def test_required_columns(spark):
+    row = {"src_column_name": "x", "source_datatype": "int", "isnullable": "true", "isrequired": "true"}
+    with pytest.raises(ValueError, match="required columns are absent: x"):
+        mc.conform(spark.range(1), mc.Contract.from_rows([row]))
+    gone = mc.Contract.from_rows([{**row, "iscolpresentindata": "false"}])
+    assert mc.conform(spark.range(1), gone).collect()[0].x is None
+
+
+def test_altered_values(spark):
+    frame = spark.sql(
+        "SELECT 12.7D AS f, 1.255BD AS d, '1.50' AS t, '2020-01-01 05:00:00' AS at, timestamp_ntz'2020-01-01 05:00:00' AS n,"
+        " array(1.5D, 2D) AS xs, '1.239' AS cut, 0.1D AS tenth, '1e-12' AS tiny"
+    )
+    types = {"f": "int", "d": "decimal(5,2)", "t": "decimal(38,9)", "at": "date", "n": "date", "xs": "array<int>",
+             "cut": "decimal(5,2)", "tenth": "decimal(5,2)", "tiny": "decimal(38,9)"}
+    wanted = mc.Contract.from_rows(
+        [{"src_column_name": n, "source_datatype": t, "isnullable": "true"} for n, t in types.items()]
+    )
+    found = {r.column_name: (r.n_lost, r.n_altered) for r in mc.contract_losses(frame, wanted).collect()}
+    assert found == {n: (0, 0 if n in ("t", "tenth") else 1) for n in types}
+
+
+def test_frame_without_contract_columns(spark):
+    with pytest.raises(ValueError, match="contract lacks"):
+        mc.read_table(spark, "unread", contract=spark.range(1))

@@ -122,3 +122,10 @@ def test_failure_reports(spark):
     fine = runs.filter("status = 'success'")
     assert rows(mc.failure_summary(fine)) == []
     assert rows(mc.failure_message(fine)) == [("All tables loaded successfully.",)]
+
+
+def test_keys_of_two_types(spark):
+    texts = spark.createDataFrame([("a",), ("7",), ("07",), (None,)], "k string")
+    numbers = spark.createDataFrame([(7,), (8,)], "k int")
+    assert rows(mc.missing_rows(texts, numbers, ["k"])) == [("07",), ("a",), (None,)]
+    assert rows(mc.missing_rows(numbers, texts, ["k"], null_safe=False)) == [(8,)]

@@ -193,3 +193,41 @@ def test_by_key_makes_no_join(spark):
     left = spark.range(10).selectExpr("id AS k", "id AS v")
     plan = plan_of(mc.reconcile_by_key(left, left.withColumn("v", F.lit(1)), ["k"]).rows)
     assert "Join" not in plan and plan.count("Exchange") == 2
+
+
+def test_bigint_against_double_is_exact(spark):
+    left = spark.sql("SELECT * FROM VALUES (9007199254740993L), (9007199254740992L), (3L), (4611686018427387904L) t(v)")
+    right = spark.sql(
+        "SELECT * FROM VALUES (9007199254740992D), (3D), (0.5D), (4611686018427387904D), (1e30D), (double('nan')) t(v)"
+    )
+    found = rows(mc.reconcile(left, right).rows)
+    assert found == [
+        ("only_left", "9007199254740993"), ("only_right", "0.5"), ("only_right", "1" + "0" * 30), ("only_right", "NaN"),
+    ]
+
+
+def test_decimal_against_double(spark):
+    left = spark.sql("SELECT CAST(v AS decimal(20,4)) AS v FROM VALUES ('0.1'), ('2'), ('1.2345'), ('-7.5') t(v)")
+    right = spark.sql("SELECT * FROM VALUES (0.1D), (2D), (1.23451D), (-7.5D) t(v)")
+    assert rows(mc.reconcile(left, right).rows) == [("only_left", "1.2345"), ("only_right", "1.23451")]
+    assert mc.reconcile(left, right, tolerance_scale=4).is_empty()
+
+
+def test_tolerance_reaches_nested_floats(spark):
+    kind = "id int, s struct<a:double,b:array<array<float>>>, m map<string,double>"
+    left = spark.createDataFrame([(1, (1.001, [[2.001]]), {"k": 3.001}), (2, None, None)], kind)
+    right = spark.createDataFrame([(1, (1.002, [[2.002]]), {"k": 3.002}), (2, None, None)], kind)
+    assert mc.reconcile(left, right, tolerance_scale=2).is_empty()
+    assert len(rows(mc.reconcile(left, right).rows)) == 2
+
+
+def test_variants_are_refused(spark):
+    frame = spark.sql("SELECT parse_json('1') AS v")
+    with pytest.raises(TypeError, match="variant"):
+        mc.reconcile(frame, frame)
+
+
+def test_names_of_the_keyed_result(spark):
+    frame = spark.sql("SELECT 1 AS left_x, 2 AS x")
+    with pytest.raises(ValueError, match="left_x"):
+        mc.reconcile_by_key(frame, frame, ["left_x"])

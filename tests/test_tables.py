@@ -255,3 +255,65 @@ def test_connector_options_without_counterpart_are_refused(spark):
     frame = spark.range(1)
     with pytest.raises(ValueError):
         mc.write_table(frame, "t", "bigquery", mode="overwrite", dynamic=True)
+
+
+def test_folder_values_keep_their_text(spark, tmp_path):
+    path = str(tmp_path / "t")
+    frame = spark.createDataFrame([(1, "01"), (2, "02"), (3, None)], "id int, p string")
+    mc.write_table(frame, path, "orc", partition_by="p")
+    assert rows(mc.read_table(spark, path, contract=contract(id="int", p="string"))) == [
+        (1, "01"), (2, "02"), (3, None),
+    ]
+    assert rows(mc.read_table(spark, path, contract=contract(id="int", p="int"))) == [(1, 1), (2, 2), (3, None)]
+    assert spark.conf.get("spark.sql.sources.partitionColumnTypeInference.enabled") == "true"
+
+
+def test_migrate_on_a_padded_text_key(spark, tmp_path):
+    source, target = str(tmp_path / "s"), str(tmp_path / "t")
+    spark.createDataFrame([(1, "01"), (2, "02")], "id int, p string").write.orc(source)
+    done = mc.migrate(spark, source, contract(id="int", p="string"), target, partition_by="p", strict="exact")
+    assert done.difference.is_empty() and rows(done.written) == [(1, "01"), (2, "02")]
+
+
+def test_migrate_by_month_into_a_catalog_table(spark, tmp_path):
+    source = str(tmp_path / "s")
+    spark.createDataFrame([(1, date(2022, 7, 1)), (2, date(2022, 8, 2))], "id int, d date").write.orc(source)
+    wanted = contract(id="int", d="date")
+    load = lambda path, **more: mc.migrate(
+        spark, path, wanted, "migrated", partition_by="d", partition_grain="month", as_table=True, **more
+    )
+    assert load(source).difference.is_empty()
+    again = str(tmp_path / "again")
+    spark.createDataFrame([(7, date(2022, 8, 9))], "id int, d date").write.orc(again)
+    done = load(again, mode="overwrite", dynamic=True)
+    assert rows(spark.table("migrated").select("id")) == [(1,), (7,)]
+    assert {r.side: r.n_rows for r in done.difference.counts().collect()} == {"only_left": 0, "only_right": 1}
+    spark.sql("DROP TABLE migrated")
+
+
+def test_migrate_by_month_into_a_folder(spark, tmp_path):
+    source, target = str(tmp_path / "s"), str(tmp_path / "t")
+    spark.createDataFrame([(1, date(2022, 7, 1))], "id int, d date").write.orc(source)
+    done = mc.migrate(spark, source, contract(id="int", d="date"), target, partition_by="d", partition_grain="month")
+    assert done.difference.is_empty() and done.written.columns == ["id", "d", "d_month"]
+    assert rows(done.written)[0][2] == "202207"
+
+
+def test_migrate_strict_reaches_fitted_decimals(spark, tmp_path):
+    source, target = str(tmp_path / "s"), str(tmp_path / "t")
+    spark.sql("SELECT CAST(123456.78 AS decimal(20,4)) AS v UNION ALL SELECT 1.2345").write.orc(source)
+    wanted = contract(v="decimal(20,4)")
+    with pytest.raises(mc.ContractViolation, match="v: 1 values lost"):
+        mc.migrate(spark, source, wanted, target, decimal=(5, 2), strict=True)
+    with pytest.raises(mc.ContractViolation, match="v: 0 values lost, 0 forbidden nulls, 1 values altered"):
+        mc.migrate(spark, source, wanted, target, decimal=(10, 2), strict="exact")
+    assert not os.path.exists(target)
+    done = mc.migrate(spark, source, wanted, target, decimal=(5, 2), unfitted=True)
+    assert {r.side: r.n_rows for r in done.difference.counts().collect()} == {"only_left": 2, "only_right": 2}
+
+
+def test_connector_grain():
+    got = sinks.connector_options("bigquery", "p:d.t", ["day"], [], "month")
+    assert got["partitionType"] == "MONTH"
+    with pytest.raises(ValueError):
+        sinks.connector_options("bigquery", "p:d.t", [], [], "month")
