@@ -159,12 +159,12 @@ def _profile_pass(df: DataFrame, group: Sequence[_ColumnProfile]) -> DataFrame:
     return totals.select(F.inline(F.array(*[p.row() for p in group])))
 
 
-def _estimated_distinct(df: DataFrame, names: Sequence[str]) -> DataFrame:
+def _estimated_distinct(df: DataFrame, names: Sequence[str], error: float) -> DataFrame:
     """Estimated distinct values per column, without a shuffle of values."""
     parts = []
     for group in in_groups(names):
         totals = df.agg(
-            *[F.approx_count_distinct(column(n)).alias(f"c{i}") for i, n in enumerate(group)]
+            *[F.approx_count_distinct(column(n), error).alias(f"c{i}") for i, n in enumerate(group)]
         )
         rows = [
             F.struct(text(n).alias("column_name"), F.col(f"c{i}").alias("found"))
@@ -196,13 +196,14 @@ def profile_columns(
     exact_distinct: bool = False,
     strip_zeros: bool = False,
     count_distinct: bool = True,
+    distinct_error: float = 0.05,
 ) -> DataFrame:
     """One row per column: type, nulls, range, distinct values, length, digits.
 
     Digits follow the plain rule (:mod:`movecheck.functions.digits`); values
     without a plain text are counted in ``n_unmeasured``. ``max_length`` is
-    for text columns. Distinct values are estimated, counted exactly on
-    request, or left out with ``count_distinct=False``. ``strip_zeros``
+    for text columns. Distinct values are estimated with the relative standard
+    deviation ``distinct_error``, counted exactly on request, or left out with ``count_distinct=False``. ``strip_zeros``
     ignores zeros at the end of a fraction.
 
     All columns of a kind (floats, text, others) are measured by one aggregate
@@ -224,7 +225,10 @@ def profile_columns(
     countable = [p.name for p in profiles if p.countable]
     if not (count_distinct and countable):
         return result
-    counts = (_exact_distinct if exact_distinct else _estimated_distinct)(df, countable)
+    if exact_distinct:
+        counts = _exact_distinct(df, countable)
+    else:
+        counts = _estimated_distinct(df, countable, distinct_error)
     return result.join(counts, "column_name", "left").select(
         *[F.col("found").alias(c) if c == "n_distinct" else F.col(c) for c in PROFILE_COLUMNS]
     )
