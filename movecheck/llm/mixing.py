@@ -16,7 +16,7 @@ its rows are ordered. A source with a third of all rows is no special case.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -126,6 +126,7 @@ def mix_sources(
     budget: Column,
     max_epochs: int = 1,
     seed: int = 1,
+    carried: Sequence[str] = (),
 ) -> DataFrame:
     """Choose documents so that tokens meet the weights.
 
@@ -139,8 +140,10 @@ def mix_sources(
     Null and empty texts have no tokens and are not chosen. A null domain,
     language or source is a name of its own, with weight 1. Rows with equal
     doc_id are chosen one by one. If the supply is short, all of it is taken.
+    The ``carried`` columns of docs come along, after source.
     """
-    counted = docs.select("doc_id", *LEVELS, word_count(F.col("text")).alias("n_tokens"))
+    taken = ["doc_id", *LEVELS, *carried]
+    counted = docs.select(*taken, word_count(F.col("text")).alias("n_tokens"))
     counted = saved(counted.filter("n_tokens > 0"), "mixing")
     supplies = counted.groupBy(*LEVELS).agg(F.sum("n_tokens").alias("tokens"))
     plan = leaf_budgets(supplies, weights, budget, max_epochs)
@@ -160,17 +163,17 @@ def mix_sources(
     )
     ends = saved(ends, "mixing")
     placed = _with_leaf(rows, ends, "left")
-    inside = placed.filter("slot < end_slot").select("doc_id", *LEVELS, "n_tokens", "copies", F.col("n_tokens").alias("n_partial"))
+    inside = placed.filter("slot < end_slot").select(*taken, "n_tokens", "copies", F.col("n_tokens").alias("n_partial"))
     outside = placed.filter("copies > 0 and (end_slot is null or slot > end_slot)").select(
-        "doc_id", *LEVELS, "n_tokens", "copies", F.lit(0).cast("long").alias("n_partial")
+        *taken, "n_tokens", "copies", F.lit(0).cast("long").alias("n_partial")
     )
-    order = Window.partitionBy(*LEVELS).orderBy("mark", "n_tokens").rowsBetween(Window.unboundedPreceding, 0)
+    order = Window.partitionBy(*LEVELS).orderBy("mark", "n_tokens", *carried).rowsBetween(Window.unboundedPreceding, 0)
     start = F.col("before") + F.sum("n_tokens").over(order) - F.col("n_tokens")
     edge = (
         placed.filter("slot = end_slot")
         .withColumn("n_partial", F.greatest(F.lit(0), F.least(F.col("n_tokens"), F.col("rest") - start)))
         .filter("n_partial > 0 or copies > 0")
-        .select("doc_id", *LEVELS, "n_tokens", "copies", F.col("n_partial").cast("long").alias("n_partial"))
+        .select(*taken, "n_tokens", "copies", F.col("n_partial").cast("long").alias("n_partial"))
     )
     return inside.unionByName(outside).unionByName(edge)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import random
 
 import corpus_pipeline
-from movecheck.llm import near_text
+from movecheck.llm import near_text, simhash
 from movecheck.llm.rows import numbered
 from tests.llm.conftest import HARD, SCHEMA, corpus, sentence
 
@@ -60,3 +60,21 @@ def test_near_copies_go(spark, tmp_path):
     again = numbered(docs)
     few = near_text.one_of_each_text(again, paired=2).join(again, "_row").collect()
     assert sorted(r["doc_id"] for r in few) == want
+
+
+def test_each_row_has_its_own_verdict(spark, tmp_path, monkeypatch):
+    rng = random.Random(2)
+    good = corpus(100)
+    extra = lambda doc_id, text: (doc_id, text, *good[0][2:])
+    twin, nameless = extra(7, sentence(rng, 80)), extra(None, sentence(rng, 90))
+    bad = [extra(8, "too short"), extra(None, "short too")]
+    copies = [extra(9, good[5][1]), extra(None, good[6][1])]
+    spark.createDataFrame(good + [twin, nameless, *bad, *copies], SCHEMA).write.parquet(str(tmp_path / "d"))
+    docs = spark.read.parquet(str(tmp_path / "d"))
+    texts = lambda df: sorted((r["doc_id"] or -1, r["text"]) for r in df.collect())
+    want = lambda rows: sorted((r[0] or -1, r[1]) for r in rows)
+    assert texts(corpus_pipeline.filter_by_rules(spark, docs, "")) == want(good + [twin, nameless, *copies])
+    assert texts(corpus_pipeline.drop_near_duplicates(spark, docs, "")) == want(good + [twin, nameless, *bad])
+    assert texts(simhash.one_of_each(docs.filter("doc_id = 7"))) == want([good[7], twin])
+    monkeypatch.setattr(corpus_pipeline, "MIXED", 1.0)
+    assert texts(corpus_pipeline.mix(spark, docs, "")) == want(good + [twin, nameless, *bad, *copies])
