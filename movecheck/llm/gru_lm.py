@@ -104,6 +104,13 @@ class Lanes:
 
 
 def lay_out(texts: Sequence[np.ndarray], lanes: int = LANES) -> Lanes:
+    """At most so many lanes, and no more than the longest text leaves use for.
+
+    Twice the tokens over the longest text are enough for its lane to stay the
+    longest, and the rectangle is of three times the tokens or so.
+    """
+    longest = max(map(len, texts), default=1)
+    lanes = min(lanes, max(-(-2 * sum(map(len, texts)) // longest), 1))
     order = sorted(range(len(texts)), key=lambda i: -len(texts[i]))
     total = [0] * min(lanes, max(len(texts), 1))
     owner: list[tuple[int, int]] = [(0, 0)] * len(texts)
@@ -125,7 +132,7 @@ def lay_out(texts: Sequence[np.ndarray], lanes: int = LANES) -> Lanes:
         fresh[start, lane] = True
         spans.append((lane, start, len(text)))
     ends = np.array([total[lane] for lane in rank])
-    width = (ends[None, :] > np.arange(steps)[:, None]).sum(1)
+    width = len(ends) - np.searchsorted(ends[::-1], np.arange(steps), side="right")
     return Lanes(symbols, fresh, width, spans)
 
 
@@ -261,20 +268,23 @@ def log_likelihoods(weights: np.ndarray, texts: Sequence[np.ndarray]) -> np.ndar
         return np.zeros(0)
     runner = Runner(Network(weights), lay_out(texts))
     lanes, steps = runner.lanes, len(runner.lanes.symbols)
-    logs = np.zeros(lanes.symbols.shape, np.float64)
+    sums = np.zeros(len(texts))
+    owner = np.zeros(lanes.symbols.shape[1], np.int64)
+    begins = sorted(((first, lane, i) for i, (lane, first, _) in enumerate(lanes.spans)), reverse=True)
     for start in range(0, steps, WINDOW):
         stop = min(start + WINDOW, steps)
         states = np.concatenate([s[5] for s in runner.forward(start, stop)])
         found = output(runner.network, states, runner.targets(start, stop))
         at = 0
         for t in range(start, stop):
+            while begins and begins[-1][0] == t:
+                _, lane, i = begins.pop()
+                owner[lane] = i
             w = lanes.width[t]
-            logs[t, :w] = found[at : at + w]
+            # Every lane has a document of its own.
+            sums[owner[:w]] += found[at : at + w]
             at += w
-    sums = np.cumsum(logs, axis=0)
-    return np.array(
-        [sums[s + n - 1, lane] - (sums[s - 1, lane] if s else 0.0) for lane, s, n in lanes.spans]
-    )
+    return sums
 
 
 def run_sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
