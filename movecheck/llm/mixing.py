@@ -98,10 +98,15 @@ def leaf_budgets(
     """domain, lang, source, tokens, given: the budget of every leaf.
 
     ``supplies`` has tokens per leaf, ``budget`` is an expression over ``total``,
-    the tokens of all leaves.
+    the tokens of all leaves, left out or not.
     """
-    leaves = supplies.withColumn("supply", F.col("tokens") * max_epochs)
-    total = leaves.agg(F.sum("tokens").alias("total"), F.sum("supply").alias("most"))
+    # What a weight of 0 leaves out on any level is no supply of what is above it.
+    open_ones = supplies
+    for level in LEVELS:
+        open_ones = open_ones.filter(weight_of(F.col(level), weights.get(level, {})) > 0)
+    leaves = open_ones.withColumn("supply", F.col("tokens") * max_epochs)
+    most = leaves.agg(F.sum("supply").alias("most"))
+    total = supplies.agg(F.sum("tokens").alias("total")).join(most, F.lit(True))
     given = total.select(F.least(F.floor(budget).cast("long"), F.col("most")).alias("given"))
     parents: list[str] = []
     for level in LEVELS:
