@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from movecheck.llm.adaptive_scan import nearest_neighbours
 from movecheck.llm.byte_bpe import round_trip
 from movecheck.llm.chat_template import chat_digests
+from movecheck.llm.exact_dedup import exact_duplicates
 from movecheck.llm.gam import classify_quality
 from movecheck.llm.gru_lm import score_documents
 from movecheck.llm.license_scan import scan_licenses
@@ -137,3 +138,22 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base and network likelihood of every document."""
     return score_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the one of its equals that stays."""
+    return exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op13_exact_dedup"] = r"""
+WITH bare AS (
+  SELECT doc_id, length(coalesce(text, '')) AS n, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS content
+  FROM documents
+), ranked AS (
+  SELECT *, row_number() OVER w AS place, first_value(doc_id) OVER w AS keep_id,
+    count(*) OVER (PARTITION BY content) AS group_size
+  FROM bare WINDOW w AS (PARTITION BY content ORDER BY n DESC, doc_id NULLS LAST)
+)
+SELECT doc_id, keep_id, group_size, place = 1 AS kept, sha256(content) AS text_sha256 FROM ranked
+"""
