@@ -25,6 +25,7 @@ from movecheck.llm.orc_tokens import token_files
 from movecheck.llm.quality_rules import quality_rules
 from movecheck.llm.ranked_search import ranked_search
 from movecheck.llm.simhash import near_duplicates
+from movecheck.llm.token_alignment import aligned_tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -194,3 +195,10 @@ SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC
 FROM scores WHERE score > 0
 QUALIFY rank <= 20
 """
+
+
+@query
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of two tokenizers in every document, with corpus-wide link counts."""
+    paths = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    return aligned_tokens(table(spark, sf_dir, "documents"), *paths)
