@@ -16,10 +16,10 @@ in blocks of about ``BLOCK`` bytes of text, one row each, which also say how
 often each pair occurs in them. Only the distinct pairs of a block are shuffled,
 once to be summed and once to bring the sums back to their block.
 
-Neither tokenizer looks across certain places: the first none of its
-pre-tokens, the second none of the runs that begin with a space or a line break,
-as no piece of its vocabulary holds such a character behind another one. So the
-distinct runs of a slice are encoded once, and short ones are remembered.
+Neither tokenizer looks across certain places: the first not across the ends of
+its pre-tokens, the second not between two bytes that no piece of its vocabulary
+holds side by side, as nothing can be merged there. So the distinct runs of a
+slice are encoded once, and short ones are remembered.
 """
 
 from __future__ import annotations
@@ -29,6 +29,7 @@ import json
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -51,6 +52,7 @@ REMEMBERED = 64 << 20
 LARGE_GROUP = 4096
 # Fixed value: how pieces write a space.
 SPACE_MARK = "▁"
+BREAK = 10
 BAD = np.array([-1], np.int32).tobytes()
 
 
@@ -98,14 +100,20 @@ class Pieces:
     def __init__(self, path: str):
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
         names = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
-        if any(SPACE_MARK in name.lstrip(SPACE_MARK) or "\n" in name for name in names):
-            raise ValueError("a piece reaches across a space or a line break")
         self.octets = [
             bytes([int(name[3:5], 16)]) if self.model.is_byte(i) else name.replace(SPACE_MARK, " ").encode()
             for i, name in enumerate(names)
         ]
         self.lengths = np.array([len(b) for b in self.octets], np.int64)
-        self.space = self.model.piece_to_id(SPACE_MARK)
+        self.space = np.array([self.model.piece_to_id(SPACE_MARK)], np.int32).tobytes()
+        # Which bytes stand side by side in a piece; all that are not ASCII may.
+        self.joined = np.zeros((256, 256), bool)
+        self.joined[128:] = self.joined[:, 128:] = True
+        for i, octets in enumerate(self.octets):
+            if not (self.model.is_byte(i) or self.model.is_control(i) or self.model.is_unknown(i)):
+                self.joined[list(octets[:-1]), list(octets[1:])] = True
+        if self.joined[BREAK, :128].any() or self.joined[:128, BREAK].any():
+            raise ValueError("a piece reaches across a line break")
         self.cache: dict[bytes, bytes] = {}
         self.held = 0
 
@@ -114,24 +122,43 @@ class Pieces:
     def load(cls, path: str) -> Pieces:
         return cls(path)
 
-    def known(self, runs: list[bytes]) -> list[bytes]:
+    def _asked(self, run: bytes) -> str:
+        """The text whose ids end with those of the run; the model adds a space to it."""
+        return (run[1:] if run[:1] == b" " else b"\n" + run).decode("utf-8", "surrogatepass")
+
+    def _encode(self, runs: list[bytes]) -> list[bytes]:
         """The ids of each run as bytes; ``BAD`` if its pieces are not its bytes."""
+        lists = self.model.encode([self._asked(run) for run in runs], num_threads=1)
+        # Behind an added line break, its byte and the model's space are dropped.
+        lists = [ids if run[:1] == b" " else ids[2:] for run, ids in zip(runs, lists)]
+        flat = np.array(list(chain.from_iterable(lists)), np.int32)
+        ends = np.cumsum([len(ids) for ids in lists])
+        numbers, raw = flat.tolist(), flat.tobytes()
+        out = [raw[4 * i : 4 * j] for i, j in zip([0, *ends[:-1].tolist()], ends.tolist())]
+        sizes = np.diff(np.concatenate([[0], np.cumsum(self.lengths[flat])])[np.concatenate([[0], ends])])
+        same = b"".join([self.octets[i] for i in numbers]) == b"".join(runs)
+        if not same or (sizes != [len(run) for run in runs]).any():
+            for i, (run, ids) in enumerate(zip(runs, lists)):
+                if run == b" ":
+                    out[i] = self.space
+                elif b"".join([self.octets[k] for k in ids]) != run:
+                    out[i] = BAD
+        return out
+
+    def known(self, runs: list[bytes]) -> list[bytes]:
+        """The ids of distinct runs, by way of a bounded cache."""
         found = list(map(self.cache.get, runs))
         missing = [i for i, ids in enumerate(found) if ids is None]
-        # The model adds a space, which a run has already or, at a line break, loses again.
-        asked = [(run[1:] if run[:1] == b" " else run).decode("utf-8", "surrogatepass") for run in (runs[i] for i in missing)]
-        for i, ids in zip(missing, self.model.encode(asked, num_threads=1) if asked else ()):
-            run = runs[i]
-            if run == b" ":
-                ids = [self.space]
-            elif run[:1] != b" ":
-                ids = ids[1:] if ids[0] == self.space else [0]
-            found[i] = np.array(ids, np.int32).tobytes() if b"".join([self.octets[k] for k in ids]) == run else BAD
-            if len(run) <= LONG_RUN:
-                if self.held > REMEMBERED:
-                    self.cache, self.held = {}, 0
-                self.cache[run] = found[i]
-                self.held += len(run) + len(found[i]) + 150
+        if missing:
+            asked = [runs[i] for i in missing]
+            new = self._encode(asked)
+            for i, ids in zip(missing, new):
+                found[i] = ids
+            short = [(run, ids) for run, ids in zip(asked, new) if len(run) <= LONG_RUN]
+            if self.held > REMEMBERED:
+                self.cache, self.held = {}, 0
+            self.cache.update(short)
+            self.held += sum(len(run) + len(ids) + 150 for run, ids in short)
         return found
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -139,9 +166,8 @@ class Pieces:
         parts = [t.encode("utf-8", "surrogatepass") for t in texts]
         data = np.frombuffer(b"".join(parts), np.uint8)
         ends = np.cumsum([len(p) for p in parts], dtype=np.int64)
-        begins = data == 10
-        begins[1:] |= (data[1:] == 32) & (data[:-1] != 32)
-        begins[0] = True
+        begins = np.ones(len(data), bool)
+        begins[1:] = ~self.joined[data[:-1], data[1:]]
         begins[ends[:-1]] = True
         starts = np.append(np.flatnonzero(begins), len(data))
         runs = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts) - 1, [None, pa.py_buffer(starts), pa.py_buffer(data)])
@@ -159,7 +185,8 @@ def ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 def middle_cuts(ends_a: np.ndarray, ends_b: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
     """For each range of places in ``ends_a``, the one nearest its middle whose end ``ends_b`` has too, or -1.
 
-    Ever wider rings around the middle are looked up by bisection.
+    Ever wider rings around the middle are looked up by bisection. Ranges that
+    ascend keep the look-ups close to each other.
     """
     found = np.full(len(low), -1, np.int64)
     todo = np.flatnonzero(high > low)
@@ -198,14 +225,19 @@ def groups_of(ends_a: np.ndarray, ends_b: np.ndarray, docs_a: np.ndarray, docs_b
     leaves = []
     while len(open_):
         a, a_end, b, b_end = open_.T
-        # The last end of an interval is common already; one token has no other.
-        cut = middle_cuts(ends_a, ends_b, a, np.where(b_end - b > 1, a_end - 1, a))
+        single = (a_end - a == 1) | (b_end - b == 1)
+        if single.any():
+            leaves.append(open_[single])
+            open_ = open_[~single]
+            a, a_end, b, b_end = open_.T
+        # The last end of an interval is common already.
+        cut = middle_cuts(ends_a, ends_b, a, a_end - 1)
         whole = cut < 0
         leaves.append(open_[whole])
         a, a_end, b, b_end = open_[~whole].T
         cut_a = cut[~whole] + 1
         cut_b = np.searchsorted(ends_b, ends_a[cut_a - 1]) + 1
-        open_ = np.concatenate([np.stack([a, cut_a, b, cut_b], 1), np.stack([cut_a, a_end, cut_b, b_end], 1)])
+        open_ = np.stack([a, cut_a, b, cut_b, cut_a, a_end, cut_b, b_end], 1).reshape(-1, 4)
     found = np.concatenate(leaves) if leaves else np.zeros((0, 4), np.int64)
     return found[np.argsort(found[:, 0])]
 
