@@ -145,7 +145,9 @@ def mix_sources(
     Null and empty texts have no tokens and are not chosen. A null domain,
     language or source is a name of its own, with weight 1. Rows with equal
     doc_id are chosen one by one. If the supply is short, all of it is taken.
-    The ``carried`` columns of docs come along, after source.
+    The ``carried`` columns of docs come along, after source; with doc_id they
+    decide a document's place in the seeded order, so a row key among them
+    spreads rows without an id.
     """
     taken = ["doc_id", *LEVELS, *carried]
     counted = docs.select(*taken, word_count(F.col("text")).alias("n_tokens"))
@@ -155,7 +157,8 @@ def mix_sources(
     epochs = F.floor(F.col("given") / F.col("tokens")).cast("long")
     plan = saved(plan.select(*LEVELS, epochs.alias("copies"), (F.col("given") % F.col("tokens")).alias("rest")), "mixing")
     rows = _with_leaf(counted, plan)
-    named = F.concat_ws(":", F.lit(str(seed)), F.col("copies"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    own = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("doc_id", *carried)]
+    named = F.concat_ws(":", F.lit(str(seed)), F.col("copies"), *own)
     rows = rows.withColumn("mark", F.md5(named.cast("binary")))
     rows = rows.withColumn("slot", F.substring("mark", 1, SLOT_DIGITS))
 

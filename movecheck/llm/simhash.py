@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from movecheck.llm.components import components
-from movecheck.llm.rows import ROW, numbered
+from movecheck.llm.rows import numbered
 from movecheck.llm.text import lower_ascii, words_of
 from movecheck.sources.sinks import saved
 
@@ -179,14 +179,13 @@ def near_duplicates(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
 def one_of_each(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """The rows of docs that stay when one row of each component does.
 
-    That is the row with the smallest doc_id, and one row if several carry it.
-    Rows that share a doc_id but no component are told apart. Rows without a
-    doc_id all stay. The columns are those of docs.
+    That is the row with the smallest doc_id, and one row if several carry it;
+    rows without a doc_id come last. Rows that share a doc_id but no component
+    are told apart. The columns are those of docs.
     """
-    rows = numbered(docs)
-    found = near_duplicates(rows.select(F.col(ROW).alias("doc_id"), "text"), max_bits)
-    named = found.select(F.col("doc_id").alias(ROW), "component_id").join(rows.select(ROW, "doc_id"), ROW)
-    first = F.min(F.struct("doc_id", ROW)).alias("first")
-    stay = named.filter("doc_id is not null").groupBy("component_id").agg(first).select(F.col(f"first.{ROW}").alias(ROW))
-    kept = saved(stay.unionByName(rows.filter(F.col("doc_id").isNull()).select(ROW)), "kept")
-    return rows.join(kept, ROW, "left_semi").select(*docs.columns)
+    rows, row = numbered(docs)
+    found = near_duplicates(rows.select(F.col(row).alias("doc_id"), "text"), max_bits)
+    named = found.select(F.col("doc_id").alias(row), "component_id").join(rows.select(row, "doc_id"), row)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", row)).alias("first")
+    stay = named.groupBy("component_id").agg(first).select(F.col("first")[row].alias(row))
+    return rows.join(saved(stay, "kept").hint("merge"), row, "left_semi").select(*docs.columns)

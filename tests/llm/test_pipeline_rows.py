@@ -1,22 +1,21 @@
-"""The pipeline's stages on near copies, and on null and repeated ids."""
+"""The pipeline's stages on near copies, on null and repeated ids, on columns of any name."""
 
 from __future__ import annotations
 
 import random
 
 import corpus_pipeline
-from movecheck.llm import near_text, simhash
+import pytest
+from pyspark.sql import functions as F
+
+from movecheck.llm import simhash
 from movecheck.llm.rows import numbered
 from tests.llm.conftest import HARD, SCHEMA, corpus, sentence
 
 
 def plain_groups(rows):
-    """Groups of rows by pairwise 5-word Jaccard similarity of 0.8 or more."""
-    def plain(text):
-        w = (text or "").encode().lower().split()
-        return {tuple(w[i : i + 5]) for i in range(max(len(w) - 4, 1))} if w else set()
-
-    sets = [plain(r[1]) for r in rows]
+    """Groups of rows by pairs of fingerprints within two bits."""
+    prints = [simhash.fingerprint(r[1]) for r in rows]
     parent = list(range(len(rows)))
 
     def root(i):
@@ -24,9 +23,9 @@ def plain_groups(rows):
             i = parent[i]
         return i
 
-    for i, a in enumerate(sets):
-        for j, b in enumerate(sets[:i]):
-            if (not a and not b) or 5 * len(a & b) >= 4 * len(a | b):
+    for i, a in enumerate(prints):
+        for j, b in enumerate(prints[:i]):
+            if (a ^ b).bit_count() <= 2:
                 parent[root(i)] = root(j)
     groups = {}
     for i in range(len(rows)):
@@ -52,14 +51,42 @@ def test_near_copies_go(spark, tmp_path):
     rows = near_copies() + corpus(40) + [r for r in HARD if r[0] is not None]
     spark.createDataFrame(rows, SCHEMA).write.parquet(str(tmp_path / "d"))
     docs = spark.read.parquet(str(tmp_path / "d"))
-    want = sorted(min(rows[i][0] for i in group) for group in plain_groups(rows))
+    groups = plain_groups(rows)
+    assert len(groups) < len(rows)
     kept = corpus_pipeline.drop_near_duplicates(spark, docs, "")
     assert kept.columns == docs.columns
-    assert sorted(r["doc_id"] for r in kept.collect()) == want
-    # Keys with many texts: pivots give the same groups as pairs.
-    again = numbered(docs)
-    few = near_text.one_of_each_text(again, paired=2).join(again, "_row").collect()
-    assert sorted(r["doc_id"] for r in few) == want
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(min(rows[i][0] for i in group) for group in groups)
+
+
+CLASHING = ("_row", "_row_path", "_row_at", "_row_file", "_file", "_at", "_file_no", "domain", "fp", "component_id", "n_tokens", "mark")
+
+
+@pytest.mark.parametrize("stage", [stage for _, stage in corpus_pipeline.STAGES], ids=lambda f: f.__name__)
+def test_clashing_columns(spark, tmp_path, stage):
+    plain = spark.createDataFrame(corpus(120), SCHEMA).select("doc_id", "text", "lang", "source", "n_chars")
+    plain.write.parquet(str(tmp_path / "plain"))
+    plain.withColumns({c: F.lit(1) for c in CLASHING}).write.parquet(str(tmp_path / "more"))
+    spark.createDataFrame([(r[0], 1, 0) for r in corpus(120)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    few, more = (stage(spark, spark.read.parquet(str(tmp_path / name)), str(tmp_path)) for name in ("plain", "more"))
+    assert sorted(r["doc_id"] for r in few.collect()) == sorted(r["doc_id"] for r in more.collect())
+    if stage is not corpus_pipeline.encode:
+        assert more.columns == [*plain.columns, *CLASHING]
+
+
+def test_numbers_are_stable_and_unique(spark, tmp_path):
+    spark.range(1000).repartition(5).write.parquet(str(tmp_path / "d"))
+    docs = spark.read.parquet(str(tmp_path / "d"))
+    rows, name = numbered(docs)
+    first = {r["id"]: r[name] for r in rows.collect()}
+    again, name = numbered(docs.filter("id % 2 = 0"))
+    assert len(set(first.values())) == 1000
+    assert all(first[r["id"]] == r[name] for r in again.collect())
+
+
+def test_pipeline_without_rows(spark, tmp_path, no_docs):
+    no_docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
 
 
 def test_each_row_has_its_own_verdict(spark, tmp_path, monkeypatch):
