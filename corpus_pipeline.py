@@ -15,10 +15,10 @@ from pyspark.sql import functions as F
 from movecheck.llm import gam
 from movecheck.llm.byte_bpe import round_trip
 from movecheck.llm.mixing import mix_sources
-from movecheck.llm.near_text import one_of_each_text
 from movecheck.llm.quality_rules import quality_rules
 from movecheck.llm.queries import WEIGHTS, with_domain
-from movecheck.llm.rows import ROW, numbered
+from movecheck.llm.rows import numbered
+from movecheck.llm.simhash import one_of_each
 from movecheck.sources.sinks import saved
 
 #: Part of the tokens that the mix keeps, and the tokenizer of the last stage.
@@ -26,43 +26,38 @@ MIXED = 0.9
 TOKENIZER = "byte_bpe_multi_50k.tiktoken"
 
 
-def _only(rows: DataFrame, kept: DataFrame, columns: list[str]) -> DataFrame:
+def _only(rows: DataFrame, row: str, kept: DataFrame, columns: list[str]) -> DataFrame:
     """The numbered rows that kept names, without their numbers.
 
     Always a merge join, so that the plan does not change with the size.
     """
-    return rows.join(saved(kept.select(ROW), "kept").hint("merge"), ROW, "left_semi").select(*columns)
+    return rows.join(saved(kept.select(row), "kept").hint("merge"), row, "left_semi").select(*columns)
 
 
-def _by_row(rows: DataFrame) -> DataFrame:
-    """The rows with their number as doc_id, for operators that only carry it."""
-    return rows.drop("doc_id").withColumnRenamed(ROW, "doc_id")
+def _by_row(rows: DataFrame, row: str) -> DataFrame:
+    """The columns that operators read, with the row's number as doc_id, which they only carry."""
+    return rows.select(F.col(row).alias("doc_id"), *[c for c in ("text", "lang", "source") if c in rows.columns])
 
 
 def filter_by_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and are no robust outliers."""
-    rows = numbered(docs)
-    kept = quality_rules(_by_row(rows)).filter("kept")
-    return _only(rows, kept.withColumnRenamed("doc_id", ROW), docs.columns)
+    rows, row = numbered(docs)
+    kept = quality_rules(_by_row(rows, row)).filter("kept")
+    return _only(rows, row, kept.withColumnRenamed("doc_id", row), docs.columns)
 
 
 def filter_by_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, trained on the labels, predicts as good."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    rows = numbered(docs)
+    rows, row = numbered(docs)
     # Labels go by doc_id, verdicts by row.
-    kept = gam.score(_by_row(rows), gam.train(docs, labels)).filter("predicted = 1")
-    return _only(rows, kept.withColumnRenamed("doc_id", ROW), docs.columns)
+    kept = gam.score(_by_row(rows, row), gam.train(docs, labels)).filter("predicted = 1")
+    return _only(rows, row, kept.withColumnRenamed("doc_id", row), docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies.
-
-    These share four fifths of their 5-word shingles; op5's fingerprints of 3-word
-    shingles within two bits are a narrower contract.
-    """
-    rows = numbered(docs)
-    return _only(rows, one_of_each_text(rows), docs.columns)
+    """One document of each group whose fingerprints of 3-word shingles are within two bits."""
+    return one_of_each(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -71,9 +66,9 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Without further epochs a short source stays short, and its siblings, then
     its language's siblings, make up for it.
     """
-    rows = numbered(docs)
-    chosen = mix_sources(with_domain(rows), WEIGHTS, F.col("total") * MIXED, max_epochs=1, seed=1, carried=[ROW])
-    return _only(rows, chosen, docs.columns)
+    rows, row = numbered(docs)
+    chosen = mix_sources(with_domain(_by_row(rows, row)), WEIGHTS, F.col("total") * MIXED, max_epochs=1, seed=1)
+    return _only(rows, row, chosen.withColumnRenamed("doc_id", row), docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -84,17 +79,23 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("quality rules", filter_by_rules),
     ("quality classifier", filter_by_classifier),
-    ("shingle near-dedup", drop_near_duplicates),
+    ("simhash near-dedup", drop_near_duplicates),
     ("mix sources", mix),
     ("byte-level bpe", encode),
 ]
 
-#: Estimates, models and ids are beyond SQL; tests hold run() against brute force.
+#: Estimates, models and ids are beyond SQL; tests hold the stages against plain versions.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents table."""
+    """All stages over the documents table.
+
+    Null and empty texts fall to the rules. Rows without a doc_id, or sharing one,
+    are judged one by one; of near copies the row with the smallest doc_id stays.
+    Columns beyond those of documents, whatever
+    their names, come along up to the last stage. An empty table gives no rows.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = saved(stage(spark, docs, sf_dir), name.replace(" ", "-"))
