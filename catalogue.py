@@ -294,6 +294,47 @@ def reconcile_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mc.reconcile(lineitem, lineitem_replica(lineitem)).rows
 
 
+QUERIES["reconcile_tree_lineitem"] = lambda spark, sf_dir: mc.reconcile_tree(
+    table(spark, sf_dir, "lineitem"), lineitem_replica(table(spark, sf_dir, "lineitem")), ["l_orderkey"]
+).rows
+ORACLES["reconcile_tree_lineitem"] = ORACLES["reconcile_lineitem"]
+
+
+def events_replica(events: DataFrame) -> DataFrame:
+    """A copy with one damaged run of ids: values shifted in the middle hundredth, copies of every tenth of it."""
+    ends = events.agg(F.min("event_id").alias("low"), (F.max("event_id") - F.min("event_id") + 1).alias("width"))
+    place = F.expr("(event_id - low) * 100 div width")
+    placed = events.join(F.broadcast(ends), F.lit(True)).withColumn("place", place)
+    damaged = placed.withColumn("value", F.when(F.col("place") == 50, F.col("value") + 0.25).otherwise(F.col("value")))
+    copies = F.when((F.col("place") == 50) & (F.col("event_id") % 10 == 0), 2).otherwise(1)
+    return damaged.withColumn("copy", F.explode(F.sequence(F.lit(1), copies))).select(*events.columns)
+
+
+EVENTS_REPLICA_SQL = """
+    SELECT event_id, ts, user_id, event_type, CASE WHEN place = 50 THEN value + 0.25 ELSE value END AS value, props
+    FROM (SELECT *, ((event_id - MIN(event_id) OVER ()) * 100) // (MAX(event_id) OVER () - MIN(event_id) OVER () + 1) AS place FROM events),
+      (VALUES (1), (2)) v(copy)
+    WHERE copy = 1 OR (place = 50 AND event_id % 10 = 0)
+"""
+
+
+@query(
+    f"""
+    WITH replica AS ({EVENTS_REPLICA_SQL}), marks AS (
+      SELECT *, 1 AS mark FROM events UNION ALL SELECT *, -1 FROM replica
+    ), net AS (
+      SELECT event_id, ts, user_id, event_type, value, props, SUM(mark) AS excess FROM marks GROUP BY ALL HAVING SUM(mark) <> 0
+    )
+    SELECT CASE WHEN excess > 0 THEN 'only_left' ELSE 'only_right' END AS side, * EXCLUDE (excess),
+           CAST(ABS(excess) AS BIGINT) AS n_copies
+    FROM net
+    """
+)
+def reconcile_tree_events_bag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = table(spark, sf_dir, "events")
+    return mc.reconcile_tree(events, events_replica(events), ["event_id"], multiset=True, leaf_rows=100).rows
+
+
 @query(
     f"""
     WITH replica AS ({LINEITEM_REPLICA_SQL})

@@ -3,6 +3,7 @@
 from movecheck.operators.audit import failure_message, failure_summary
 from movecheck.operators.conform import cast_loss, conform, contract_losses, null_violations
 from movecheck.operators.decimals import cast_elements, decimal_overflow, fit_decimals
+from movecheck.operators.digest_tree import TreeReconciliation, reconcile_tree
 from movecheck.operators.drift import align_to, drift_report, schema_drift, union_aligned
 from movecheck.operators.missing import copy_missing, missing_rows
 from movecheck.operators.months import (
@@ -36,6 +37,7 @@ __all__ = [
     "KeyReconciliation",
     "Migration",
     "Reconciliation",
+    "TreeReconciliation",
     "align_partitions",
     "align_to",
     "cast_elements",
@@ -63,6 +65,7 @@ __all__ = [
     "read_table",
     "reconcile",
     "reconcile_by_key",
+    "reconcile_tree",
     "scan_months",
     "schema_drift",
     "text_digit_profile",

@@ -23,7 +23,7 @@ SIDE, COPIES = "side", "n_copies"
 COPIES_PER_TASK = 100_000
 
 
-def _shared_columns(left: DataFrame, right: DataFrame, cols: Sequence[str] | None) -> list[tuple[str, str]]:
+def shared_columns(left: DataFrame, right: DataFrame, cols: Sequence[str] | None) -> list[tuple[str, str]]:
     """Pairs of the two frames' spellings of the compared columns."""
     if cols is not None:
         pairs = list(zip(resolve(left, cols), resolve(right, cols)))
@@ -70,6 +70,24 @@ def _holds_float(dtype: T.DataType) -> bool:
     return isinstance(dtype, FLOAT_TYPES)
 
 
+def compared(
+    sides: tuple[DataFrame, DataFrame], pairs: Sequence[tuple[str, str]], tolerance_scale: int | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Both sides with just the compared columns, in their common types and the left spelling."""
+    types = [tuple(df.schema[name].dataType for df, name in zip(sides, pair)) for pair in pairs]
+    shared = [common_type(*pair, exact=tolerance_scale is None) for pair in types]
+    out = []
+    for spot, df in enumerate(sides):
+        columns = []
+        for pair, own, target in zip(pairs, types, shared):
+            value = comparable(column(pair[spot]), own[spot], target)
+            if tolerance_scale is not None:
+                value = _rounded(value, target, tolerance_scale)
+            columns.append(value.alias(pair[0]))
+        out.append(df.select(*columns))
+    return out[0], out[1]
+
+
 def _grouped(
     left: DataFrame,
     right: DataFrame,
@@ -85,19 +103,10 @@ def _grouped(
     (right) or 3 (both).
     """
     tags = (F.lit(1), F.lit(-1)) if multiset else (F.lit(1), F.lit(2))
-    sides = []
-    for spot, (df, tag) in enumerate(zip((left, right), tags)):
-        columns = []
-        for pair in pairs:
-            own = df.schema[pair[spot]].dataType
-            shared = common_type(
-                left.schema[pair[0]].dataType, right.schema[pair[1]].dataType, exact=tolerance_scale is None
-            )
-            value = comparable(column(pair[spot]), own, shared)
-            if tolerance_scale is not None:
-                value = _rounded(value, shared, tolerance_scale)
-            columns.append(value.alias(pair[0]))
-        sides.append(df.select(*columns, tag.cast("bigint" if multiset else "tinyint").alias("__tag")))
+    sides = [
+        df.select("*", tag.cast("bigint" if multiset else "tinyint").alias("__tag"))
+        for df, tag in zip(compared((left, right), pairs, tolerance_scale), tags)
+    ]
     mark = F.sum("__tag") if multiset else F.bit_or("__tag")
     names = [column(a) for a, _ in pairs]
     return sides[0].unionAll(sides[1]).groupBy(*names).agg(mark.alias("__mark"))
@@ -192,7 +201,7 @@ def reconcile(
     ``tolerance_scale`` rounds floats to that many places first, nested ones
     too; only then does a float against a bigint or decimal count as a double.
     """
-    pairs = _shared_columns(left, right, cols)
+    pairs = shared_columns(left, right, cols)
     _check_names([a for a, _ in pairs], SIDE, COPIES)
     grouped = _grouped(left, right, pairs, tolerance_scale, multiset)
     mark = F.col("__mark")
@@ -272,7 +281,7 @@ def reconcile_by_key(
     if cols is not None:
         named = resolve(left, keys)
         cols = [*named, *[c for c in resolve(left, cols) if c not in named]]
-    pairs = _shared_columns(left, right, cols)
+    pairs = shared_columns(left, right, cols)
     key_names = resolve(left, keys)
     others = [a for a, _ in pairs if a not in key_names]
     made = [f"{side}_{name}".lower() for side in ("left", "right") for name in others]
