@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 import movecheck as mc
+from movecheck.operators.profile_store import DISTINCT_ERROR
 from movecheck.sources.sinks import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -161,6 +162,65 @@ def profile_lineitem_estimate_error(spark: SparkSession, sf_dir: str) -> DataFra
     )
 
 
+def by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "orders").withColumn("month", F.date_format("o_orderdate", "yyyyMM"))
+
+
+def stored_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """States of orders by month: all months at first, then the last one anew."""
+    orders, path = by_month(spark, sf_dir), scratch_path(spark, "profiles")
+    mc.refresh_profile_store(orders, path, "month")
+    last = orders.agg(F.max("month")).first()[0]
+    mc.refresh_profile_store(orders, path, "month", parts=[last])
+    return mc.read_profile_store(spark, path)
+
+
+@query(profile_sql("orders", distinct=False))
+def profile_store_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The profile merged from the states of all months."""
+    return mc.merged_profile(stored_orders(spark, sf_dir)).drop("n_distinct")
+
+
+@query(
+    "SELECT column_name, n_exact, true AS within_error FROM ("
+    + " UNION ALL ".join(f"SELECT '{x}' AS column_name, COUNT(DISTINCT {x}) AS n_exact FROM orders" for x in PROFILED["orders"])
+    + ")"
+)
+def profile_store_orders_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct counts from merged sketches: within four standard deviations of the exact ones."""
+    exact = mc.profile_columns(table(spark, sf_dir, "orders"), exact_distinct=True)
+    found = mc.merged_profile(stored_orders(spark, sf_dir)).select("column_name", F.col("n_distinct").alias("found"))
+    off = F.abs(F.col("found") - F.col("n_distinct"))
+    return exact.join(found, "column_name").select(
+        "column_name", F.col("n_distinct").alias("n_exact"),
+        (off <= 1 + 4 * DISTINCT_ERROR * F.col("n_distinct")).alias("within_error"),
+    )
+
+
+def footer_sql(name: str) -> str:
+    ends = {"int": "footer", "bigint": "footer"}
+    branches = [
+        f"SELECT '{x}' AS column_name, '{t}' AS data_type, COUNT(*) AS n_rows, COUNT(*) - COUNT({x}) AS n_nulls, "
+        f"CAST(MIN({v}) AS VARCHAR) AS min_value, CAST(MAX({v}) AS VARCHAR) AS max_value, '{ends.get(t, 'scan')}' AS source FROM {name}"
+        for x, t in PROFILED[name].items() for v in [f"{x} + CAST(0 AS DOUBLE)" if t == "double" else x]
+    ]
+    return " UNION ALL ".join(branches)
+
+
+@query(footer_sql("lineitem"))
+def footer_profile_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts from footers, ends from footers where they keep them."""
+    return mc.footer_profile(spark, f"{sf_dir}/lineitem.parquet")
+
+
+@query(footer_sql("orders"))
+def footer_profile_orders_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same of an ORC copy."""
+    path = scratch_path(spark, "orders-orc")
+    mc.write_table(table(spark, sf_dir, "orders"), path, "orc")
+    return mc.footer_profile(spark, path, "orc")
+
+
 def numeric_profile_sql(name: str, x: str) -> str:
     precision, _, scale = _plain_digits_sql(x)
     return (

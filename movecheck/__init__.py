@@ -13,6 +13,13 @@ from movecheck.operators.months import (
     months_between,
 )
 from movecheck.operators.profile import numeric_profile, profile_columns, text_digit_profile
+from movecheck.operators.profile_store import (
+    merged_profile,
+    merged_quantiles,
+    profile_states,
+    read_profile_store,
+    refresh_profile_store,
+)
 from movecheck.operators.reconcile import (
     KeyReconciliation,
     Reconciliation,
@@ -27,6 +34,7 @@ from movecheck.plans.migrate import (
     migrate,
 )
 from movecheck.sources.contract import Contract, ContractColumn, load_contract, read_contract
+from movecheck.sources.footers import footer_profile, pushed_aggregates
 from movecheck.sources.sinks import write_table
 from movecheck.sources.tables import read_table, scan_months
 
@@ -51,7 +59,10 @@ __all__ = [
     "failure_message",
     "failure_summary",
     "fit_decimals",
+    "footer_profile",
     "load_contract",
+    "merged_profile",
+    "merged_quantiles",
     "migrate",
     "missing_months",
     "missing_rows",
@@ -61,11 +72,15 @@ __all__ = [
     "null_violations",
     "numeric_profile",
     "profile_columns",
+    "profile_states",
+    "pushed_aggregates",
     "read_contract",
+    "read_profile_store",
     "read_table",
     "reconcile",
     "reconcile_by_key",
     "reconcile_tree",
+    "refresh_profile_store",
     "scan_months",
     "schema_drift",
     "text_digit_profile",

@@ -72,7 +72,6 @@ class _ColumnProfile:
             strip_zeros and isinstance(dtype, T.DecimalType) and dtype.scale > 0
         )
         self.ranged = isinstance(dtype, RANGED_TYPES)
-        self.countable = not (_has_type(dtype, T.MapType) or _has_type(dtype, T.VariantType))
 
     def kind(self) -> str:
         """Columns of one kind share an aggregate that the JVM compiles well."""
@@ -148,15 +147,32 @@ class _ColumnProfile:
         return F.struct(*[v.alias(name) for v, name in zip(values, PROFILE_COLUMNS)])
 
 
-def _profile_pass(df: DataFrame, group: Sequence[_ColumnProfile]) -> DataFrame:
-    inputs = df.select(*[column(p.name).alias(p.alias) for p in group])
+def _profile_pass(df: DataFrame, group: Sequence[_ColumnProfile], by: Sequence[Column] = ()) -> DataFrame:
+    """One row per column of the group, and per value of the named expressions in ``by``."""
+    inputs = df.select(*by, *[column(p.name).alias(p.alias) for p in group])
+    keys = inputs.columns[: len(by)]
     # Texts and sizes get layers of their own: each is used several times.
     inputs = _layer(inputs, {k: v for p in group for k, v in p.texts().items()})
     inputs = _layer(inputs, {k: v for p in group for k, v in p.sizes().items()})
-    totals = inputs.agg(
+    totals = inputs.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n_rows"), *[a for p in group for a in p.aggregates()]
     )
-    return totals.select(F.inline(F.array(*[p.row() for p in group])))
+    return totals.select(*keys, F.inline(F.array(*[p.row() for p in group])))
+
+
+def _passes(df: DataFrame, names: Sequence[str], strip_zeros: bool = False, by: Sequence[Column] = ()) -> DataFrame:
+    """All columns' rows, one aggregate per kind of column."""
+    profiles = [_ColumnProfile(name, df.schema[name].dataType, f"c{i}", strip_zeros) for i, name in enumerate(names)]
+    passes = []
+    for kind, size in PASS_SIZES.items():
+        alike = [p for p in profiles if p.kind() == kind]
+        passes += [_profile_pass(df, group, by) for group in in_groups(alike, size)]
+    return reduce(DataFrame.unionAll, passes)
+
+
+def countable(dtype: T.DataType) -> bool:
+    """Whether values of the type can be told apart, and so counted or hashed."""
+    return not (_has_type(dtype, T.MapType) or _has_type(dtype, T.VariantType))
 
 
 def _estimated_distinct(df: DataFrame, names: Sequence[str], error: float) -> DataFrame:
@@ -213,22 +229,14 @@ def profile_columns(
     names = resolve(df, columns) if columns is not None else df.columns
     if not names:
         raise ValueError("no column to profile")
-    profiles = [
-        _ColumnProfile(name, df.schema[name].dataType, f"c{i}", strip_zeros)
-        for i, name in enumerate(names)
-    ]
-    passes = []
-    for kind, size in PASS_SIZES.items():
-        alike = [p for p in profiles if p.kind() == kind]
-        passes += [_profile_pass(df, group) for group in in_groups(alike, size)]
-    result = reduce(DataFrame.unionAll, passes)
-    countable = [p.name for p in profiles if p.countable]
-    if not (count_distinct and countable):
+    result = _passes(df, names, strip_zeros)
+    counted = [name for name in names if countable(df.schema[name].dataType)]
+    if not (count_distinct and counted):
         return result
     if exact_distinct:
-        counts = _exact_distinct(df, countable)
+        counts = _exact_distinct(df, counted)
     else:
-        counts = _estimated_distinct(df, countable, distinct_error)
+        counts = _estimated_distinct(df, counted, distinct_error)
     return result.join(counts, "column_name", "left").select(
         *[F.col("found").alias(c) if c == "n_distinct" else F.col(c) for c in PROFILE_COLUMNS]
     )
