@@ -1173,3 +1173,93 @@ def migrate_orders_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = mc.migrate(spark, source, ORDERS_CONTRACT, target, decimal=(15, 1), unfitted=True)
     return done.difference.counts()
 
+
+
+@query(
+    """
+    SELECT side, COUNT(*) FILTER (WHERE price >= 100000) AS n_rows
+    FROM (SELECT CAST(o_totalprice AS DECIMAL(15,2)) AS price FROM orders), (VALUES ('only_left'), ('only_right')) v(side)
+    GROUP BY side
+    """
+)
+def migrate_orders_overflow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load that fits prices to too few places: nulls that the difference shows by default."""
+    source, target = scratch_path(spark, "orders-source"), scratch_path(spark, "orders-target")
+    mc.write_table(table(spark, sf_dir, "orders"), source, "orc")
+    return mc.migrate(spark, source, ORDERS_CONTRACT, target, decimal=(7, 2)).difference.counts()
+
+
+@query(
+    f"""
+    WITH replica AS ({LINEITEM_REPLICA_SQL}),
+    l AS (SELECT l_orderkey, l_linenumber, CAST(l_tax AS DECIMAL(9,2)) AS tax, CAST(l_discount AS DECIMAL(9,2)) AS discount FROM lineitem),
+    r AS (SELECT l_orderkey, l_linenumber, CAST(l_tax AS DECIMAL(9,2)) AS tax, CAST(l_discount AS DECIMAL(9,2)) AS discount FROM replica)
+    SELECT 'only_left' AS side, COUNT(*) AS n_rows FROM (SELECT * FROM l EXCEPT ALL SELECT * FROM r)
+    UNION ALL
+    SELECT 'only_right', COUNT(*) FROM (SELECT * FROM r EXCEPT ALL SELECT * FROM l)
+    """
+)
+def reconcile_lineitem_float_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """32-bit floats against the decimals they were moved to: only real faults differ."""
+    lineitem = table(spark, sf_dir, "lineitem")
+
+    def rates(rows: DataFrame, kind: str) -> DataFrame:
+        return rows.select("l_orderkey", "l_linenumber", F.col("l_tax").cast(kind).alias("tax"), F.col("l_discount").cast(kind).alias("discount"))
+
+    return mc.reconcile(rates(lineitem, "float"), rates(lineitem_replica(lineitem), "decimal(9,2)"), multiset=True).counts()
+
+
+# --- contracts from data ------------------------------------------------------
+
+INFERRED_TYPES = {"bigint": "bigint", "int": "int", "string": "string", "timestamp_ntz": "timestamp_ntz"}
+
+
+def inferred_sql(name: str) -> str:
+    """The least type that holds every value of the text copy."""
+    branches = []
+    for x, dtype in PROFILED[name].items():
+        t = f"CAST({x} AS VARCHAR)"
+        digits, scale = f"MAX(LENGTH(SPLIT_PART(LTRIM({t}, '-'), '.', 1)))", f"MAX(LENGTH(SPLIT_PART({t}, '.', 2)))"
+        kind = f"'{INFERRED_TYPES.get(dtype)}'"
+        if dtype == "double":
+            kind = (
+                f"CASE WHEN BOOL_OR({t} = '-0.0') THEN 'double' "
+                f"ELSE 'decimal(' || CAST({digits} + {scale} AS VARCHAR) || ',' || CAST({scale} AS VARCHAR) || ')' END"
+            )
+        elif dtype in WHOLE:
+            kind = f"CASE WHEN MAX({x}) < 2147483648 THEN 'int' ELSE 'bigint' END"
+        branches.append(
+            f"SELECT '{x}' AS src_column_name, '{x}' AS target_column_name, {kind} AS source_datatype, "
+            f"CASE WHEN COUNT({x}) < COUNT(*) THEN 'true' ELSE 'false' END AS isnullable, "
+            f"'true' AS iscolpresentindata, 'true' AS isrequired FROM {name}"
+        )
+    return " UNION ALL ".join(branches)
+
+
+def text_copy(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    rows = table(spark, sf_dir, name)
+    return as_text(rows, *rows.columns)
+
+
+@query(inferred_sql("orders"))
+def infer_contract_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mc.infer_contract(text_copy(spark, sf_dir, "orders"))
+
+
+@query(inferred_sql("lineitem"))
+def infer_contract_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mc.infer_contract(text_copy(spark, sf_dir, "lineitem"))
+
+
+@query(
+    " UNION ALL ".join(
+        f"SELECT '{x}' AS column_name, COUNT(*) AS n_rows, CAST(0 AS BIGINT) AS n_lost, CAST(0 AS BIGINT) AS n_altered, "
+        f"CAST(0 AS BIGINT) AS n_violations FROM lineitem"
+        for x in PROFILED["lineitem"]
+    )
+)
+def inferred_contract_losses_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What conforming the text copy to its own inferred contract costs: nothing."""
+    copy = text_copy(spark, sf_dir, "lineitem")
+    losses = mc.contract_losses(copy, mc.infer_contract(copy))
+    return losses.select("column_name", "n_rows", "n_lost", "n_altered", "n_violations")

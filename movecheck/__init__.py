@@ -35,6 +35,7 @@ from movecheck.plans.migrate import (
 )
 from movecheck.sources.contract import Contract, ContractColumn, load_contract, read_contract
 from movecheck.sources.footers import footer_profile, pushed_aggregates
+from movecheck.sources.inference import infer_contract, type_states
 from movecheck.sources.sinks import write_table
 from movecheck.sources.tables import read_table, scan_months
 
@@ -60,6 +61,7 @@ __all__ = [
     "failure_summary",
     "fit_decimals",
     "footer_profile",
+    "infer_contract",
     "load_contract",
     "merged_profile",
     "merged_quantiles",
@@ -84,6 +86,7 @@ __all__ = [
     "scan_months",
     "schema_drift",
     "text_digit_profile",
+    "type_states",
     "union_aligned",
     "write_table",
 ]

@@ -160,16 +160,18 @@ def _plain(own: T.DataType, shared: T.DataType) -> bool:
     return own.simpleString() == shared.simpleString() and not has_map(shared)
 
 
-def _float_text(value: Column, scale: int) -> Column:
+def _float_text(value: Column, own: T.DataType, scale: int) -> Column:
     """A float as the text that an equal bigint or decimal of the scale has.
 
     Whole floats below 2^63 are taken exactly, others by the shortest digits
-    that name them. A float that no such decimal equals keeps a text of its own.
+    that name them among floats of their own width. A float that no such decimal
+    equals keeps a text of its own.
     """
     number = value.cast("double")
     whole = (number == F.floor(number)) & (F.abs(number) < F.lit(2.0**63))
-    digits = F.when(F.abs(number) < F.lit(10.0 ** (38 - scale)), number.try_cast(T.DecimalType(38, scale)))
-    same = digits.cast("double") == number
+    shortest = value.cast("string") if isinstance(own, T.FloatType) else number
+    digits = F.when(F.abs(number) < F.lit(10.0 ** (38 - scale)), shortest.try_cast(T.DecimalType(38, scale)))
+    same = digits.cast(own) == value
     return (
         F.when(F.coalesce(whole, F.lit(False)), number.try_cast("bigint").cast("string"))
         .when(F.coalesce(same, F.lit(False)), _decimal_text(digits, scale))
@@ -209,5 +211,5 @@ def comparable(value: Column, own: T.DataType, shared: T.DataType) -> Column:
     if isinstance(own, T.DecimalType) and isinstance(shared, T.StringType):
         return _decimal_text(value, own.scale)
     if isinstance(shared, NumberText):
-        return _float_text(value, shared.scale) if isinstance(own, FLOAT_TYPES) else value.cast("string")
+        return _float_text(value, own, shared.scale) if isinstance(own, FLOAT_TYPES) else value.cast("string")
     return value.cast(shared)

@@ -114,7 +114,7 @@ def migrate(
     partition_grain: str | None = None,
     dynamic: bool = False,
     as_table: bool = False,
-    unfitted: bool = False,
+    unfitted: bool = True,
 ) -> Migration:
     """Read, conform, fit decimals, write, and compare the written table.
 
@@ -122,8 +122,9 @@ def migrate(
     nothing if values would be lost or forbidden nulls appear; ``"exact"`` also
     refuses values that would become others. ``target`` is a path, or with
     ``as_table`` a catalog table. The comparison is lazy: use its ``report()``.
-    It holds the target against the rows written, or with ``unfitted`` against
-    the rows before their decimals were fitted. After an append to a table that
+    It holds the target against the rows before their decimals were fitted, so
+    that what fitting costs is part of it, or without ``unfitted`` against the
+    rows written. After an append to a table that
     had rows before, or a refresh of single partitions, the target's other rows
     show up on the right.
     """
