@@ -85,8 +85,11 @@ def k_means(sample: np.ndarray, k: int, rounds: int = 12, seed: int = 7) -> np.n
 
 def fit_index(rows: DataFrame, n: int, sample: int = SAMPLE, probed: float = PROBED) -> Index:
     """Rotation, centres and sample from the ``sample`` rows of smallest hash."""
-    # At most ``sample`` vectors come to the driver.
-    chosen = rows.orderBy(F.xxhash64("id"), "id", "v").limit(sample).toPandas()
+    # About twice the sample passes the threshold, so that no task sorts more than
+    # its share; at most ``sample`` vectors come to the driver.
+    share = min(1.0, 2 * sample / n)
+    few = rows.filter(F.pmod(F.xxhash64("id", "v"), F.lit(1 << 32)) < int(share * (1 << 32))) if share < 1 else rows
+    chosen = few.orderBy(F.xxhash64("id"), "id", "v").limit(sample).toPandas()
     vectors = np.array(chosen["v"].tolist(), float)
     d = vectors.shape[1]
     rotation, _ = np.linalg.qr(np.random.default_rng(11).standard_normal((d, d)))
@@ -116,7 +119,10 @@ def scan(index: Index, queries: dict, ids: np.ndarray, vectors: np.ndarray, near
         if not len(alive):
             continue
         exact = np.sqrt(np.square(vectors[alive] - vector).sum(1))
-        for i in np.lexsort((ids[alive], exact))[:nearest]:
+        order = np.lexsort((ids[alive], exact))
+        # Of rows with one id the nearest counts, before the best are taken.
+        _, once = np.unique(ids[alive[order]], return_index=True)
+        for i in order[np.sort(once)[:nearest]]:
             yield query, int(ids[alive[i]]), float(exact[i])
 
 

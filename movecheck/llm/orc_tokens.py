@@ -43,9 +43,16 @@ SEPARATOR = "\ue000"
 
 
 class WordEncoder:
-    """Ids of texts by way of the ids of their words."""
+    """Ids of texts by way of the ids of their words.
 
-    def __init__(self, path: str, cache: int = CACHE):
+    The words' tokenizer takes strings of special tokens for text. Unless that is
+    wanted, texts that may hold one go to the library whole, as it is loaded.
+    """
+
+    def __init__(self, path: str, special_as_text: bool = False, cache: int = CACHE):
+        self.library = Tokenizer.from_file(path)
+        special = [token.content for token in self.library.get_added_tokens_decoder().values()]
+        self.signs = set() if special_as_text else {content[:2] for content in special}
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.limit = cache
@@ -108,7 +115,24 @@ class WordEncoder:
         return [found[w] if w in found else self._alone(w) for w in words]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts end to end, offsets of the texts in them).
+        """(ids of all texts end to end, offsets of the texts in them)."""
+        whole = np.zeros(len(texts), bool)
+        for sign in self.signs:
+            whole |= pa.compute.match_substring(texts, sign).to_numpy(zero_copy_only=False)
+        if not whole.any():
+            return self._by_words(texts)
+        ids, offsets = self._by_words(pa.compute.if_else(pa.array(whole), "", texts))
+        found = self.library.encode_batch_fast([t for t, w in zip(texts.to_pylist(), whole) if w], add_special_tokens=False)
+        sizes = np.diff(offsets)
+        sizes[whole] = [len(f.ids) for f in found]
+        out = np.empty(sizes.sum(), ids.dtype)
+        special = np.repeat(whole, sizes)
+        out[~special] = ids
+        out[special] = np.concatenate([np.array(f.ids, ids.dtype) for f in found])
+        return out, np.concatenate([[0], np.cumsum(sizes)])
+
+    def _by_words(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The same for texts whose special strings are text.
 
         A word of letters with closing symbols is its letters, in lower case,
         followed by its symbols; any other word is looked up as it is.
@@ -160,21 +184,24 @@ def cut_out(words: pa.Array, starts: np.ndarray, sizes: np.ndarray) -> pa.Array:
 
 
 @lru_cache(2)
-def word_encoder(path: str) -> WordEncoder:
-    return WordEncoder(path)
+def word_encoder(path: str, special_as_text: bool) -> WordEncoder:
+    return WordEncoder(path, special_as_text)
 
 
-def write_token_files(docs: DataFrame, target: str, tokenizer: str, end_id: int = END_ID) -> None:
+def write_token_files(
+    docs: DataFrame, target: str, tokenizer: str, end_id: int = END_ID, special_as_text: bool = False
+) -> None:
     """Write doc_id and ids (with the end id) as ORC, in ascending doc_id order.
 
     Null texts are empty and hold only the end id. Rows without a doc_id come
     first. Rows with equal doc_id all stay, ordered by their texts; the ranges
     are cut by doc_id and a hash of the text, so a doc_id with many texts is
-    spread. Only doc_id and text are read.
+    spread. The ids are the library's: strings of special tokens in a text become
+    these, unless ``special_as_text``. Only doc_id and text are read.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = word_encoder(tokenizer)
+        encoder = word_encoder(tokenizer, special_as_text)
         for batch in batches:
             for part in slices(batch, "text", 16 << 20):
                 flat, offsets = encoder.encode(part.column(1).fill_null(""))
@@ -249,9 +276,19 @@ def read_token_index(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def token_files(docs: DataFrame, tokenizer: str, target: str | None = None) -> DataFrame:
+def read_documents(spark: SparkSession, path: str, doc_ids: Sequence[int]) -> DataFrame:
+    """doc_id and ids of the given documents, from token files.
+
+    The filter reaches the scan: files and stripes whose range or Bloom filter
+    excludes the ids are skipped, and in the others all row groups but theirs.
+    """
+    rows = spark.read.schema("doc_id long, ids array<int>").orc(path)
+    return rows.filter(F.col("doc_id").isin([int(i) for i in doc_ids]))
+
+
+def token_files(docs: DataFrame, tokenizer: str, target: str | None = None, special_as_text: bool = False) -> DataFrame:
     """Write the token files, then return their index as read from them."""
     spark = docs.sparkSession
     target = target or scratch_path(spark, "tokens")
-    write_token_files(docs, target, tokenizer)
+    write_token_files(docs, target, tokenizer, special_as_text=special_as_text)
     return read_token_index(spark, target)

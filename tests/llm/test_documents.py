@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import tiktoken
 import xxhash
 from pyspark.sql import functions as F
@@ -215,10 +217,34 @@ def test_automaton_composes():
         assert image[f] == state
 
 
+def test_special_strings_as_the_library_has_them(spark):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    rng = random.Random(4)
+    bits = ["<|endoftext|>", "<|ENDOFTEXT|>", "<|startoftext|>", "<|", "|>", "a", " ", "It's", "\n", "12", "é"]
+    texts = ["".join(rng.choice(bits) for _ in range(rng.randint(0, 9))) for _ in range(400)]
+    for special_as_text in (False, True):
+        library = Tokenizer.from_file(path)
+        library.encode_special_tokens = special_as_text
+        ids, offsets = orc_tokens.WordEncoder(path, special_as_text).encode(pa.array(texts))
+        got = [ids[a:b].tolist() for a, b in zip(offsets[:-1], offsets[1:])]
+        assert got == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_documents_are_read_by_their_stripes(spark, tmp_path):
+    path, target = public_tokenizers.path("word_bpe_49k.json"), str(tmp_path / "t")
+    docs = spark.range(20_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), F.col("id")).alias("text"))
+    orc_tokens.write_token_files(docs, target, path)
+    found = orc_tokens.read_documents(spark, target, [77, 12_345, 30_000])
+    library = Tokenizer.from_file(path)
+    got = {r["doc_id"]: r["ids"] for r in found.collect()}
+    assert got == {i: [*library.encode(f"text {i}", add_special_tokens=False).ids, 1] for i in (77, 12_345)}
+    scan = found._jdf.queryExecution().executedPlan().collectLeaves().head()
+    assert scan.metrics().apply("numOutputRows").value() <= 3 * orc_tokens.ROW_INDEX
+
+
 def test_orc_tokens(docs, no_docs, tmp_path):
     path = public_tokenizers.path("word_bpe_49k.json")
     library = Tokenizer.from_file(path)
-    library.encode_special_tokens = True
     target = str(tmp_path / "tokens")
     got = sorted(orc_tokens.token_files(docs, path, target).collect(), key=lambda r: r["start"])
     assert [r["doc_id"] for r in got] == sorted([r[0] for r in ROWS], key=lambda i: (i is not None, i or 0))

@@ -50,6 +50,19 @@ def test_nearest_neighbours(spark):
     assert hits >= 0.9 * 10 * len(got)
 
 
+def test_repeated_rows_leave_room_for_others(spark):
+    """Twelve rows of every vector: the ten nearest ids, not ten rows of the nearest."""
+    rng = np.random.default_rng(5)
+    x = rng.standard_normal((1500, 16)).astype(np.float32)
+    rows = [(i, [float(v) for v in row]) for i, row in enumerate(x)] * 12
+    got = {}
+    for r in adaptive_scan.nearest_neighbours(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    assert sorted(got) == list(range(0, 1500, 100)) and all(len(found) == 10 for found in got.values())
+    hits = sum(len(got[q] & {i for _, i in brute(np.arange(1500), x.astype(float), q, x[q].astype(float))}) for q in got)
+    assert hits >= 0.9 * 10 * len(got)
+
+
 def test_few_vectors(spark):
     kind = "vec_id long, embedding array<float>"
     few = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 1.0]), (100, [1.0, 0.0])], kind)
