@@ -5,6 +5,9 @@ from pyspark.sql import types as T
 
 from movecheck.functions.types import common_type, contract_type
 
+# Columns need a session.
+pytestmark = pytest.mark.usefixtures("spark")
+
 
 @pytest.mark.parametrize(
     "text, wanted",
