@@ -1263,3 +1263,212 @@ def inferred_contract_losses_lineitem(spark: SparkSession, sf_dir: str) -> DataF
     copy = text_copy(spark, sf_dir, "lineitem")
     losses = mc.contract_losses(copy, mc.infer_contract(copy))
     return losses.select("column_name", "n_rows", "n_lost", "n_altered", "n_violations")
+
+
+# --- renames, nearness, rejects, digit tables -----------------------------------
+
+
+def orders_renamed(orders: DataFrame) -> DataFrame:
+    """A later version: three columns renamed, all reordered and one retyped, two look-alikes added."""
+    return orders.select(
+        F.col("o_orderpriority").alias("priority"),
+        F.col("o_orderkey").cast("string").alias("order_id"),
+        (F.col("o_custkey") + 1000000).alias("clerk_id"),
+        F.col("o_totalprice").alias("price"),
+        "o_orderdate",
+        # The statuses of orders, but of others.
+        F.when(F.col("o_orderkey") % 4 == 0, "F").when(F.col("o_orderkey") % 4 == 1, "P").otherwise("O").alias("ship_state"),
+    ).filter(F.col("o_totalprice") >= 10000)
+
+
+def _renames_sql() -> str:
+    """Every pair of one-sided columns, compared value by value."""
+    lefts = {"o_orderkey": "bigint", "o_custkey": "bigint", "o_orderstatus": "string", "o_totalprice": "double", "o_orderpriority": "string"}
+    rights = {"priority": "string", "order_id": "string", "clerk_id": "bigint", "price": "double", "ship_state": "string"}
+
+    def values(columns: dict[str, str], source: str) -> str:
+        return " UNION ALL ".join(
+            f"SELECT '{c}' AS c, CAST({c} AS VARCHAR) AS v, COUNT(*) / (SELECT COUNT(*) FROM {source}) AS share FROM {source} GROUP BY ALL"
+            for c in columns
+        )
+
+    kinds = " UNION ALL ".join(f"SELECT '{c}' AS c, '{t}' AS t" for c, t in (lefts | rights).items())
+    return f"""
+    WITH later AS (
+      SELECT o_orderpriority AS priority, CAST(o_orderkey AS VARCHAR) AS order_id, o_custkey + 1000000 AS clerk_id,
+             o_totalprice AS price, o_orderdate,
+             CASE WHEN o_orderkey % 4 = 0 THEN 'F' WHEN o_orderkey % 4 = 1 THEN 'P' ELSE 'O' END AS ship_state
+      FROM orders WHERE o_totalprice >= 10000),
+    a AS ({values(lefts, "orders")}), b AS ({values(rights, "later")}), kinds AS ({kinds}),
+    na AS (SELECT c, COUNT(*) AS n FROM a GROUP BY c), nb AS (SELECT c, COUNT(*) AS n FROM b GROUP BY c),
+    met AS (SELECT a.c AS l, b.c AS r, COUNT(*) AS shared, SUM(LEAST(a.share, b.share)) AS overlap
+            FROM a JOIN b ON a.v = b.v GROUP BY a.c, b.c),
+    pairs AS (SELECT l, r, LEAST(shared / (na.n + nb.n - shared), overlap) AS s
+              FROM met JOIN na ON na.c = l JOIN nb ON nb.c = r),
+    -- The data give no column two partners above the limit.
+    good AS (SELECT * FROM pairs WHERE s >= 0.75)
+    SELECT l AS left_column, k.t AS left_type, r AS right_column, m.t AS right_type, 'renamed' AS status, ROUND(s, 6) AS similarity
+    FROM good JOIN kinds k ON k.c = l JOIN kinds m ON m.c = r
+    UNION ALL SELECT na.c, t, NULL, NULL, 'only_left', NULL FROM na JOIN kinds USING (c) WHERE na.c NOT IN (SELECT l FROM good)
+    UNION ALL SELECT NULL, NULL, nb.c, t, 'only_right', NULL FROM nb JOIN kinds USING (c) WHERE nb.c NOT IN (SELECT r FROM good)
+    """
+
+
+@query(_renames_sql())
+def renamed_columns_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which columns of a reordered, shortened version are which; look-alikes stay alone."""
+    orders = table(spark, sf_dir, "orders")
+    found = mc.renamed_columns(orders, orders_renamed(orders))
+    return found.withColumn("similarity", F.round("similarity", 6))
+
+
+@query(
+    """
+    WITH replica AS (
+      SELECT event_type, value + CASE event_id % 4 WHEN 0 THEN 0.004 WHEN 1 THEN -0.003 WHEN 2 THEN 0.25 ELSE 0 END AS value
+      FROM events WHERE event_id % 11 <> 3),
+    l AS (SELECT event_type, value, COUNT(*) AS n_copies FROM events GROUP BY ALL),
+    r AS (SELECT event_type, value, COUNT(*) AS n_copies FROM replica GROUP BY ALL),
+    lm AS (SELECT DISTINCT l.event_type, l.value FROM l JOIN r ON l.event_type = r.event_type
+           AND r.value BETWEEN l.value - 0.011 AND l.value + 0.011 AND ABS(l.value - r.value) <= 0.01),
+    rm AS (SELECT DISTINCT r.event_type, r.value FROM l JOIN r ON l.event_type = r.event_type
+           AND r.value BETWEEN l.value - 0.011 AND l.value + 0.011 AND ABS(l.value - r.value) <= 0.01)
+    SELECT 'only_left' AS side, l.* FROM l ANTI JOIN lm USING (event_type, value)
+    UNION ALL SELECT 'only_right', r.* FROM r ANTI JOIN rm USING (event_type, value)
+    """
+)
+def reconcile_events_within(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event values that no value of the type in the replica is within 0.01 of."""
+    events = table(spark, sf_dir, "events")
+    shift = (
+        F.when(F.col("event_id") % 4 == 0, F.lit(0.004)).when(F.col("event_id") % 4 == 1, F.lit(-0.003))
+        .when(F.col("event_id") % 4 == 2, F.lit(0.25)).otherwise(F.lit(0.0))
+    )
+    replica = events.filter("event_id % 11 <> 3").select("event_type", (F.col("value") + shift).alias("value"))
+    return mc.reconcile_within(events.select("event_type", "value"), replica, "value", 0.01)
+
+
+HARD_CONTRACT = contract(
+    ("o_orderkey", "order_id", "bigint", "false"),
+    ("o_totalprice", "price", "decimal(7,1)", "false"),
+    ("o_orderdate", "ordered_on", "date", "true"),
+    ("o_orderpriority", "priority_code", "int", "true"),
+    ("o_orderstatus", "status", "string", "false"),
+)
+# Sources of the load: prices of whole tens fit, a priority code is there where the key is even.
+HARD_ORDERS_SQL = """
+    SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN FLOOR(o_totalprice) ELSE o_totalprice * 10 END AS o_totalprice, o_orderdate,
+           CASE WHEN o_orderkey % 5 = 0 THEN o_orderpriority ELSE LEFT(o_orderpriority, 1) END AS o_orderpriority,
+           CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderstatus END AS o_orderstatus FROM orders
+"""
+HARD_REASONS_SQL = f"""
+    SELECT o_orderkey AS order_id, CONCAT_WS(' ',
+             CASE WHEN o_totalprice >= 999999.95 THEN 'lost:price' END,
+             CASE WHEN o_totalprice < 999999.95 AND CAST(CAST(o_totalprice AS DECIMAL(18,1)) AS DOUBLE) <> o_totalprice THEN 'altered:price' END,
+             CASE WHEN o_totalprice >= 999999.95 THEN 'null:price' END,
+             CASE WHEN CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) <> o_orderdate THEN 'altered:ordered_on' END,
+             CASE WHEN TRY_CAST(o_orderpriority AS INT) IS NULL THEN 'lost:priority_code' END,
+             CASE WHEN o_orderstatus IS NULL THEN 'null:status' END) AS reasons
+    FROM ({HARD_ORDERS_SQL})
+"""
+
+
+def _hard_load(spark: SparkSession, sf_dir: str) -> mc.RoutedLoad:
+    key = F.col("o_orderkey")
+    source = table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        F.when(key % 3 == 0, F.floor("o_totalprice").cast("double")).otherwise(F.col("o_totalprice") * 10).alias("o_totalprice"),
+        "o_orderdate",
+        F.when(key % 5 == 0, F.col("o_orderpriority")).otherwise(F.left("o_orderpriority", F.lit(1))).alias("o_orderpriority"),
+        F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus")).alias("o_orderstatus"),
+    )
+    return mc.load_with_rejects(source, HARD_CONTRACT, scratch_path(spark, "routed"), exact=True)
+
+
+@query(
+    f"""
+    WITH told AS ({HARD_REASONS_SQL})
+    SELECT order_id, CASE WHEN reasons = '' THEN 'accepted' ELSE 'rejected' END AS route, reasons FROM told
+    """
+)
+def load_routes_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order of the load, read from where it went, with its reasons."""
+    done = _hard_load(spark, sf_dir)
+    accepted = done.accepted.select("order_id", F.lit("accepted").alias("route"), F.lit("").alias("reasons"))
+    rejected = done.rejected.select("order_id", F.lit("rejected").alias("route"), F.concat_ws(" ", "reasons").alias("reasons"))
+    return accepted.unionAll(rejected)
+
+
+@query(
+    f"""
+    WITH told AS ({HARD_REASONS_SQL})
+    SELECT reason, COUNT(*) AS n_rows FROM (SELECT UNNEST(STRING_SPLIT(reasons, ' ')) AS reason FROM told WHERE reasons <> '')
+    GROUP BY reason
+    """
+)
+def load_reasons_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _hard_load(spark, sf_dir).reasons()
+
+
+SCALED_EVENTS_SQL = """
+    SELECT CASE CAST(event_id % 4 AS INT) WHEN 0 THEN CAST(value AS DECIMAL(30,6)) WHEN 1 THEN CAST(value AS DECIMAL(30,6)) * 10
+           WHEN 2 THEN CAST(value AS DECIMAL(30,6)) * 1000 ELSE CAST(CAST(value AS DECIMAL(30,2)) AS DECIMAL(30,6)) END AS x FROM events
+"""
+
+
+def digit_table_sql(column_name: str, x: str, source: str) -> str:
+    t = f"RTRIM(RTRIM(CAST(ABS(CAST({x} AS DECIMAL(30,6))) AS VARCHAR), '0'), '.')"
+    whole, fraction = f"SPLIT_PART({t}, '.', 1)", f"SPLIT_PART({t}, '.', 2)"
+    # A whole number that ends in zeros must keep them, so digits before the point are counted by value.
+    return (
+        f"SELECT '{column_name}' AS column_name, CASE WHEN ABS({x}) < 1 THEN 0 ELSE "
+        f"LENGTH(CAST(CAST(FLOOR(ABS({x})) AS BIGINT) AS VARCHAR)) END AS integer_digits, LENGTH({fraction}) AS scale, "
+        f"COUNT(*) AS n_values FROM {source} WHERE {x} IS NOT NULL GROUP BY ALL"
+    )
+
+
+LINEITEM_NUMBERS = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax")
+LINEITEM_DIGITS_SQL = " UNION ALL ".join(digit_table_sql(x, x, "lineitem") for x in LINEITEM_NUMBERS)
+
+
+@query(LINEITEM_DIGITS_SQL)
+def digit_table_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mc.digit_table(table(spark, sf_dir, "lineitem"))
+
+
+def scaled_events(events: DataFrame) -> DataFrame:
+    """Values times powers of ten, by id."""
+    value = F.col("value").cast("decimal(30,6)")
+    turn = F.col("event_id") % 4
+    scaled = F.when(turn == 0, value).when(turn == 1, value * 10).when(turn == 2, value * 1000).otherwise(F.round(value, 2))
+    return events.select(scaled.cast("decimal(38,6)").alias("x"))
+
+
+def smallest_decimals_sql(digits: str, lost: str, rounded: str) -> str:
+    """Every type with the digits that occur, counted by brute force."""
+    return f"""
+    WITH d AS ({digits}), total AS (SELECT column_name, SUM(n_values) AS n FROM d GROUP BY ALL),
+    i AS (SELECT DISTINCT column_name, integer_digits AS i FROM d UNION SELECT column_name, 0 FROM total),
+    s AS (SELECT DISTINCT column_name, scale AS s FROM d UNION SELECT column_name, 0 FROM total),
+    types AS (
+      SELECT column_name, GREATEST(i + s, 1) AS p, s,
+             COALESCE(SUM(n_values) FILTER (integer_digits > i), 0) AS n_lost,
+             COALESCE(SUM(n_values) FILTER (integer_digits <= i AND scale > s), 0) AS n_rounded
+      FROM i JOIN s USING (column_name) JOIN d USING (column_name) GROUP BY column_name, i, s)
+    SELECT column_name, CAST(p AS INT) AS precision, CAST(s AS INT) AS scale, CAST(n AS BIGINT) AS n_values,
+           CAST(n_lost AS BIGINT) AS n_lost, CAST(n_rounded AS BIGINT) AS n_rounded
+    FROM types JOIN total USING (column_name) WHERE n_lost <= {lost} AND n_rounded <= {rounded}
+    QUALIFY ROW_NUMBER() OVER (PARTITION BY column_name ORDER BY p, n_lost, n_rounded, s DESC) = 1
+    """
+
+
+@query(smallest_decimals_sql(LINEITEM_DIGITS_SQL, "25", "100"))
+def smallest_decimals_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The least types that lose 25 values and round 100 of a column at most."""
+    return mc.smallest_decimals(mc.digit_table(table(spark, sf_dir, "lineitem")), max_lost=25, max_rounded=100)
+
+
+@query(smallest_decimals_sql(digit_table_sql("x", "x", f"({SCALED_EVENTS_SQL})"), "50", "2000"))
+def smallest_decimals_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values scaled by powers of ten: few large and few long ones must not decide."""
+    return mc.smallest_decimals(mc.digit_table(scaled_events(table(spark, sf_dir, "events"))), max_lost=50, max_rounded=2000)

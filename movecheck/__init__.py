@@ -4,6 +4,7 @@ from movecheck.operators.audit import failure_message, failure_summary
 from movecheck.operators.conform import cast_loss, conform, contract_losses, null_violations
 from movecheck.operators.decimals import cast_elements, decimal_overflow, fit_decimals
 from movecheck.operators.digest_tree import TreeReconciliation, reconcile_tree
+from movecheck.operators.digit_table import digit_table, smallest_decimals
 from movecheck.operators.drift import align_to, drift_report, schema_drift, union_aligned
 from movecheck.operators.missing import copy_missing, missing_rows
 from movecheck.operators.months import (
@@ -12,6 +13,7 @@ from movecheck.operators.months import (
     month_keys,
     months_between,
 )
+from movecheck.operators.nearness import reconcile_within
 from movecheck.operators.profile import numeric_profile, profile_columns, text_digit_profile
 from movecheck.operators.profile_store import (
     merged_profile,
@@ -26,6 +28,8 @@ from movecheck.operators.reconcile import (
     reconcile,
     reconcile_by_key,
 )
+from movecheck.operators.rejects import RoutedLoad, load_with_rejects, reject_reasons, route_rows
+from movecheck.operators.renames import apply_renames, column_sketches, renamed_columns
 from movecheck.plans.migrate import (
     ContractViolation,
     Migration,
@@ -46,16 +50,20 @@ __all__ = [
     "KeyReconciliation",
     "Migration",
     "Reconciliation",
+    "RoutedLoad",
     "TreeReconciliation",
     "align_partitions",
     "align_to",
+    "apply_renames",
     "cast_elements",
     "cast_loss",
+    "column_sketches",
     "compare_with_table",
     "conform",
     "contract_losses",
     "copy_missing",
     "decimal_overflow",
+    "digit_table",
     "drift_report",
     "failure_message",
     "failure_summary",
@@ -63,6 +71,7 @@ __all__ = [
     "footer_profile",
     "infer_contract",
     "load_contract",
+    "load_with_rejects",
     "merged_profile",
     "merged_quantiles",
     "migrate",
@@ -82,9 +91,14 @@ __all__ = [
     "reconcile",
     "reconcile_by_key",
     "reconcile_tree",
+    "reconcile_within",
     "refresh_profile_store",
+    "reject_reasons",
+    "renamed_columns",
+    "route_rows",
     "scan_months",
     "schema_drift",
+    "smallest_decimals",
     "text_digit_profile",
     "type_states",
     "union_aligned",

@@ -41,6 +41,11 @@ def plain_text(value: Column, dtype: T.DataType) -> Column:
     )
 
 
+def own_digits(value: Column, dtype: T.DataType) -> Column:
+    """A float as the double of its shortest digits: 0.1 of 32 bits is 0.1 of 64."""
+    return value.cast("string").cast("double") if isinstance(dtype, T.FloatType) else value.cast("double")
+
+
 def without_end_zeros(text: Column) -> Column:
     """A plain text without zeros at the end of its fraction."""
     bare = F.rtrim(F.rtrim(text, F.lit("0")), F.lit("."))

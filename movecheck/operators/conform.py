@@ -14,15 +14,8 @@ from movecheck.operators.tidy import Measure, tidy_counts
 from movecheck.sources.contract import Contract, as_contract
 
 
-def conform(df: DataFrame, contract: Contract | DataFrame, rename: bool = True) -> DataFrame:
-    """Project a frame onto a contract, by name.
-
-    Columns the frame lacks, or the contract marks as absent, become typed
-    nulls; others are cast with null for values that do not fit (count them
-    with :func:`contract_losses`). ``rename`` uses the target names. A column
-    that the contract requires and does not mark as absent has to be there.
-    """
-    contract = as_contract(contract)
+def contract_columns(df: DataFrame, contract: Contract, rename: bool = True) -> list[Column]:
+    """The contract's columns as expressions over a frame; see :func:`conform`."""
     key, known = name_key(df.sparkSession), names_by_key(df)
     absent = [c.source for c in contract.columns if c.required and c.present and key(c.source) not in known]
     if absent:
@@ -35,7 +28,18 @@ def conform(df: DataFrame, contract: Contract | DataFrame, rename: bool = True)
         else:
             value = safe_cast(column(name), df.schema[name].dataType, c.dtype)
         columns.append(value.alias(c.target if rename else c.source))
-    return df.select(*columns)
+    return columns
+
+
+def conform(df: DataFrame, contract: Contract | DataFrame, rename: bool = True) -> DataFrame:
+    """Project a frame onto a contract, by name.
+
+    Columns the frame lacks, or the contract marks as absent, become typed
+    nulls; others are cast with null for values that do not fit (count them
+    with :func:`contract_losses`). ``rename`` uses the target names. A column
+    that the contract requires and does not mark as absent has to be there.
+    """
+    return df.select(*contract_columns(df, as_contract(contract), rename))
 
 
 def contract_losses(

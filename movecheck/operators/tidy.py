@@ -35,6 +35,16 @@ def text(value: str | None) -> Column:
     return F.lit(value).cast("string")
 
 
+def computed(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """The frame with a column that is evaluated once per row.
+
+    A plain projection is merged with those after it, which copies a long
+    expression to every place that reads it, until the JVM no longer compiles
+    the whole. A generator of one element is not merged.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 def tidy_counts(
     df: DataFrame, measures: Sequence[Measure], labels: Sequence[str], counts: Sequence[str]
 ) -> DataFrame:
