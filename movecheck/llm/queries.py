@@ -19,7 +19,7 @@ from movecheck.llm.chat_template import chat_digests
 from movecheck.llm.exact_dedup import exact_duplicates
 from movecheck.llm.gam import classify_quality
 from movecheck.llm.gru_lm import score_documents
-from movecheck.llm.license_scan import scan_licenses
+from movecheck.llm.license_scan import CONTAINED, LICENSES, SHINGLE, scan_licenses
 from movecheck.llm.mixing import mix_sources
 from movecheck.llm.orc_tokens import token_files
 from movecheck.llm.quality_rules import quality_rules
@@ -130,12 +130,104 @@ def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(docs, WEIGHTS, F.col("total") / 2, max_epochs=2, seed=1)
 
 
+def _shared_sql(parents: list[str], name: str, children: str) -> str:
+    """The children's budgets: supplies first where they are short, then by weight."""
+    by = f"PARTITION BY {', '.join(parents)}" if parents else ""
+    order = f"{by} ORDER BY supply / weight, weight, {name} NULLS FIRST ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+    return f"""(
+      SELECT * EXCLUDE (budget), CASE WHEN place >= stop THEN
+               CAST((rest * upto) // open_weight - (rest * (upto - weight)) // open_weight AS BIGINT) ELSE supply END AS budget
+      FROM (
+        SELECT *, MAX(CASE WHEN place = stop THEN budget - before END) OVER ({by}) AS rest,
+               MAX(CASE WHEN place = stop THEN weight_left END) OVER ({by}) AS open_weight,
+               SUM(CASE WHEN place >= stop THEN weight END) OVER ({order}) AS upto
+        FROM (
+          SELECT *, MIN(place) FILTER (CAST(supply AS HUGEINT) * weight_left > CAST(weight AS HUGEINT) * (budget - before)) OVER ({by}) AS stop
+          FROM (
+            SELECT *, SUM(supply) OVER ({order}) - supply AS before, ROW_NUMBER() OVER ({order}) AS place,
+                   SUM(weight) OVER ({by}) - SUM(weight) OVER ({order}) + weight AS weight_left
+            FROM ({children})))))"""
+
+
+def _weight_sql(level: str) -> str:
+    cases = " ".join(f"WHEN '{name}' THEN {weight}" for name, weight in WEIGHTS.get(level, {}).items())
+    return f"CASE {level} {cases} ELSE 1 END" if cases else "1"
+
+
+def mix_sql(epochs: int, seed: int) -> str:
+    """The mix of half the tokens: the tree level by level, then each leaf's prefix as a running sum."""
+    levels = ("domain", "lang", "source")
+    above, text = "(SELECT CAST(SUM(tokens) // 2 AS BIGINT) AS budget FROM leaves)", ""
+    for i, level in enumerate(levels):
+        keys, same = list(levels[: i + 1]), " AND ".join(f"s.{k} IS NOT DISTINCT FROM u.{k}" for k in levels[:i]) or "TRUE"
+        children = f"""
+          SELECT s.*, u.budget FROM (
+            SELECT {", ".join(keys)}, SUM(tokens) AS tokens, SUM(tokens) * {epochs} AS supply, {_weight_sql(level)} AS weight
+            FROM leaves GROUP BY {", ".join(keys)}) s JOIN {above} u ON {same}"""
+        text += f", level{i} AS {_shared_sql(list(levels[:i]), level, children)}"
+        above = f"level{i}"
+    domains = ", ".join(f"'{name}'" for name in DOMAINS)
+    return rf"""
+    WITH docs AS (
+      SELECT doc_id, [{domains}][1 + COALESCE(TRY_CAST(regexp_extract(source, '(\d+)$', 1) AS BIGINT), 0) % {len(DOMAINS)}] AS domain,
+             lang, source, CAST(len(regexp_extract_all(text, '[^ 	-]+')) AS BIGINT) AS n_tokens FROM documents
+    ), counted AS (SELECT * FROM docs WHERE n_tokens > 0),
+    leaves AS (SELECT domain, lang, source, SUM(n_tokens) AS tokens FROM counted GROUP BY ALL){text},
+    placed AS (
+      SELECT c.*, CAST(budget // tokens AS BIGINT) AS copies, budget % tokens AS rest,
+             md5('{seed}:' || CAST(CAST(budget // tokens AS BIGINT) AS VARCHAR) || ':' || COALESCE(CAST(doc_id AS VARCHAR), '')) AS mark
+      FROM counted c JOIN level2 l ON c.domain = l.domain AND c.lang IS NOT DISTINCT FROM l.lang AND c.source IS NOT DISTINCT FROM l.source
+    ), taken AS (
+      SELECT *, rest - (SUM(n_tokens) OVER (PARTITION BY domain, lang, source ORDER BY mark, n_tokens
+                        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - n_tokens) AS room FROM placed
+    )
+    SELECT doc_id, domain, lang, source, n_tokens, copies, CAST(GREATEST(0, LEAST(n_tokens, room)) AS BIGINT) AS n_partial
+    FROM taken WHERE copies > 0 OR room > 0
+    """
+
+
+ORACLES["op3_mix_sources"] = mix_sql(epochs=2, seed=1)
+
+
 @query
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licenses found in every document."""
     return scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def license_sql(templates: tuple[tuple[str, str], ...], contained: float) -> str:
+    """Every place where a shingle of a template stands, with the template's share around it."""
+    quote = chr(39)
+    values = ", ".join(
+        f"({i}, {quote}{name}{quote}, {quote}{text.replace(quote, quote * 2)}{quote})" for i, (name, text) in enumerate(templates)
+    )
+
+    def shingles(rows: str) -> str:
+        words = "string_split_regex(lower(trim(coalesce(text, ''), ' .' || chr(10))), '[\\x00-\\x2f\\x3a-\\x40\\x5b-\\x60\\x7b-\\x7f]+')"
+        return f"""
+          SELECT * EXCLUDE (w), array_to_string(w[place + 1 : place + {SHINGLE}], ' ') AS s
+          FROM (SELECT * EXCLUDE (text), {words} AS w, unnest(range(len({words}) - {SHINGLE - 1})) AS place FROM {rows})"""
+
+    return f"""
+    WITH wanted AS ({shingles(f"(SELECT * FROM (VALUES {values}) v(template, license, text))")}),
+    sizes AS (SELECT template, license, COUNT(*) AS size, COUNT(DISTINCT s) AS kinds, CAST(CEIL(COUNT(*) / 4) AS BIGINT) AS slack
+              FROM wanted GROUP BY ALL),
+    found AS ({shingles("(SELECT doc_id, text FROM documents)")}),
+    hits AS (SELECT doc_id, template, f.place, f.place - w.place AS start, f.s FROM found f JOIN wanted w USING (s)),
+    starts AS (SELECT DISTINCT doc_id, template, start FROM hits),
+    shares AS (
+      SELECT b.doc_id, z.license, COUNT(DISTINCT h.s) / z.kinds AS containment
+      FROM starts b JOIN sizes z USING (template)
+      JOIN hits h ON h.doc_id = b.doc_id AND h.template = b.template
+        AND h.place BETWEEN GREATEST(b.start - z.slack, 0) AND b.start + z.size + z.slack - 1
+      GROUP BY b.doc_id, b.template, b.start, z.license, z.kinds)
+    SELECT doc_id, license, MAX(containment) AS containment FROM shares WHERE containment >= {contained} GROUP BY ALL
+    """
+
+
+ORACLES["op4_license_scan"] = license_sql(LICENSES, CONTAINED)
+
+
 @query
 def op8_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base and network likelihood of every document."""
