@@ -9,8 +9,11 @@ tenth-best distance; a candidate whose distance is larger beyond the error that
 t of d sampled coordinates allow is abandoned. Survivors get their exact
 distance, in double precision, from the original vectors.
 
-The first bound of a query is its tenth-best distance to the sample, whose
-members are candidates like all others. Lists are stored as rows of about
+The bound of a query is its tenth-best distance to those members of the sample
+that its probed lists hold, so the scan finds ten at least. The sample gives
+bounds only: every result comes from the scan, whatever the size of the table.
+Where the probed lists hold fewer than ten of the sample, a query probes further
+ones until they do or all are probed. Lists are stored as rows of about
 ``BLOCK`` vectors, queries likewise, and Spark joins the two by list; a list
 with a third of all vectors is just more rows.
 """
@@ -33,7 +36,8 @@ BLOCK = 2048
 QUERY_BLOCK = 256
 COLUMNS = 16
 MAX_LISTS = 256
-PROBED = 0.7
+# Lists that a query probes: this share, and at least so many.
+PROBED, LEAST_PROBED = 0.7, 24
 # Width of the test, in standard errors of a partial distance.
 EPSILON = 2.1
 NEAREST = 10
@@ -47,13 +51,30 @@ class Index:
     centres: np.ndarray
     sample_ids: np.ndarray
     sample: np.ndarray
+    sample_lists: np.ndarray
     probed: int
 
-    def lists_of(self, vectors: np.ndarray, count: int) -> np.ndarray:
-        far = -2 * vectors @ self.centres.T + np.square(self.centres).sum(1)
-        if count == 1:
-            return far.argmin(1)[:, None]
-        return np.argpartition(far, count - 1, axis=1)[:, :count]
+    def order_of(self, vectors: np.ndarray) -> np.ndarray:
+        """All lists, nearest first, for every vector."""
+        return (-2 * vectors @ self.centres.T + np.square(self.centres).sum(1)).argsort(axis=1, kind="stable")
+
+    def own_lists(self, vectors: np.ndarray) -> np.ndarray:
+        """The list of every vector."""
+        return (-2 * vectors @ self.centres.T + np.square(self.centres).sum(1)).argmin(1)
+
+    def probes(self, query: int, vector: np.ndarray, order: np.ndarray, nearest: int) -> tuple[np.ndarray, float]:
+        """The lists that a query probes, and its tenth-best distance to the sample in them."""
+        far = np.sqrt(np.square(self.sample - vector).sum(1))
+        count = self.probed
+        while True:
+            there = np.flatnonzero(np.isin(self.sample_lists, order[:count]) & (self.sample_ids != query))
+            best = there[np.argsort(far[there], kind="stable")]
+            _, once = np.unique(self.sample_ids[best], return_index=True)
+            if len(once) >= nearest:
+                return order[:count], float(far[best[np.sort(once)[nearest - 1]]])
+            if count >= len(order):
+                return order, float("inf")
+            count += 1
 
 
 def usable(vectors: DataFrame, id_column: str, column: str) -> DataFrame:
@@ -94,7 +115,9 @@ def fit_index(rows: DataFrame, n: int, sample: int = SAMPLE, probed: float = PRO
     d = vectors.shape[1]
     rotation, _ = np.linalg.qr(np.random.default_rng(11).standard_normal((d, d)))
     k = max(1, min(MAX_LISTS, len(vectors), round(math.sqrt(n) / 2)))
-    return Index(rotation, k_means(vectors, k), chosen["id"].to_numpy(), vectors, math.ceil(k * probed))
+    index = Index(rotation, k_means(vectors, k), chosen["id"].to_numpy(), vectors, np.zeros(0), min(k, max(math.ceil(k * probed), LEAST_PROBED)))
+    index.sample_lists = index.own_lists(vectors)
+    return index
 
 
 def scan(index: Index, queries: dict, ids: np.ndarray, vectors: np.ndarray, nearest: int) -> Iterator[tuple]:
@@ -162,7 +185,7 @@ def nearest_neighbours(
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = index.lists_of(_matrix(batch.column(1)), 1)[:, 0]
+            lists = index.own_lists(_matrix(batch.column(1)))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(lists, pa.int32())], ["id", "v", "list"]
             )
@@ -170,21 +193,14 @@ def nearest_neighbours(
     def prepare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             own = _matrix(batch.column(1))
-            bounds, first = [], []
-            for query, vector in zip(batch.column(0).to_pylist(), own):
-                far = np.sqrt(np.square(index.sample - vector).sum(1))
-                others = np.flatnonzero(index.sample_ids != query)
-                best = others[np.lexsort((index.sample_ids[others], far[others]))]
-                _, once = np.unique(index.sample_ids[best], return_index=True)
-                best = best[np.sort(once)][:nearest]
-                bounds.append(float(far[best[-1]]) if len(best) == nearest else float("inf"))
-                first.append([{"vec_id": int(index.sample_ids[i]), "score": float(far[i])} for i in best])
-            lists = index.lists_of(own, index.probed)
-            kind = pa.list_(pa.struct([("vec_id", pa.int64()), ("score", pa.float64())]))
+            found = [
+                index.probes(query, vector, order, nearest)
+                for query, vector, order in zip(batch.column(0).to_pylist(), own, index.order_of(own))
+            ]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(bounds, pa.float64()), pa.array(lists.tolist(), pa.list_(pa.int32())),
-                 pa.array(first, kind)],
-                ["id", "v", "bound", "lists", "first"],
+                [*batch.columns, pa.array([bound for _, bound in found], pa.float64()),
+                 pa.array([lists.tolist() for lists, _ in found], pa.list_(pa.int32()))],
+                ["id", "v", "bound", "lists"],
             )
 
     def scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -203,16 +219,14 @@ def nearest_neighbours(
         return cut.groupBy("list", "block").agg(F.collect_list(F.struct(*fields)).alias(name)).drop("block")
 
     queries = rows.filter(F.col("id") % every == 0).groupBy("id").agg(F.min("v").alias("v"))
-    kind = "id long, v array<double>, bound double, lists array<int>, first array<struct<vec_id: long, score: double>>"
+    kind = "id long, v array<double>, bound double, lists array<int>"
     queries = saved(queries.mapInArrow(prepare, kind), "queries")
     probes = queries.select("id", "v", "bound", F.explode("lists").alias("list"))
     listed = saved(rows.mapInArrow(assign, "id long, v array<double>, list int"), "vectors")
     pairs = blocks(listed, "id", BLOCK, ["id", "v"], "members").join(
         blocks(probes, "id", QUERY_BLOCK, ["id", "v", "bound"], "queries"), "list"
     )
-    found = pairs.select("members", "queries").mapInArrow(scanned, FOUND).unionByName(
-        queries.select(F.col("id").alias("query_id"), F.inline("first"))
-    )
+    found = pairs.select("members", "queries").mapInArrow(scanned, FOUND)
     once = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
     return (

@@ -63,6 +63,32 @@ def test_repeated_rows_leave_room_for_others(spark):
     assert hits >= 0.9 * 10 * len(got)
 
 
+@pytest.mark.parametrize("n", [1500, 6000])
+def test_results_come_from_the_scan(spark, n):
+    """Recall of the scan on tables far above the sample, which gives bounds only."""
+    rng = np.random.default_rng(n)
+    x = (rng.standard_normal((12, 24))[rng.integers(0, 12, n)] + 0.7 * rng.standard_normal((n, 24))).astype(np.float32)
+    frame = spark.createDataFrame([(i, [float(v) for v in row]) for i, row in enumerate(x)], "vec_id long, embedding array<float>")
+    got = {}
+    for r in adaptive_scan.nearest_neighbours(frame, sample=400).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    assert sorted(got) == list(range(0, n, 100)) and all(len(found) == 10 for found in got.values())
+    hits = sum(len(got[q] & {i for _, i in brute(np.arange(n), x.astype(float), q, x[q].astype(float))}) for q in got)
+    assert hits >= 0.9 * 10 * len(got)
+
+
+def test_a_bound_needs_ten_of_the_sample():
+    """A query probes on until its lists hold ten of the sample, or all of them."""
+    sample = np.arange(24, dtype=float)[:, None]
+    index = adaptive_scan.Index(np.eye(1), np.array([[0.0], [8.0], [23.0]]), np.arange(24), sample, np.zeros(0), 1)
+    index.sample_lists = index.own_lists(sample)
+    order = index.order_of(sample[:1])[0]
+    lists, bound = index.probes(0, sample[0], order, 10)
+    assert lists.tolist() == [0, 1] and bound == 10.0
+    lists, bound = index.probes(0, sample[0], order, 24)
+    assert lists.tolist() == [0, 1, 2] and bound == float("inf")
+
+
 def test_few_vectors(spark):
     kind = "vec_id long, embedding array<float>"
     few = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 1.0]), (100, [1.0, 0.0])], kind)
