@@ -10,8 +10,10 @@ the document at the end of the prefix is taken in part.
 
 All shares are whole tokens and add up exactly. The order within a leaf is never
 sorted as a whole: tokens are summed per slot of the order (the first digits of
-a hash), the slot that holds the prefix's end is found from these sums, and only
-its rows are ordered. A source with a third of all rows is no special case.
+a hash), and the slot that holds the prefix's end is found from these sums. It is
+cut into finer slots in the same way, twice, and only the rows of the last one,
+a 16-millionth of the leaf, are ordered. No task gets more than 256 sums of a
+leaf at a time. A source with a third of all rows is no special case.
 """
 
 from __future__ import annotations
@@ -25,7 +27,8 @@ from pyspark.sql import functions as F
 from movecheck.sources.sinks import saved
 
 LEVELS = ("domain", "lang", "source")
-SLOT_DIGITS = 3
+# Hash digits by which slots are cut, and how often.
+SLOT_DIGITS, CUTS = 2, 3
 # Fixed value: the six white-space characters.
 SPACES = " \t\n\x0b\x0c\r"
 
@@ -160,16 +163,8 @@ def mix_sources(
     own = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("doc_id", *carried)]
     named = F.concat_ws(":", F.lit(str(seed)), F.col("copies"), *own)
     rows = rows.withColumn("mark", F.md5(named.cast("binary")))
-    rows = rows.withColumn("slot", F.substring("mark", 1, SLOT_DIGITS))
-
-    slots = rows.groupBy(*LEVELS, "slot").agg(F.sum("n_tokens").alias("n"), F.max("rest").alias("rest"))
-    upto = F.sum("n").over(Window.partitionBy(*LEVELS).orderBy("slot"))
-    ends = (
-        slots.withColumn("upto", upto)
-        .filter((F.col("upto") >= F.col("rest")) & (F.col("upto") - F.col("n") < F.col("rest")))
-        .select(*LEVELS, F.col("slot").alias("end_slot"), (F.col("upto") - F.col("n")).alias("before"))
-    )
-    ends = saved(ends, "mixing")
+    ends = _ends(rows)
+    rows = rows.withColumn("slot", F.substring("mark", 1, SLOT_DIGITS * CUTS))
     placed = _with_leaf(rows, ends, "left")
     inside = placed.filter("slot < end_slot").select(*taken, "n_tokens", "copies", F.col("n_tokens").alias("n_partial"))
     outside = placed.filter("copies > 0 and (end_slot is null or slot > end_slot)").select(
@@ -186,6 +181,29 @@ def mix_sources(
     return inside.unionByName(outside).unionByName(edge)
 
 
+def _ends(rows: DataFrame) -> DataFrame:
+    """Per leaf whose prefix is not empty: the slot that holds its end, and the tokens before it."""
+    ends = None
+    for cut in range(1, CUTS + 1):
+        inside = rows.withColumn("slot", F.substring("mark", 1, SLOT_DIGITS * cut))
+        if ends is None:
+            inside = inside.withColumn("before", F.lit(0).cast("long"))
+        else:
+            own = F.substring("mark", 1, SLOT_DIGITS * (cut - 1)) == F.col("end_slot")
+            inside = _with_leaf(inside, ends).filter(own)
+        slots = inside.groupBy(*LEVELS, "slot").agg(
+            F.sum("n_tokens").alias("n"), F.max("rest").alias("rest"), F.max("before").alias("before")
+        )
+        upto = F.col("before") + F.sum("n").over(Window.partitionBy(*LEVELS).orderBy("slot"))
+        ends = (
+            slots.withColumn("upto", upto)
+            .filter((F.col("upto") >= F.col("rest")) & (F.col("upto") - F.col("n") < F.col("rest")))
+            .select(*LEVELS, F.col("slot").alias("end_slot"), (F.col("upto") - F.col("n")).alias("before"))
+        )
+        ends = saved(ends, "mixing")
+    return ends
+
+
 def _with_leaf(rows: DataFrame, leaves: DataFrame, how: str = "inner") -> DataFrame:
     """Columns of each row's leaf; null names match null names."""
     renamed = leaves.select(*[F.col(c).alias(f"leaf_{c}") if c in LEVELS else F.col(c) for c in leaves.columns])
