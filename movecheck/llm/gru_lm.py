@@ -397,7 +397,12 @@ def train(training: DataFrame, vocabulary: Vocabulary, sample: int = SAMPLE) ->
                 train_on(weights, texts, memory, START_RATE)
         yield pa.RecordBatch.from_arrays([pa.array([weights], pa.list_(pa.float32()))], ["weights"])
 
-    bounded = training.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).select("text").coalesce(1)
+    # About twice the sample passes the threshold, so the one task that orders it gets
+    # no more than that, however many tasks read the corpus.
+    mark, whole = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 40)), 1 << 40
+    share = min(1.0, 2 * sample / max(vocabulary.n_docs, 1))
+    few = training.filter(mark < int(share * whole)) if share < 1 else training
+    bounded = few.orderBy(mark, "doc_id", "text").limit(sample).select("text").coalesce(1)
     rows = bounded.mapInArrow(begin, "weights array<float>").collect()
     start = np.array(rows[0]["weights"], np.float32) if rows else first
     begun = spark.sparkContext.broadcast(start)

@@ -307,7 +307,6 @@ def test_language_model(docs, no_docs):
             counts[None] += 1
             training.add(doc_id)
     n, v = sum(counts.values()), len(counts)
-    better = []
     for doc_id, text, *_ in ROWS:
         tokens = [*(text or "").encode().lower().split(), None]
         base = sum(math.log10((counts[t] + 1) / (n + v + 1)) for t in tokens)
@@ -319,6 +318,19 @@ def test_language_model(docs, no_docs):
     assert gru_lm.score_documents(no_docs).count() == 0
 
 
+def test_network_beats_the_base_on_held_out_documents(spark):
+    """Words that follow each other in rings: counts cannot tell, the network can."""
+    rng = random.Random(2)
+    rows = []
+    for i in range(400):
+        ring, at = rng.randrange(3), rng.randrange(8)
+        rows.append((i, " ".join(f"w{ring}{(at + k) % 8}" for k in range(rng.randint(30, 60)))))
+    scored = gru_lm.score_documents(spark.createDataFrame(rows, "doc_id long, text string"), sample=100).collect()
+    held_out = [r for r in scored if r["held_out"]]
+    assert held_out and all(r["n_known"] == r["n_tokens"] for r in held_out)
+    assert sum(r["score"] for r in held_out) > 0.7 * sum(r["base_score"] for r in held_out)
+
+
 def test_state_is_carried_across_windows():
     rng = np.random.default_rng(0)
     weights = (rng.standard_normal(gru_lm.SIZE) * 0.3).astype(np.float32)
