@@ -12,8 +12,12 @@ fine logarithmic bins, and sums counts, values and products per bin; that
 collapses before the shuffle, so a hot group is no burden. The bins up to the
 wanted share, the last one weighted, give the next estimate. Two starts are
 followed, medians with quartile ranges and plain moments, and the smaller
-determinant wins. A floor on each variance keeps the many constant counts (no
-symbols, no repeated line) from making the covariance singular.
+determinant wins. With each statistic in units of its floor, directions whose
+variance is below one are raised to one, as statistics that most rows share (no
+symbols, no repeated line) would make the covariance singular; the others stay as
+estimated. Distances are scaled, up or down, so that their median is that of a
+chi-square with as many degrees of freedom as there are estimated directions, a
+raised one counting for the part that was estimated.
 """
 
 from __future__ import annotations
@@ -32,12 +36,13 @@ from movecheck.sources.sinks import saved
 
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 FEATURES = ("x_length", "x_symbols", "x_lines", "x_repeats", "x_upper", "x_marks")
-# Smallest standard deviation that a statistic is granted, in its own unit.
-FLOORS = (0.08, 0.10, 0.12, 0.12, 0.08, 0.10)
+# Smallest standard deviation that a statistic is granted, in its own unit. Low
+# where rows differ; one repeated line or mark, where most have none, is no outlier.
+FLOORS = (0.02, 0.05, 0.12, 0.12, 0.01, 0.10)
 SHARE = 0.75
 STEPS = 4
 MIN_ROWS = 60
-TAIL = 1e-8
+TAIL = 1e-6
 BINS_PER_OCTAVE = 16
 
 
@@ -115,12 +120,15 @@ def distance(center: str = "center", precision: str = "precision") -> Column:
     return total
 
 
-ESTIMATE = "grp string, start int, n double, center array<double>, precision array<double>, logdet double"
+ESTIMATE = "grp string, start int, n double, center array<double>, precision array<double>, logdet double, freedom double"
+
+ESTIMATE_NAMES = [part.split()[0] for part in ESTIMATE.split(", ")]
 
 
 def _estimates(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Mean, inverse covariance and log determinant from weighted sums."""
     pairs, d = _pairs(), len(FEATURES)
+    unit = np.outer(FLOORS, FLOORS)
     for frame in frames:
         out = []
         for row in frame.itertuples(index=False):
@@ -129,13 +137,16 @@ def _estimates(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             cov = np.zeros((d, d))
             for value, (i, j) in zip(row.products, pairs):
                 cov[i, j] = cov[j, i] = value / weight - mean[i] * mean[j]
-            cov = (cov + cov.T) / 2 + np.diag(np.square(FLOORS))
+            # In units of the floors, no direction may vary by less than one.
+            values, axes = np.linalg.eigh(cov / unit)
+            freedom = float(np.clip(values, 0.0, 1.0).sum())
+            cov = (axes * np.maximum(values, 1.0)) @ axes.T * unit
             inverse = np.linalg.inv(cov)
             out.append(
                 (row.grp, row.start, row.n, mean.tolist(), [inverse[p] for p in pairs],
-                 float(np.linalg.slogdet(cov)[1]))
+                 float(np.linalg.slogdet(cov)[1]), max(freedom, 1.0))
             )
-        yield pd.DataFrame(out, columns=["grp", "start", "n", "center", "precision", "logdet"])
+        yield pd.DataFrame(out, columns=ESTIMATE_NAMES)
 
 
 def _solve(sums: DataFrame) -> DataFrame:
@@ -216,14 +227,18 @@ def _scales(rows: DataFrame, best: DataFrame) -> DataFrame:
     """For each group, its median squared distance over what a normal has."""
     from pyspark.sql import Window
 
-    per_bin = _binned(rows, best).groupBy("grp", "bin").agg(F.count("*").alias("c"), F.max("n").alias("n"))
+    per_bin = _binned(rows, best).groupBy("grp", "bin").agg(
+        F.count("*").alias("c"), F.max("n").alias("n"), F.max("freedom").alias("freedom")
+    )
     upto = F.sum("c").over(Window.partitionBy("grp").orderBy("bin"))
     middle = F.min(F.when(F.col("upto") >= F.col("n") / 2, F.col("bin")))
-    normal = chi_square(0.5, len(FEATURES))
+    # Median of a chi-square, as in :func:`chi_square`.
+    normal = F.col("freedom") * F.pow(1 - 2 / (9 * F.col("freedom")), F.lit(3))
     scale = F.pow(F.lit(2.0), (F.col("middle") + 1) / BINS_PER_OCTAVE) / normal
     return (
-        per_bin.withColumn("upto", upto).groupBy("grp").agg(middle.alias("middle"))
-        .select("grp", F.greatest(scale, F.lit(1.0)).alias("scale"))
+        per_bin.withColumn("upto", upto).groupBy("grp")
+        .agg(middle.alias("middle"), F.max("freedom").alias("freedom"))
+        .select("grp", scale.alias("scale"))
     )
 
 
@@ -234,7 +249,7 @@ def minimum_determinants(vectors: DataFrame, share: float = SHARE, steps: int =
     for _ in range(steps):
         estimates = saved(_concentrate(rows, estimates, share), "mcd")
     best = estimates.groupBy("grp").agg(
-        F.min_by(F.struct("n", "center", "precision"), F.struct("logdet", "start")).alias("e")
+        F.min_by(F.struct("n", "center", "precision", "freedom"), F.struct("logdet", "start")).alias("e")
     ).select("grp", "e.*")
     best = saved(best, "mcd")
     return best.join(_scales(rows, best), "grp")

@@ -77,6 +77,60 @@ def test_outliers_go_and_plain_texts_stay(spark):
     assert not any(got[r[0]][0]["kept"] for r in junk)
 
 
+def floored(cov):
+    """Raised to one floor in every direction, and how much of it was estimated."""
+    size = np.diag(1 / np.array(quality_rules.FLOORS))
+    values, axes = np.linalg.eigh(size @ cov @ size)
+    raised = axes @ np.diag(np.maximum(values, 1)) @ axes.T
+    back = np.diag(quality_rules.FLOORS)
+    return back @ raised @ back, np.clip(values, 0, 1).sum()
+
+
+def plain_distances(x, steps):
+    """Scaled squared distances by concentration steps over sorted rows."""
+    found = []
+    spread = (np.quantile(x, 0.75, 0) - np.quantile(x, 0.25, 0)) / 1.349
+    for mean, cov in ((np.median(x, 0), np.diag(spread**2)), (x.mean(0), np.cov(x.T, bias=True))):
+        for step in range(steps + 1):
+            fixed, free = floored(cov)
+            far = np.einsum("ij,jk,ik->i", x - mean, np.linalg.inv(fixed), x - mean)
+            if step < steps:
+                inner = x[np.argsort(far, kind="stable")[: int(quality_rules.SHARE * len(x))]]
+                mean, cov = inner.mean(0), np.cov(inner.T, bias=True)
+        found.append((np.linalg.slogdet(fixed)[1], far, max(free, 1.0)))
+    _, far, free = min(found, key=lambda f: f[0])
+    return far / np.median(far) * quality_rules.chi_square(0.5, free)
+
+
+def test_verdicts_equal_plain_steps(spark):
+    from movecheck.llm.text import text_counts
+    from tests.llm.conftest import SCHEMA
+
+    rng = np.random.default_rng(4)
+    rows = []
+    for i, row in enumerate(corpus(500)):
+        words = row[1].split()
+        for j in rng.integers(0, len(words), int(rng.integers(0, 9)) * (i % 3 == 0)):
+            words[j] = words[j].upper() + "#" * int(rng.integers(0, 6))
+        rows.append((i, " ".join(words), "en", "one", *row[4:]))
+    counts = [text_counts(r[1]) for r in rows]
+    failed = [c["n_words"] < 50 or 2 * c["n_repeat_words"] > c["n_words"] for c in counts]
+    passing = [i for i, bad in enumerate(failed) if not bad]
+    x = np.array([quality_rules.transformed(counts[i]) for i in passing])
+    far = dict(zip(passing, plain_distances(x, quality_rules.STEPS)))
+    limit = quality_rules.chi_square(quality_rules.TAIL, x.shape[1])
+    got = keyed(quality_rules.quality_rules(spark.createDataFrame(rows, SCHEMA)))
+    verdicts = {True: 0, False: 0}
+    for i in range(len(rows)):
+        if failed[i]:
+            assert not got[i][0]["kept"]
+        # Bins are a sixteenth of an octave wide, so distances agree to a few per cent.
+        elif not 0.85 < far[i] / limit < 1.18:
+            assert got[i][0]["kept"] == (far[i] <= limit), (i, far[i], got[i][0]["distance"])
+            verdicts[got[i][0]["kept"]] += 1
+    assert verdicts[True] > 100 and verdicts[False] > 10
+
+
 def test_concentration_lowers_the_determinant(spark):
     rng = np.random.default_rng(0)
     d = len(quality_rules.FEATURES)
@@ -95,7 +149,7 @@ def test_concentration_lowers_the_determinant(spark):
     for _ in range(30):
         far = np.einsum("ij,jk,ik->i", x - mean, np.linalg.inv(cov), x - mean)
         inner = x[np.argsort(far)[:h]]
-        mean, cov = inner.mean(0), np.cov(inner.T, bias=True) + np.diag(np.square(quality_rules.FLOORS))
+        mean, cov = inner.mean(0), floored(np.cov(inner.T, bias=True))[0]
     assert np.abs(center - mean).max() < 0.05
     assert np.abs(center).max() < 0.2
 
