@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from itertools import combinations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -1472,3 +1473,75 @@ def smallest_decimals_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
 def smallest_decimals_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Values scaled by powers of ten: few large and few long ones must not decide."""
     return mc.smallest_decimals(mc.digit_table(scaled_events(table(spark, sf_dir, "events"))), max_lost=50, max_rounded=2000)
+
+
+KEYLESS = ("l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
+
+
+# Lines of the replica by the last digit of the order: 0 changes one column, 1 two, 2 three, 3 is lost.
+@query(
+    """
+    WITH l AS (SELECT *, CAST(l_orderkey % 10 AS INT) AS turn FROM lineitem WHERE l_orderkey % 10 < 4)
+    SELECT CASE WHEN turn < 2 THEN 'changed' ELSE 'only_left' END AS status,
+           CASE turn WHEN 0 THEN 'l_quantity' WHEN 1 THEN 'l_discount,l_tax' ELSE '' END AS changed,
+           l_partkey AS partkey, l_extendedprice AS price, l_quantity AS left_quantity,
+           CASE turn WHEN 0 THEN l_quantity + 1 WHEN 1 THEN l_quantity END AS right_quantity,
+           l_tax AS left_tax, CASE turn WHEN 0 THEN l_tax WHEN 1 THEN l_tax + 0.25 END AS right_tax
+    FROM l
+    UNION ALL
+    SELECT 'only_right', '', l_partkey, l_extendedprice, NULL, l_quantity + 1, NULL, l_tax + 0.25 FROM l WHERE turn = 2
+    """
+)
+def paired_lineitem_without_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changed lines and their partners, found without a key; the SQL makes each line's other version itself."""
+    lines = table(spark, sf_dir, "lineitem")
+    turn = F.col("l_orderkey") % 10
+    replica = lines.filter(turn != 3).select(
+        *[c for c in KEYLESS if c not in ("l_quantity", "l_discount", "l_tax")],
+        F.when(turn.isin(0, 2), F.col("l_quantity") + 1).otherwise(F.col("l_quantity")).alias("l_quantity"),
+        F.when(turn.isin(1, 2), F.col("l_discount") + 0.5).otherwise(F.col("l_discount")).alias("l_discount"),
+        F.when(turn.isin(1, 2), F.col("l_tax") + 0.25).otherwise(F.col("l_tax")).alias("l_tax"),
+    )
+    found = mc.pair_changed_rows(lines.select(*KEYLESS), replica)
+    return found.select(
+        "status", F.coalesce(F.concat_ws(",", "changed"), F.lit("")).alias("changed"),
+        F.coalesce("left.l_partkey", "right.l_partkey").alias("partkey"),
+        F.coalesce("left.l_extendedprice", "right.l_extendedprice").alias("price"),
+        F.col("left.l_quantity").alias("left_quantity"), F.col("right.l_quantity").alias("right_quantity"),
+        F.col("left.l_tax").alias("left_tax"), F.col("right.l_tax").alias("right_tax"),
+    )
+
+
+def unique_keys_sql(source: str, columns: tuple[str, ...], most: int) -> str:
+    """Distinct values of every set counted, then sets without a smaller key in them."""
+    counted = " UNION ALL ".join(
+        f"SELECT [{', '.join(repr(c) for c in names)}] AS k, (SELECT COUNT(*) FROM (SELECT DISTINCT {', '.join(names)} FROM {source})) AS n"
+        for size in range(1, most + 1) for names in combinations(columns, size)
+    )
+    return f"""
+    WITH counted AS ({counted}), keys AS (SELECT k FROM counted WHERE n = (SELECT COUNT(*) FROM {source}))
+    SELECT ARRAY_TO_STRING(k, ',') AS key, CAST(LEN(k) AS INT) AS n_columns, CAST(0 AS BIGINT) AS n_null_rows FROM keys a
+    WHERE NOT EXISTS (SELECT 1 FROM keys b WHERE LEN(b.k) < LEN(a.k) AND LIST_HAS_ALL(a.k, b.k))
+    """
+
+
+LINEITEM_COLUMNS = (
+    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+    "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
+)
+ORDERS_COLUMNS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
+
+
+def _keys(df: DataFrame, columns: tuple[str, ...], most: int) -> DataFrame:
+    found = mc.unique_keys(df, columns, most)
+    return found.select(F.concat_ws(",", "key").alias("key"), "n_columns", "n_null_rows")
+
+
+@query(unique_keys_sql("lineitem", LINEITEM_COLUMNS, 2))
+def unique_keys_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _keys(table(spark, sf_dir, "lineitem"), LINEITEM_COLUMNS, 2)
+
+
+@query(unique_keys_sql("orders", ORDERS_COLUMNS, 3))
+def unique_keys_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _keys(table(spark, sf_dir, "orders"), ORDERS_COLUMNS, 3)

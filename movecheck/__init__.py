@@ -6,6 +6,7 @@ from movecheck.operators.decimals import cast_elements, decimal_overflow, fit_de
 from movecheck.operators.digest_tree import TreeReconciliation, reconcile_tree
 from movecheck.operators.digit_table import digit_table, smallest_decimals
 from movecheck.operators.drift import align_to, drift_report, schema_drift, union_aligned
+from movecheck.operators.keys import unique_keys
 from movecheck.operators.missing import copy_missing, missing_rows
 from movecheck.operators.months import (
     missing_months,
@@ -14,6 +15,7 @@ from movecheck.operators.months import (
     months_between,
 )
 from movecheck.operators.nearness import reconcile_within
+from movecheck.operators.pairing import pair_changed_rows
 from movecheck.operators.profile import numeric_profile, profile_columns, text_digit_profile
 from movecheck.operators.profile_store import (
     merged_profile,
@@ -82,6 +84,7 @@ __all__ = [
     "months_between",
     "null_violations",
     "numeric_profile",
+    "pair_changed_rows",
     "profile_columns",
     "profile_states",
     "pushed_aggregates",
@@ -102,5 +105,6 @@ __all__ = [
     "text_digit_profile",
     "type_states",
     "union_aligned",
+    "unique_keys",
     "write_table",
 ]
