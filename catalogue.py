@@ -1545,3 +1545,31 @@ def unique_keys_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(unique_keys_sql("orders", ORDERS_COLUMNS, 3))
 def unique_keys_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _keys(table(spark, sf_dir, "orders"), ORDERS_COLUMNS, 3)
+
+
+@query(
+    """
+    WITH new AS (SELECT o_orderkey, o_custkey, o_totalprice + 1 AS o_totalprice, o_orderpriority FROM orders
+                 WHERE o_orderpriority <> '1-URGENT' AND o_orderkey % 9 <> 4),
+    kept AS (SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority FROM orders)
+    SELECT 'halfway' AS seen, * FROM kept
+    UNION ALL SELECT 'complete', * FROM new
+    UNION ALL SELECT 'complete', * FROM kept WHERE o_orderpriority NOT IN (SELECT o_orderpriority FROM new)
+    UNION ALL SELECT 'version 1', * FROM kept
+    """
+)
+def published_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What readers see while a second load is halfway, when it is complete, and of the first version."""
+    names = ["o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority"]
+    orders = table(spark, sf_dir, "orders").select(*names)
+    changed = orders.filter("o_orderpriority <> '1-URGENT' and o_orderkey % 9 <> 4")
+    changed = changed.withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    target = scratch_path(spark, "published")
+    mc.publish(orders, target, "o_orderpriority", "first", per_batch=2)
+    mc.publish(changed, target, "o_orderpriority", "second", per_batch=1, max_batches=2)
+    halfway = mc.read_published(spark, target, orders.schema)
+    mc.publish(changed, target, "o_orderpriority", "second", per_batch=1)
+    views = {"halfway": halfway, "complete": mc.read_published(spark, target, orders.schema)}
+    views["version 1"] = mc.read_published(spark, target, orders.schema, version=1)
+    labelled = [rows.select(F.lit(label).alias("seen"), *names) for label, rows in views.items()]
+    return labelled[0].unionAll(labelled[1]).unionAll(labelled[2])

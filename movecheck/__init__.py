@@ -42,6 +42,7 @@ from movecheck.plans.migrate import (
 from movecheck.sources.contract import Contract, ContractColumn, load_contract, read_contract
 from movecheck.sources.footers import footer_profile, pushed_aggregates
 from movecheck.sources.inference import infer_contract, type_states
+from movecheck.sources.publish import SourceChanged, publish, published_versions, read_published
 from movecheck.sources.sinks import write_table
 from movecheck.sources.tables import read_table, scan_months
 
@@ -53,6 +54,7 @@ __all__ = [
     "Migration",
     "Reconciliation",
     "RoutedLoad",
+    "SourceChanged",
     "TreeReconciliation",
     "align_partitions",
     "align_to",
@@ -87,9 +89,12 @@ __all__ = [
     "pair_changed_rows",
     "profile_columns",
     "profile_states",
+    "publish",
+    "published_versions",
     "pushed_aggregates",
     "read_contract",
     "read_profile_store",
+    "read_published",
     "read_table",
     "reconcile",
     "reconcile_by_key",
