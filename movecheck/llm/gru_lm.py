@@ -298,9 +298,12 @@ def run_sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
-    """(the words of all texts in lower case, offsets of the texts)."""
-    lists = pa.compute.ascii_split_whitespace(pa.compute.ascii_lower(texts.fill_null("").cast(pa.large_string())))
-    words = lists.flatten()
+    """(the words of all texts in lower case, offsets of the texts).
+
+    Split first: pyarrow's ascii_lower misreads a slice that was cast to large strings.
+    """
+    lists = pa.compute.ascii_split_whitespace(texts.fill_null("").cast(pa.large_string()))
+    words = pa.compute.ascii_lower(lists.flatten())
     filled = pa.compute.greater(pa.compute.binary_length(words), 0)
     offsets = np.concatenate([[0], np.cumsum(filled.to_numpy(zero_copy_only=False))])
     lengths = pa.compute.list_value_length(lists).to_numpy(zero_copy_only=False)
