@@ -13,58 +13,111 @@ than column sets; in practice there are two or three.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from itertools import combinations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from movecheck.functions.names import column
 from movecheck.operators.reconcile import CHANGED, ONLY_LEFT, ONLY_RIGHT, SIDE, reconcile
 from movecheck.sources.sinks import saved
 
 MAX_CHANGED = 2
-# Hexadecimal digits of a row's order mark that cut a block into slots.
-SLOT_DIGITS = 3
+# First bits of a row's order mark that cut a block into slots.
+SLOT_BITS = 12
+# Types of which hashes do not see all.
+NESTED = (T.ArrayType, T.MapType, T.StructType)
+
+
+def _parts(value: Column, dtype: T.DataType) -> list[Column]:
+    """What tells a column's values apart, for hashes: these pass over nulls, also nested ones."""
+    if isinstance(dtype, NESTED):
+        value = F.to_json(F.struct(value.alias("v")))
+    return [value, value.isNull()]
 
 
 def _difference(left: DataFrame, right: DataFrame, cols: Sequence[str] | None, tolerance_scale: int | None):
-    """The rows in excess on either side, with ids and a digest per column."""
+    """The rows in excess on either side, with ids."""
     found = reconcile(left, right, cols, multiset=True, tolerance_scale=tolerance_scale)
     names = list(found.columns)
-    digests = [F.md5(F.to_json(F.struct(column(n).alias("v")))) for n in names]
     rows = found.expanded().select(
         F.monotonically_increasing_id().alias("id"),
         (F.col(SIDE) == ONLY_LEFT).alias("on_left"),
         F.struct(*[column(n) for n in names]).alias("row"),
-        F.array(*digests).alias("digests"),
     )
-    return saved(rows.withColumn("mark", F.md5(F.concat_ws("", "digests"))), "pairing"), names
+    return saved(rows, "pairing"), names
+
+
+def _hashed(rows: DataFrame) -> DataFrame:
+    """Two 64-bit hashes of each column in place of the row, and a mark by which rows are ordered."""
+    parts = [_parts(F.col("row").getField(f.name), f.dataType) for f in rows.schema["row"].dataType]
+    hashes = (F.array(*[F.xxhash64(F.lit(salt), *p) for p in parts]).alias(name) for salt, name in enumerate("ab"))
+    return rows.select(*[c for c in rows.columns if c != "row"], *hashes).withColumn("mark", F.xxhash64("a", "b"))
+
+
+def _hash(name: str, no: int, places: Sequence[int]) -> Column:
+    return F.xxhash64(F.lit(no), *[F.element_at(name, i + 1) for i in places])
+
 
+def _two_sided(rows: DataFrame, key: str) -> DataFrame:
+    """The rows of those blocks that have rows of both sides."""
+    both = rows.groupBy(key).agg(F.min("on_left").alias("least"), F.max("on_left").alias("most"))
+    return rows.join(both.filter("least != most").select(key), key, "left_semi")
 
-def _blocks(free: DataFrame, kept: list[list[int]]) -> DataFrame:
-    """One row per free row and column set: the set's number and the block."""
+
+def _segments(hashed: DataFrame, n_columns: int, n: int) -> list[list[int]]:
+    """The columns dealt to segments by their numbers of values, the most telling segment first.
+
+    The numbers are estimates; they decide about the work, not about the result.
+    """
+    found = hashed.agg(*[F.approx_count_distinct(F.element_at("a", i + 1), 0.1).alias(f"c{i}") for i in range(n_columns)]).first()
+    order = sorted(range(n_columns), key=lambda i: -found[f"c{i}"])
+    segments: list[list[int]] = [[] for _ in range(n)]
+    for at, i in enumerate(order):
+        turn, place = divmod(at, n)
+        segments[n - 1 - place if turn % 2 else place].append(i)
+    return sorted(segments, key=lambda s: -math.prod(max(found[f"c{i}"], 1) for i in s))
+
+
+def _blocks(free: DataFrame, n_columns: int, level: int) -> DataFrame:
+    """Rows of two-sided blocks: one row per free row and column set, with the set's number.
+
+    Of ``level + 1`` segments of the columns, ``level`` columns leave out one at
+    least. So a column set holds a whole segment, and a row stands in a two-sided
+    block of the set only if it does so in the segment's. Rows are looked up in
+    the few segments first, and only what is left of them in the many sets.
+    """
+    kept = [[i for i in range(n_columns) if i not in out] for out in combinations(range(n_columns), level)]
+    segments = _segments(_hashed(free), n_columns, level + 1)
+    segment_of = [next(j for j, s in enumerate(segments) if set(s) <= set(places)) for places in kept]
+    coarse = F.array(*[F.struct(F.lit(j).alias("j"), _hash("a", j, s).alias("h")) for j, s in enumerate(segments)])
+    looked_up = _hashed(free).select("id", "on_left", F.inline(coarse))
+    alive = _two_sided(looked_up, "h").groupBy("id").agg(F.collect_set("j").alias("alive"))
     sets = F.array(*[
-        F.struct(F.lit(no).alias("no"), F.array(*[F.lit(i) for i in places]).cast("array<int>").alias("places"))
+        F.when(F.array_contains("alive", segment_of[no]), F.struct(
+            F.lit(no).alias("no"), _hash("a", no, places).alias("block"), _hash("b", no, places).alias("other"),
+        ))
         for no, places in enumerate(kept)
     ])
-    digests = F.concat_ws("", F.transform("s.places", lambda i: F.element_at("digests", i + 1)))
-    return free.select("id", "on_left", "mark", "digests", F.explode(sets).alias("s")).select(
-        "id", "on_left", "mark", F.col("s.no").alias("no"), F.md5(digests).alias("block"),
-        F.substring("mark", 1, SLOT_DIGITS).alias("slot"),
-    )
+    # The hashes are made after the join: the rows themselves are smaller.
+    rows = _hashed(free.join(alive, "id"))
+    rows = rows.select("id", "on_left", "mark", F.explode(F.array_compact(sets)).alias("s"))
+    return _two_sided(rows.select("id", "on_left", "mark", "s.*"), "block")
 
 
-def _proposals(free: DataFrame, kept: list[list[int]]) -> DataFrame:
+def _proposals(blocks: DataFrame) -> DataFrame:
     """(no, left, right) for the i-th rows of both sides of every block.
 
     Places in a block are counted per slot first and then within a slot, so a
     block with most of the rows is no one task's work.
     """
-    rows = _blocks(free, kept)
-    own = ["no", "block", "on_left"]
+    rows = blocks.withColumn("slot", F.shiftright("mark", 64 - SLOT_BITS))
+    own = ["no", "block", "other", "on_left"]
     slots = rows.groupBy(*own, "slot").agg(F.count("*").alias("n"))
-    block = Window.partitionBy("no", "block")
+    block = Window.partitionBy("no", "block", "other")
     before = Window.partitionBy(*own).orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
     slots = (
         slots.withColumn("offset", F.coalesce(F.sum("n").over(before), F.lit(0)))
@@ -74,10 +127,10 @@ def _proposals(free: DataFrame, kept: list[list[int]]) -> DataFrame:
     inner = Window.partitionBy(*own, "slot").orderBy("mark", "id")
     ranked = rows.join(slots, [*own, "slot"]).withColumn("place", F.col("offset") + F.row_number().over(inner))
     lefts, rights = (
-        ranked.filter(F.col("on_left") == side).select("no", "block", "place", F.col("id").alias(name))
+        ranked.filter(F.col("on_left") == side).select("no", "block", "other", "place", F.col("id").alias(name))
         for side, name in ((True, "left"), (False, "right"))
     )
-    return lefts.join(rights, ["no", "block", "place"]).select("no", "left", "right")
+    return lefts.join(rights, ["no", "block", "other", "place"]).select("no", "left", "right")
 
 
 def _agreed(proposals: DataFrame) -> DataFrame:
@@ -107,25 +160,30 @@ def pair_changed_rows(
     of the changed columns, null for rows without a partner), left and right
     (structs of the compared columns, null for the side that lacks the row).
 
-    Work grows with the difference times the number of column sets,
+    Work grows with the difference, and for rows that agree in a whole segment of the
+    columns with rows of the other side with the number of column sets as well,
     ``C(columns, max_changed)`` at the last level.
     """
     rows, names = _difference(left, right, cols, tolerance_scale)
     if not 0 < max_changed < max(len(names), 2):
         raise ValueError("max_changed must be at least 1 and less than the number of columns")
-    free = rows.select("id", "on_left", "mark", "digests")
+    free = rows
     pairs: DataFrame | None = None
     for level in range(1, max_changed + 1 if len(names) > 1 else 1):
-        kept = [[i for i in range(len(names)) if i not in out] for out in combinations(range(len(names)), level)]
+        blocks, taken = saved(_blocks(free, len(names), level), "blocks"), None
         while True:
-            proposals = saved(_proposals(free, kept), "proposals")
+            proposals = saved(_proposals(blocks), "proposals")
             if proposals.isEmpty():
                 break
             agreed = saved(_agreed(proposals), "pairs")
             pairs = agreed if pairs is None else pairs.unionAll(agreed)
-            taken = agreed.select(F.explode(F.array("left", "right")).alias("id"))
+            ids = agreed.select(F.explode(F.array("left", "right")).alias("id"))
+            taken = ids if taken is None else taken.unionAll(ids)
+            # Free rows only become fewer, so no other block ever gets both sides.
+            blocks = saved(_two_sided(blocks.join(ids, "id", "left_anti"), "block"), "blocks")
+        if taken is not None:
             free = saved(free.join(taken, "id", "left_anti"), "free")
-    alone = rows.join(free.select("id"), "id").select(
+    alone = free.select(
         F.when(F.col("on_left"), ONLY_LEFT).otherwise(ONLY_RIGHT).alias("status"),
         F.lit(None).cast("array<string>").alias("changed"),
         F.when(F.col("on_left"), F.col("row")).alias("left"),
@@ -133,20 +191,13 @@ def pair_changed_rows(
     )
     if pairs is None:
         return alone
-    sides = [
-        rows.select(F.col("id").alias(side), F.col("row").alias(f"{side}_row"), F.col("digests").alias(f"{side}_digests"))
-        for side in ("left", "right")
-    ]
-    differs = F.filter(
-        F.transform(
-            F.array(*[F.lit(i) for i in range(len(names))]),
-            lambda i: F.when(
-                F.element_at("left_digests", i + 1) != F.element_at("right_digests", i + 1),
-                F.element_at(F.array(*[F.lit(n) for n in names]), i + 1),
-            ),
-        ),
-        lambda name: name.isNotNull(),
-    )
+    sides = [rows.select(F.col("id").alias(side), F.col("row").alias(f"{side}_row")) for side in ("left", "right")]
+    changes = []
+    for f in rows.schema["row"].dataType:
+        # A value by itself, or as the hashes see it.
+        own, other = (_parts(F.col(f"{side}_row").getField(f.name), f.dataType)[0] for side in ("left", "right"))
+        changes.append(F.when(~own.eqNullSafe(other), F.lit(f.name)))
+    differs = F.array_compact(F.array(*changes))
     changed = pairs.join(sides[0], "left").join(sides[1], "right").select(
         F.lit(CHANGED).alias("status"), differs.alias("changed"),
         F.col("left_row").alias("left"), F.col("right_row").alias("right"),
