@@ -1,11 +1,11 @@
 """Key discovery: the smallest column sets that tell all rows apart.
 
 Sets are tried level by level, and supersets of a found key are left out. A
-level is pruned in one pass: of every set, the values whose hash falls into one
-slice of the hash range are counted, and a value seen twice rules the set out.
-That is a witness, not an estimate, so no key is ever lost; sets without a
-witness are then checked on all rows. These are keys, sets with very few repeats,
-and sets of so few values that none is in the slice, which collapse in the map tasks.
+level is pruned by witnesses, first among some tens of thousands of rows, where
+most sets repeat a value already. Of the sets left, the values of all rows whose
+hash falls into one slice of the hash range are counted. A value seen twice rules
+a set out: it is no estimate, so no key is ever lost, and a set without a witness
+is always checked on all rows. These are keys and sets with very few repeats.
 """
 
 from __future__ import annotations
@@ -23,6 +23,8 @@ MAX_COLUMNS = 3
 # One in so many values of each set is looked at before the exact check.
 SLICES = 64
 SETS_PER_PASS = 64
+# About so many rows are looked at for witnesses before all rows are.
+FIRST_ROWS = 50_000
 
 
 def _ruled_out(df: DataFrame, sets: Sequence[tuple[str, ...]], slices: int) -> set[int]:
@@ -31,13 +33,17 @@ def _ruled_out(df: DataFrame, sets: Sequence[tuple[str, ...]], slices: int) -> s
     Values are told apart by two hashes of 64 bits. Hashes pass over nulls, so
     the places of nulls are hashed as well.
     """
-    entries = []
-    for no, names in enumerate(sets):
-        parts = [p for n in names for p in (column(n), column(n).isNull())]
-        entries.append(F.struct(
-            F.lit(no).alias("no"), F.xxhash64(*parts).alias("h"), F.xxhash64(F.lit(1), *parts).alias("other")
-        ))
-    values = df.select(F.inline(F.array(*entries))).filter(F.pmod("h", F.lit(slices)) == 0)
+    entries, names = [], sorted({n for names in sets for n in names})
+    place = {n: i for i, n in enumerate(names)}
+    # Each column is hashed once, however many sets hold it.
+    hashed = df.select(*[
+        F.xxhash64(F.lit(salt), column(n), column(n).isNull()).alias(f"{what}{i}")
+        for n, i in place.items() for salt, what in enumerate("ho")
+    ])
+    for no, names_of_set in enumerate(sets):
+        h, other = (F.xxhash64(*[F.col(f"{what}{place[n]}") for n in names_of_set]) for what in "ho")
+        entries.append(F.struct(F.lit(no).alias("no"), h.alias("h"), other.alias("other")))
+    values = hashed.select(F.inline(F.array(*entries))).filter(F.pmod("h", F.lit(slices)) == 0)
     twice = values.groupBy("no", "h", "other").count().filter("count > 1")
     return {row["no"] for row in twice.select("no").distinct().collect()}
 
@@ -71,10 +77,14 @@ def unique_keys(
         wanted = set(resolve(df, cols))
         names = [n for n in df.columns if n in wanted]
     found: list[tuple[str, ...]] = []
+    n_rows = df.count()
+    few = df.sample(FIRST_ROWS / n_rows, seed=1) if n_rows > FIRST_ROWS else df
     for size in range(1, min(max_columns, len(names)) + 1):
         for sets in in_groups(list(_candidates(names, size, found)), SETS_PER_PASS):
-            out = _ruled_out(df, sets, slices)
-            found += [s for no, s in enumerate(sets) if no not in out and _is_key(df, s)]
+            out = _ruled_out(few, sets, 1)
+            left = [s for no, s in enumerate(sets) if no not in out]
+            out = _ruled_out(df, left, slices) if left and n_rows > FIRST_ROWS else set()
+            found += [s for no, s in enumerate(left) if no not in out and _is_key(df, s)]
     nulls = {}
     for group in in_groups(found, 32):
         counts = df.agg(*[
