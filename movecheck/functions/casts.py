@@ -135,7 +135,9 @@ def altered(value: Column, own: T.DataType, final: Column, wanted: T.DataType) -
             back, origin = final.cast(wide), try_cast(value, own, wide)
             more = value.rlike(rf"\.[0-9]{{{scale},}}[1-9]")
             powers = value.rlike("[eE]") & (try_cast(value, own, T.DoubleType()) != final.cast("double"))
-            return F.coalesce(final.isNotNull() & ((back != origin) | more | powers), F.lit(False))
+            # Digits alone, no more behind the point than the target has, are all kept.
+            kept = value.rlike(rf"^[+-]?[0-9]+(\.[0-9]{{0,{getattr(wanted, 'scale', 0)}}})?$")
+            return F.coalesce(final.isNotNull() & ~kept & ((back != origin) | more | powers), F.lit(False))
         elif isinstance(wanted, T.DateType):
             back, origin = final.cast("timestamp_ntz"), try_cast(value, own, T.TimestampNTZType())
         else:

@@ -57,8 +57,8 @@ def contract_losses(
     """
     contract = as_contract(contract)
     key, known = name_key(df.sparkSession), names_by_key(df)
-    measures = []
-    for c in contract.columns:
+    measures, read = [], []
+    for i, c in enumerate(contract.columns):
         name = known.get(key(c.source)) if c.present else None
         steps = [c.dtype]
         if decimal and isinstance(c.dtype, T.DecimalType):
@@ -67,12 +67,15 @@ def contract_losses(
             is_null, loses, changes, own = F.lit(True), F.lit(False), F.lit(False), None
         else:
             own = df.schema[name].dataType
-            is_null = column(name).isNull()
             final, at = column(name), own
             for step in steps:
                 final, at = safe_cast(final, at, step), step
-            loses = is_lost(column(name), own, final, at)
-            changes = altered(column(name), own, final, at)
+            # Casts are projected first: counts that share them would each make their own.
+            read += [column(name).alias(f"value{i}"), final.alias(f"final{i}")]
+            value, final = F.col(f"value{i}"), F.col(f"final{i}")
+            is_null = value.isNull()
+            loses = is_lost(value, own, final, at)
+            changes = altered(value, own, final, at)
         gone = is_null if isinstance(c.dtype, T.ArrayType) else is_null | loses
         measures.append(
             Measure(
@@ -90,7 +93,7 @@ def contract_losses(
             )
         )
     labels = ("column_name", "from_type", "to_type")
-    return tidy_counts(df, measures, labels, ("n_nulls", "n_lost", "n_altered", "n_violations"))
+    return tidy_counts(df.select(*read), measures, labels, ("n_nulls", "n_lost", "n_altered", "n_violations"))
 
 
 def null_violations(

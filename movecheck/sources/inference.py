@@ -19,11 +19,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from movecheck.functions.names import column, name_key
-from movecheck.operators.tidy import MEASURED_COLUMNS_PER_PASS, in_groups, text
+from movecheck.operators.tidy import in_groups, text
 from movecheck.sources.contract import NULLABLE, PRESENT, REQUIRED, SOURCE_NAME, TARGET_NAME, TYPE_TEXT
 
 BOOLEAN, INT, LONG, DECIMAL, DOUBLE, DATE, TIMESTAMP, TEXT = (1 << i for i in range(8))
 NUMBERS = INT | LONG | DECIMAL | DOUBLE
+# The tests of more columns outgrow what the JVM compiles; each pass scans its own columns only.
+COLUMNS_PER_PASS = 2
 # Decimal places that every double holds.
 DOUBLE_DIGITS = 15
 # What a typed column's values are held by, and their digits.
@@ -32,9 +34,8 @@ TYPED = {
     "bigint": (LONG | DECIMAL, 19, 0), "float": (DOUBLE, 0, 0), "double": (DOUBLE, 0, 0), "date": (DATE | TIMESTAMP, 0, 0),
     "timestamp_ntz": (TIMESTAMP, 0, 0),
 }
-PLAIN_NUMBER = r"^-?(0|[1-9][0-9]*)(\.[0-9]+)?$"
-# A decimal forgets this sign.
-SIGNED_ZERO = r"^-0(\.0+)?$"
+# Not zeros with a sign, which a decimal forgets.
+PLAIN_NUMBER = r"^(?!-0(\.0+)?$)-?(0|[1-9][0-9]*)(\.[0-9]+)?$"
 ANY_NUMBER = r"^(-?[0-9]+(\.[0-9]+)?(E-?[0-9]+)?|NaN|-?Infinity)$"
 DAY = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
 MOMENT = r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]{1,6})?$"
@@ -46,17 +47,19 @@ def _bit(holds: Column, bits: int) -> Column:
 
 def _held_by(value: Column, plain: Column, digits: Column, scale: Column) -> Column:
     """Bits of the types that hold a text's value and would write it alike."""
-    # Casts are tried only where a pattern says that they can succeed.
+    # Casts are tried only where a pattern says that they can succeed, and patterns only at lengths they match.
     tried = lambda pattern, kind: F.when(value.rlike(pattern), value.try_cast(kind))
-    whole = F.when(plain & (scale == 0) & (digits <= 19), value.try_cast("bigint"))
+    length = F.length(value)
+    is_whole = plain & (scale == 0) & (digits <= 19)
+    number = F.when(is_whole & (digits > 9), value.try_cast("bigint"))
     bits = [
         _bit(value.isin("true", "false"), BOOLEAN),
-        _bit(whole.isNotNull(), LONG),
-        _bit(whole.between(-(1 << 31), (1 << 31) - 1), INT),
+        _bit(is_whole & ((digits <= 18) | number.isNotNull()), LONG),
+        _bit(is_whole & ((digits <= 9) | number.between(-(1 << 31), (1 << 31) - 1)), INT),
         _bit(plain & (digits + scale <= 38), DECIMAL),
         _bit((plain & (digits + scale <= DOUBLE_DIGITS)) | (tried(ANY_NUMBER, "double").cast("string") == value), DOUBLE),
-        _bit(tried(DAY, "date").cast("string") == value, DATE | TIMESTAMP),
-        _bit(tried(MOMENT, "timestamp_ntz").cast("string") == value, TIMESTAMP),
+        _bit(~plain & (length == 10) & (tried(DAY, "date").cast("string") == value), DATE | TIMESTAMP),
+        _bit(~plain & (length >= 19) & (tried(MOMENT, "timestamp_ntz").cast("string") == value), TIMESTAMP),
     ]
     return reduce(lambda a, b: a.bitwiseOR(b), bits, F.lit(TEXT))
 
@@ -85,16 +88,18 @@ def type_states(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
     if not names:
         raise ValueError("no column to infer")
     parts = []
-    for group in in_groups(list(enumerate(names)), MEASURED_COLUMNS_PER_PASS):
+    for group in in_groups(list(enumerate(names)), COLUMNS_PER_PASS):
         textual = [i for i, n in group if isinstance(df.schema[n].dataType, T.StringType)]
         rows = df.select(*[column(n).alias(f"c{i}") for i, n in group])
         rows = rows.select(
             "*",
-            *[(F.col(f"c{i}").rlike(PLAIN_NUMBER) & ~F.col(f"c{i}").rlike(SIGNED_ZERO)).alias(f"plain{i}") for i in textual],
-            *[F.split(F.ltrim(f"c{i}", F.lit("-")), r"\.").alias(f"sides{i}") for i in textual],
+            *[F.col(f"c{i}").rlike(PLAIN_NUMBER).alias(f"plain{i}") for i in textual],
+            *[F.instr(f"c{i}", ".").alias(f"point{i}") for i in textual],
         )
-        size = lambda i, side: F.when(F.col(f"plain{i}"), F.coalesce(F.length(F.try_element_at(f"sides{i}", F.lit(side))), F.lit(0)))
-        rows = rows.select("*", *[size(i, side).alias(f"{what}{i}") for i in textual for side, what in ((1, "digits"), (2, "scale"))])
+        whole = lambda i: F.when(F.col(f"point{i}") > 0, F.col(f"point{i}") - 1).otherwise(F.length(f"c{i}"))
+        behind = lambda i: F.when(F.col(f"point{i}") > 0, F.length(f"c{i}") - F.col(f"point{i}")).otherwise(0)
+        sizes = {"digits": lambda i: whole(i) - F.when(F.col(f"c{i}").startswith("-"), 1).otherwise(0), "scale": behind}
+        rows = rows.select("*", *[F.when(F.col(f"plain{i}"), size(i)).alias(f"{what}{i}") for i in textual for what, size in sizes.items()])
         held = [_held_by(F.col(f"c{i}"), *[F.col(f"{w}{i}") for w in ("plain", "digits", "scale")]).alias(f"held{i}") for i in textual]
         rows = rows.select("*", *held)
         wanted, out = [F.count(F.lit(1)).alias("n_rows")], []
