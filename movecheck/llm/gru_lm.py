@@ -21,6 +21,7 @@ document.
 from __future__ import annotations
 
 import heapq
+import itertools
 import math
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
@@ -78,16 +79,6 @@ def initial(frequencies: np.ndarray, seed: int = 5) -> np.ndarray:
     return network.weights
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
-
-
-def _exponentials(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(exponentials, their sums by row); logits beyond reach of floats are cut."""
-    e = np.exp(np.clip(logits, -80, 80))
-    return e, e @ np.ones(e.shape[1], e.dtype)
-
-
 @dataclass
 class Lanes:
     """Documents laid end to end in lanes, the longest lane first.
@@ -136,78 +127,159 @@ def lay_out(texts: Sequence[np.ndarray], lanes: int = LANES) -> Lanes:
     return Lanes(symbols, fresh, width, spans)
 
 
+def windows(width: np.ndarray, steps: int, rows: int) -> Iterator[tuple[int, int]]:
+    """Runs of at most so many steps, and of at most so many rows (one step at least)."""
+    upto, start = np.cumsum(width), 0
+    while start < len(width):
+        before = upto[start - 1] if start else 0
+        most = int(np.searchsorted(upto, before + rows, side="right"))
+        stop = max(min(most, start + steps), start + 1)
+        yield start, stop
+        start = stop
+
+
+@dataclass
+class Steps:
+    """Steps of a window, end to end: a row per step and lane that still runs.
+
+    ``cuts`` has the offsets of the steps, ``fresh`` the lanes where documents
+    begin. The arrays are the state before and after, the two gates, what the
+    reset gate lets through and the candidate; the next window overwrites them.
+    """
+
+    cuts: list[int]
+    fresh: list[np.ndarray]
+    before: np.ndarray
+    gates: np.ndarray
+    through: np.ndarray
+    candidate: np.ndarray
+    after: np.ndarray
+
+
 class Runner:
-    """Steps a network through lanes, window by window."""
+    """Steps a network through lanes, window by window.
+
+    Arrays are made once, for windows of so many rows, and hold the gates one
+    after the other: numpy takes whole blocks several times as fast as columns.
+    """
 
-    def __init__(self, network: Network, lanes: Lanes):
+    def __init__(self, network: Network, lanes: Lanes, rows: int = WINDOW * LANES):
         self.network, self.lanes = network, lanes
-        self.state = np.zeros((lanes.symbols.shape[1], HIDDEN), np.float32)
+        n = lanes.symbols.shape[1]
+        rows = min(max(rows, n), max(int(lanes.width.sum()), 1))
+        self.state = np.zeros((n, HIDDEN), np.float32)
         # What is read at a step is the symbol before it; a document begins with END.
         self.read = np.zeros_like(lanes.symbols)
         self.read[1:] = lanes.symbols[:-1]
         self.read[lanes.fresh] = END
-
-    def forward(self, start: int, stop: int) -> list[tuple]:
+        begun, self.begun_lanes = np.nonzero(lanes.fresh)
+        self.begun = np.searchsorted(begun, np.arange(len(lanes.symbols) + 1))
+        self.before, self.through, self.candidate, self.after = np.empty((4, rows, HIDDEN), np.float32)
+        self.gates = np.empty((2, rows, HIDDEN), np.float32)
+        self.inputs, self.backs = np.empty((2, 3 * n * HIDDEN), np.float32)
+        self.change = np.empty((n, HIDDEN), np.float32)
+
+    def forward(self, start: int, stop: int) -> Steps:
         """States and gates of the steps; the last state is kept."""
-        net, lanes, out = self.network, self.lanes, []
-        into, back = net.into, net.back
-        for t in range(start, stop):
-            w = int(lanes.width[t])
-            h = np.where(lanes.fresh[t, :w, None], np.float32(0), self.state[:w])
-            x, hu = into[self.read[t, :w]], h @ back
-            gates = _sigmoid(x[:, : 2 * HIDDEN] + hu[:, : 2 * HIDDEN])
-            z, r = gates[:, :HIDDEN], gates[:, HIDDEN:]
-            n = np.tanh(x[:, 2 * HIDDEN :] + r * hu[:, 2 * HIDDEN :])
-            new = n + z * (h - n)
-            self.state[:w] = new
-            out.append((h, z, r, n, hu[:, 2 * HIDDEN :], new))
-        return out
+        into = self.network.into.reshape(SYMBOLS, 3, HIDDEN).transpose(1, 0, 2).copy()
+        back = self.network.back.reshape(HIDDEN, 3, HIDDEN).transpose(1, 0, 2).copy()
+        # The sigmoids want their arguments negated.
+        np.negative(into[:2], out=into[:2])
+        np.negative(back[:2], out=back[:2])
+        widths = self.lanes.width[start:stop].tolist()
+        cuts = [0, *itertools.accumulate(widths)]
+        begun = self.begun[start : stop + 1].tolist()
+        fresh = [self.begun_lanes[a:b] for a, b in zip(begun, begun[1:])]
+        state = self.state
+        for t, w, a, b, firsts in zip(range(start, stop), widths, cuts, cuts[1:], fresh):
+            h, g, n, new = self.before[a:b], self.gates[:, a:b], self.candidate[a:b], self.after[a:b]
+            through, change = self.through[a:b], self.change[:w]
+            x = self.inputs[: 3 * w * HIDDEN].reshape(3, w, HIDDEN)
+            hu = self.backs[: 3 * w * HIDDEN].reshape(3, w, HIDDEN)
+            h[:] = state[:w]
+            if len(firsts):
+                h[firsts] = 0
+            into.take(self.read[t, :w], axis=1, out=x, mode="clip")
+            np.matmul(h, back, out=hu)
+            np.add(x[:2], hu[:2], out=g)
+            np.exp(g, out=g)
+            g += 1
+            np.reciprocal(g, out=g)
+            through[:] = hu[2]
+            np.multiply(g[1], through, out=n)
+            n += x[2]
+            np.tanh(n, out=n)
+            np.subtract(h, n, out=change)
+            change *= g[0]
+            np.add(n, change, out=new)
+            state = new
+        self.state[: len(state)] = state
+        rows = cuts[-1]
+        return Steps(
+            cuts, fresh, self.before[:rows], self.gates[:, :rows], self.through[:rows], self.candidate[:rows],
+            self.after[:rows],
+        )
 
     def targets(self, start: int, stop: int) -> np.ndarray:
-        return np.concatenate([self.lanes.symbols[t, : self.lanes.width[t]] for t in range(start, stop)])
+        return self._running(self.lanes.symbols, start, stop)
+
+    def symbols_read(self, start: int, stop: int) -> np.ndarray:
+        return self._running(self.read, start, stop)
+
+    def _running(self, values: np.ndarray, start: int, stop: int) -> np.ndarray:
+        """The values of the steps in the lanes that still run, end to end."""
+        return np.concatenate([values[t, : self.lanes.width[t]] for t in range(start, stop)])
 
 
 def output(net: Network, states: np.ndarray, targets: np.ndarray, gradient: np.ndarray | None = None):
-    """Log probabilities of the targets; adds to the gradient if one is given.
+    """Log probabilities of the targets; sets their gradient if one is given.
 
     With a gradient also returns that of the states.
     """
     # In the order of classes, so that each class is one run of rows.
-    order = np.argsort((targets // PER_CLASS).astype(np.int16), kind="stable")
-    states, targets = states[order], targets[order]
-    classes, words = np.divmod(targets, PER_CLASS)
-    cuts = np.searchsorted(classes, np.arange(CLASSES + 1))
-    rows = np.arange(len(targets))
-    logits = states @ net.class_w
-    logits += net.class_b
-    e, sums = _exponentials(logits)
-    logs = logits[rows, classes] - np.log(sums)
-    grad = Network(gradient) if gradient is not None else None
-    if grad:
-        e /= sums[:, None]
-        e[rows, classes] -= 1
-        grad.class_w += states.T @ e
-        grad.class_b += e.sum(0)
-        d_states = e @ net.class_w.T
-    for c in range(CLASSES):
-        own = slice(cuts[c], cuts[c + 1])
-        if cuts[c] == cuts[c + 1]:
-            continue
-        logits = states[own] @ net.word_w[c]
-        logits += net.word_b[c]
-        e, sums = _exponentials(logits)
-        at = rows[: len(sums)], words[own]
-        logs[own] += logits[at] - np.log(sums)
-        if grad:
-            e /= sums[:, None]
-            e[at] -= 1
-            grad.word_w[c] += states[own].T @ e
-            grad.word_b[c] += e.sum(0)
-            d_states[own] += e @ net.word_w[c].T
-    out = np.empty_like(logs)
-    out[order] = logs
-    if not grad:
+    order = np.argsort((targets // PER_CLASS).astype(np.uint8), kind="stable")
+    classes, words = np.divmod(targets[order], PER_CLASS)
+    cuts = np.searchsorted(classes, np.arange(CLASSES + 1)).tolist()
+    runs = [(c, slice(a, b)) for c, a, b in zip(range(CLASSES), cuts, cuts[1:]) if a < b]
+    n = len(targets)
+    # A column of ones takes the biases along.
+    ordered = np.ones((n, HIDDEN + 1), np.float32)
+    ordered[:, :HIDDEN] = states.take(order, axis=0)
+    class_w = np.concatenate([net.class_w, net.class_b[None]])
+    word_w = np.concatenate([net.word_w, net.word_b[:, None]], axis=1)
+    # First the classes of all rows, then the words within them: as many in each as classes.
+    logits = np.empty((2 * n, PER_CLASS), np.float32)
+    np.matmul(ordered, class_w, out=logits[:n])
+    within = logits[n:]
+    for c, own in runs:
+        np.matmul(ordered[own], word_w[c], out=within[own])
+    at = np.arange(0, logits.size, PER_CLASS)
+    at[:n] += classes
+    at[n:] += words
+    flat = logits.reshape(-1)
+    chosen = flat.take(at)
+    # States are within -1 and 1; logits beyond reach of floats are cut.
+    if max(np.abs(class_w).sum(0).max(), np.abs(word_w).sum(1).max()) > 80:
+        np.clip(logits, -80, 80, out=logits)
+    np.exp(logits, out=logits)
+    sums = logits @ np.ones(PER_CLASS, np.float32)
+    logs = chosen - np.log(sums)
+    out = np.empty(n, np.float32)
+    out[order] = logs[:n] + logs[n:]
+    if gradient is None:
         return out
+    grad = Network(gradient)
+    logits *= (1 / sums)[:, None]
+    flat[at] -= 1
+    d_classes = ordered.T @ logits[:n]
+    grad.class_w[:], grad.class_b[:] = d_classes[:HIDDEN], d_classes[HIDDEN]
+    d_states = logits[:n] @ net.class_w.T
+    d_words, d_within = np.zeros_like(word_w), np.empty_like(d_states)
+    for c, own in runs:
+        np.matmul(ordered[own].T, within[own], out=d_words[c])
+        np.matmul(within[own], net.word_w[c].T, out=d_within[own])
+    grad.word_w[:], grad.word_b[:] = d_words[:, :HIDDEN], d_words[:, HIDDEN]
+    d_states += d_within
     back = np.empty_like(d_states)
     back[order] = d_states
     return out, back
@@ -215,37 +287,42 @@ def output(net: Network, states: np.ndarray, targets: np.ndarray, gradient: np.n
 
 def window_gradient(runner: Runner, start: int, stop: int) -> tuple[np.ndarray, int]:
     """Gradient of the window's mean negative log likelihood, and its tokens."""
-    net, lanes = runner.network, runner.lanes
+    net = runner.network
     steps = runner.forward(start, stop)
     gradient = np.zeros(SIZE, np.float32)
     targets = runner.targets(start, stop)
-    _, d_states = output(net, np.concatenate([s[5] for s in steps]), targets, gradient)
+    _, d = output(net, steps.after, targets, gradient)
     grad = Network(gradient)
-    back = net.back
-    carry = np.zeros((lanes.symbols.shape[1], HIDDEN), np.float32)
-    read, d_read = [], []
-    at = len(targets)
-    for t in range(stop - 1, start - 1, -1):
-        h, z, r, n, hn, _ = steps[t - start]
-        w = len(h)
-        at -= w
-        d = d_states[at : at + w] + carry[:w]
-        d_n = d * (1 - z) * (1 - n * n)
-        d_gates = np.concatenate(
-            [d * (h - n) * z * (1 - z), d_n * hn * r * (1 - r), d_n], axis=1
-        )
-        d_hu = d_gates.copy()
-        d_hu[:, 2 * HIDDEN :] *= r
-        grad.back += h.T @ d_hu
-        d_h = d * z + d_hu @ back.T
-        carry[:w] = np.where(lanes.fresh[t, :w, None], np.float32(0), d_h)
-        read.append(runner.read[t, :w])
-        d_read.append(d_gates)
-    symbols, rows = np.concatenate(read), np.concatenate(d_read)
+    z, r = steps.gates
+    # What a state's gradient is times for that of the candidate, and of what is
+    # added up from the state before in the two gates and the candidate.
+    to_candidate = 1 - steps.candidate * steps.candidate
+    to_candidate *= 1 - z
+    to_back = np.empty((len(d), 3, HIDDEN), np.float32)
+    np.multiply((steps.before - steps.candidate) * z, 1 - z, out=to_back[:, 0])
+    np.multiply(to_candidate, r, out=to_back[:, 2])
+    np.multiply(to_back[:, 2] * steps.through, 1 - r, out=to_back[:, 1])
+    back = net.back.T.copy()
+    flat = to_back.reshape(len(d), 3 * HIDDEN)
+    carry = None
+    for a, b, firsts in zip(steps.cuts[-2::-1], steps.cuts[:0:-1], reversed(steps.fresh)):
+        own = d[a:b]
+        if carry is not None:
+            own[: len(carry)] += carry
+        to_back[a:b] *= own[:, None]
+        carry = flat[a:b] @ back
+        carry += own * z[a:b]
+        if len(firsts):
+            carry[firsts] = 0
+    grad.back[:] = steps.before.T @ flat
+    np.multiply(d, to_candidate, out=to_back[:, 2])
+    symbols = runner.symbols_read(start, stop).astype(np.int16)
     order = np.argsort(symbols, kind="stable")
-    firsts = np.flatnonzero(np.diff(symbols[order], prepend=-1))
-    grad.into[symbols[order][firsts]] += np.add.reduceat(rows[order], firsts, axis=0)
-    return gradient / max(len(targets), 1), len(targets)
+    symbols = symbols[order]
+    firsts = np.flatnonzero(np.diff(symbols, prepend=-1))
+    grad.into[symbols[firsts]] = np.add.reduceat(flat.take(order, axis=0), firsts, axis=0)
+    gradient /= len(targets)
+    return gradient, len(targets)
 
 
 def train_on(weights: np.ndarray, texts: Sequence[np.ndarray], memory: np.ndarray, rate: float) -> int:
@@ -253,11 +330,13 @@ def train_on(weights: np.ndarray, texts: Sequence[np.ndarray], memory: np.ndarra
     if not texts:
         return 0
     runner = Runner(Network(weights), lay_out(texts))
-    tokens, steps = 0, len(runner.lanes.symbols)
-    for start in range(0, steps, WINDOW):
-        gradient, n = window_gradient(runner, start, min(start + WINDOW, steps))
+    tokens = 0
+    for start, stop in windows(runner.lanes.width, WINDOW, WINDOW * LANES):
+        gradient, n = window_gradient(runner, start, stop)
         memory += gradient * gradient
-        weights -= rate * gradient / (np.sqrt(memory) + 1e-4)
+        gradient *= rate
+        gradient /= np.sqrt(memory) + np.float32(1e-4)
+        weights -= gradient
         tokens += n
     return tokens
 
@@ -267,23 +346,20 @@ def log_likelihoods(weights: np.ndarray, texts: Sequence[np.ndarray]) -> np.ndar
     if not texts:
         return np.zeros(0)
     runner = Runner(Network(weights), lay_out(texts))
-    lanes, steps = runner.lanes, len(runner.lanes.symbols)
+    lanes = runner.lanes
     sums = np.zeros(len(texts))
     owner = np.zeros(lanes.symbols.shape[1], np.int64)
     begins = sorted(((first, lane, i) for i, (lane, first, _) in enumerate(lanes.spans)), reverse=True)
-    for start in range(0, steps, WINDOW):
-        stop = min(start + WINDOW, steps)
-        states = np.concatenate([s[5] for s in runner.forward(start, stop)])
-        found = output(runner.network, states, runner.targets(start, stop))
-        at = 0
-        for t in range(start, stop):
+    # Where few lanes run, many steps make a window.
+    for start, stop in windows(lanes.width, len(lanes.width), WINDOW * LANES):
+        steps = runner.forward(start, stop)
+        found = output(runner.network, steps.after, runner.targets(start, stop))
+        for t, a, b in zip(range(start, stop), steps.cuts, steps.cuts[1:]):
             while begins and begins[-1][0] == t:
                 _, lane, i = begins.pop()
                 owner[lane] = i
-            w = lanes.width[t]
             # Every lane has a document of its own.
-            sums[owner[:w]] += found[at : at + w]
-            at += w
+            sums[owner[: b - a]] += found[a:b]
     return sums
 
 
@@ -343,12 +419,10 @@ class Vocabulary:
         out[FIRST_WORD : FIRST_WORD + len(top)] = top
         return out
 
-    def codes(self, words: pa.Array) -> np.ndarray:
-        """Place of each word among the frequent ones, -1 for others."""
-        coded = words.dictionary_encode()
-        known = pa.compute.index_in(coded.dictionary.cast(pa.string()), pa.array(self.words, pa.string()))
-        places = known.fill_null(-1).to_numpy()
-        return places[coded.indices.to_numpy()] if len(words) else np.zeros(0, np.int32)
+    def codes(self, words: pa.Array, most: int = FREQUENT) -> np.ndarray:
+        """Place of each word among the first of the frequent ones, -1 for others."""
+        known = pa.compute.index_in(words, pa.array(self.words[:most], words.type))
+        return known.fill_null(-1).to_numpy()
 
 
 def symbol_texts(codes: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
@@ -362,7 +436,7 @@ def _texts(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary) -> Iterato
     for batch in batches:
         for part in slices(batch, "text", SLICE):
             words, offsets = split_words(part.column(0))
-            yield symbol_texts(vocabulary.codes(words), offsets)
+            yield symbol_texts(vocabulary.codes(words, SYMBOLS - FIRST_WORD), offsets)
 
 
 def gather_vocabulary(training: DataFrame, counts: DataFrame) -> Vocabulary:
