@@ -12,21 +12,24 @@ documents that are equally deep are handled at once, so a level costs a few
 array operations whatever the number of its intervals.
 
 How many documents hold a link is a count over the whole corpus. Documents stay
-in blocks of about ``BLOCK`` bytes of text, one row each, which also say how
-often each pair occurs in them. Only the distinct pairs of a block are shuffled,
-once to be summed and once to bring the sums back to their block.
+in blocks of about ``BLOCK`` bytes of text, which also say how often each pair
+occurs in them. Only the distinct pairs of a block are shuffled, once to be
+summed and once to bring the sums back to their block. A block is cut in slices
+of ``SLICE`` bytes and kept in rows of about ``CHUNK`` links' places, so neither
+the arrays of a task nor the rows of Spark grow with the block.
 
 Neither tokenizer looks across certain places: the first not across the ends of
 its pre-tokens, the second not between two bytes that no piece of its vocabulary
 holds side by side, as nothing can be merged there. So the distinct runs of a
-slice are encoded once, and short ones are remembered.
+slice are encoded once, and short ones are remembered, by each tokenizer in so
+many bytes as ``REMEMBERED`` says.
 """
 
 from __future__ import annotations
 
 import hashlib
 import json
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from functools import lru_cache
 from itertools import chain
@@ -43,11 +46,17 @@ from movecheck.llm.text import distinct, slices, spread
 from movecheck.sources.sinks import saved
 
 BLOCK = 4 << 20
+# Bytes of text that are cut at once, and places of pairs in a row of a block.
+SLICE = 1 << 20
+CHUNK = 1 << 15
+# Rows of blocks are wide: readers hold a row group's rows at once.
+ROW_GROUPS = {"parquet.block.size": 16 << 20, "parquet.block.size.row.check.min": 8}
 # Ids take so many bits in the number of a pair.
 ID_BITS = 20
-# Runs longer than this are not remembered; so many bytes of runs and ids are.
+# Runs longer than this are not remembered; so many bytes of runs and ids are, about 150 of overhead each.
 LONG_RUN = 200
-REMEMBERED = 64 << 20
+REMEMBERED = 48 << 20
+OVERHEAD = 150
 # Groups of more links are counted by distinct ids before they are paired.
 LARGE_GROUP = 4096
 # Fixed value: how pieces write a space.
@@ -63,6 +72,48 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
+class Remembered:
+    """Ids of distinct runs, by way of a cache bounded in bytes; ``encode`` gives those it lacks."""
+
+    def __init__(self, encode: Callable[[list[bytes]], list[bytes]]):
+        self.encode = encode
+        self.cache: dict[bytes, bytes] = {}
+        self.held = 0
+
+    def known(self, runs: Sequence[bytes]) -> list[bytes]:
+        found = list(map(self.cache.get, runs))
+        missing = [i for i, ids in enumerate(found) if ids is None]
+        if missing:
+            asked = [runs[i] for i in missing]
+            new = self.encode(asked)
+            for i, ids in zip(missing, new):
+                found[i] = ids
+            short = [(run, ids) for run, ids in zip(asked, new) if len(run) <= LONG_RUN]
+            size = sum(len(run) + len(ids) + OVERHEAD for run, ids in short)
+            if self.held + size > REMEMBERED:
+                self.cache, self.held = {}, 0
+            if size <= REMEMBERED:
+                self.cache.update(short)
+                self.held += size
+        return found
+
+
+class BoundedMerger(Merger):
+    """Merges whose slices are remembered by their bytes, not by their number."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        super().__init__(ranks, 0)
+        self.remembered = Remembered(self._merged)
+
+    def _merged(self, pieces: list[bytes]) -> list[bytes]:
+        made = super().known(pieces)
+        self.cache = {}
+        return [made[piece] for piece in pieces]
+
+    def known(self, pieces: Sequence[bytes]) -> dict[bytes, bytes]:
+        return dict(zip(pieces, self.remembered.known(pieces)))
+
+
 @dataclass(frozen=True)
 class ByteLevel:
     """The first tokenizer: byte-level merges of a tokenizers file."""
@@ -86,7 +137,7 @@ class ByteLevel:
         ranks = {made[i]: i for i in order} | {token: i for token, i in vocabulary.items() if len(token) == 1}
         lengths = np.zeros(max(ranks.values()) + 1, np.int64)
         lengths[list(ranks.values())] = [len(token) for token in ranks]
-        return cls(Merger(ranks), lengths)
+        return cls(BoundedMerger(ranks), lengths)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts end to end, offsets of the texts in them)."""
@@ -114,8 +165,7 @@ class Pieces:
                 self.joined[list(octets[:-1]), list(octets[1:])] = True
         if self.joined[BREAK, :128].any() or self.joined[:128, BREAK].any():
             raise ValueError("a piece reaches across a line break")
-        self.cache: dict[bytes, bytes] = {}
-        self.held = 0
+        self.remembered = Remembered(self._encode)
 
     @classmethod
     @lru_cache(2)
@@ -145,22 +195,6 @@ class Pieces:
                     out[i] = BAD
         return out
 
-    def known(self, runs: list[bytes]) -> list[bytes]:
-        """The ids of distinct runs, by way of a bounded cache."""
-        found = list(map(self.cache.get, runs))
-        missing = [i for i, ids in enumerate(found) if ids is None]
-        if missing:
-            asked = [runs[i] for i in missing]
-            new = self._encode(asked)
-            for i, ids in zip(missing, new):
-                found[i] = ids
-            short = [(run, ids) for run, ids in zip(asked, new) if len(run) <= LONG_RUN]
-            if self.held > REMEMBERED:
-                self.cache, self.held = {}, 0
-            self.cache.update(short)
-            self.held += sum(len(run) + len(ids) + 150 for run, ids in short)
-        return found
-
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts end to end, offsets); the texts begin with a space. -1 stands in texts that pieces do not give back."""
         parts = [t.encode("utf-8", "surrogatepass") for t in texts]
@@ -172,7 +206,7 @@ class Pieces:
         starts = np.append(np.flatnonzero(begins), len(data))
         runs = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts) - 1, [None, pa.py_buffer(starts), pa.py_buffer(data)])
         index, uniques = distinct(runs)
-        ids, stops = spread(self.known(uniques), index)
+        ids, stops = spread(self.remembered.known(uniques), index)
         return ids, np.concatenate([[0], stops])[np.searchsorted(starts, np.concatenate([[0], ends]))]
 
 
@@ -355,7 +389,7 @@ def aligned_groups(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text", BLOCK):
+            for part in slices(batch, "text", SLICE):
                 found = align(part.column("text").to_pylist(), path_a, path_b)
                 starts = np.concatenate([[0], found.ends_a[found.docs_a[1:] - 1]]) if len(found.ends_a) else np.zeros(part.num_rows + 1, np.int64)
                 starts[1:][found.docs_a[1:] == 0] = 0
@@ -374,40 +408,75 @@ def aligned_groups(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
 
 DOCUMENT = {"doc_ids": "long", "n_a": "long", "n_b": "long", "n_groups": "long", "n_links": "long", "digests": "string"}
 LINKS = {"pairs": "long", "held": "long", "stops": "long", "at": "int", "times": "long"}
-BLOCKS = ", ".join(["block long", *[f"{name} array<{kind}>" for name, kind in (DOCUMENT | LINKS).items()]])
+BLOCKS = ", ".join(["block long", "first long", *[f"{name} array<{kind}>" for name, kind in (DOCUMENT | LINKS).items()]])
 KINDS = {"long": pa.int64(), "int": pa.int32(), "string": pa.string()}
 
 
+def block_links(part: pa.RecordBatch, path_a: str, path_b: str, size: int) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray]:
+    """(counts and digests of its documents, keys and links as :func:`pairs_of` gives them) for one block.
+
+    The block is cut in slices of ``size`` bytes of text, one after the other.
+    """
+    columns: dict[str, list] = {name: [] for name in DOCUMENT if name != "doc_ids"}
+    keys, times, first = [], [], 0
+    for piece in slices(part, "text", size):
+        n = piece.num_rows
+        found = align(piece.column("text").to_pylist(), path_a, path_b)
+        a, a_end, b, b_end = found.groups.T
+        n_links = np.zeros(n, np.int64)
+        np.add.at(n_links, found.owners, (a_end - a) * (b_end - b))
+        own = np.diff(found.docs_a), np.diff(found.docs_b), np.bincount(found.owners, minlength=n), n_links, group_digests(found)
+        for name, values in zip(columns, own):
+            columns[name].append(values)
+        own_keys, own_times = pairs_of(found)
+        keys.append(own_keys + (first << 2 * ID_BITS))
+        times.append(own_times)
+        first += n
+    return {name: np.concatenate(values) for name, values in columns.items()}, np.concatenate(keys), np.concatenate(times)
+
+
+def runs_of(ends: np.ndarray, size: int) -> list[tuple[int, int]]:
+    """Runs of items that end at most ``size`` behind the run's start, one item at least; ``ends`` ascend."""
+    found, start = [], 0
+    while start < len(ends):
+        before = ends[start - 1] if start else 0
+        stop = max(int(np.searchsorted(ends, before + size, side="right")), start + 1)
+        found.append((start, stop))
+        start = stop
+    return found
+
+
 def aligned_blocks(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
-    """A row per block of documents.
+    """A few rows per block of documents, each with a run of these.
 
-    For its documents: ids, counts and digests. For its links: the distinct pairs
-    and how many of its documents hold each; and document after document (up to
-    ``stops``) the places of its pairs among these with the number of its links.
+    For its documents: ids, counts and digests; and document after document (up to
+    ``stops``) the places of its pairs among the block's distinct pairs with the
+    number of its links. Of these pairs each row has a share, from place ``first``
+    on, and how many of the block's documents hold each.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = TaskContext.get().partitionId() << 32
         for batch in batches:
             for part in slices(batch, "text", BLOCK):
-                n = part.num_rows
-                found = align(part.column("text").to_pylist(), path_a, path_b)
-                a, a_end, b, b_end = found.groups.T
-                n_links = np.zeros(n, np.int64)
-                np.add.at(n_links, found.owners, (a_end - a) * (b_end - b))
-                keys, times = pairs_of(found)
+                columns, keys, times = block_links(part, path_a, path_b, SLICE)
                 pairs, at = np.unique(keys & ((1 << 2 * ID_BITS) - 1), return_inverse=True)
-                row = {
-                    "doc_ids": part.column("doc_id"), "n_a": np.diff(found.docs_a), "n_b": np.diff(found.docs_b),
-                    "n_groups": np.bincount(found.owners, minlength=n), "n_links": n_links, "digests": group_digests(found),
-                    "pairs": pairs, "held": np.bincount(at, minlength=len(pairs)),
-                    "stops": np.searchsorted(keys, np.arange(1, n + 1) << 2 * ID_BITS), "at": at, "times": times,
-                }
-                columns = [
-                    pa.ListArray.from_arrays(pa.array([0, len(row[name])], pa.int32()), row[name] if name == "doc_ids" else pa.array(row[name], KINDS[kind]))
-                    for name, kind in (DOCUMENT | LINKS).items()
-                ]
-                yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), *columns], ["block", *row])
+                held = np.bincount(at, minlength=len(pairs))
+                stops = np.searchsorted(keys, np.arange(1, part.num_rows + 1) << 2 * ID_BITS)
+                rows = runs_of(stops, CHUNK)
+                for i, (start, stop) in enumerate(rows):
+                    low, high = len(pairs) * i // len(rows), len(pairs) * (i + 1) // len(rows)
+                    begin, end = int(stops[start - 1]) if start else 0, int(stops[stop - 1])
+                    row = {
+                        "doc_ids": part.column("doc_id").slice(start, stop - start), **{name: values[start:stop] for name, values in columns.items()},
+                        "pairs": pairs[low:high], "held": held[low:high],
+                        "stops": stops[start:stop] - begin, "at": at[begin:end], "times": times[begin:end],
+                    }
+                    lists = [
+                        pa.ListArray.from_arrays(pa.array([0, len(row[name])], pa.int32()), row[name] if name == "doc_ids" else pa.array(row[name], KINDS[kind]))
+                        for name, kind in (DOCUMENT | LINKS).items()
+                    ]
+                    yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([low], pa.int64()), *lists], ["block", "first", *row])
                 block += 1
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, BLOCKS)
@@ -429,11 +498,14 @@ RESULT = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best l
 
 def _resolved(blocks: pa.Table, marks: pa.Table) -> pa.Table:
     """The documents of one block, with the sums over their links."""
+    # No text is cut here: what the tokenizers hold would only stand beside the JVM's sorts.
+    ByteLevel.load.cache_clear()
+    Pieces.load.cache_clear()
+    mark = np.zeros(marks.num_rows, np.int64)
+    mark[marks.column("place").to_numpy()] = marks.column("mark").to_numpy()
     out = []
     for i in range(blocks.num_rows):
         row = {name: blocks.column(name)[i].values for name in (*DOCUMENT, "stops", "at", "times")}
-        mark = np.zeros(marks.num_rows, np.int64)
-        mark[marks.column("place").to_numpy()] = marks.column("mark").to_numpy()
         own, times = mark[row["at"].to_numpy()], row["times"].to_numpy()
         stops = np.concatenate([[0], row["stops"].to_numpy()])
         total = lambda values: np.diff(np.concatenate([[0], np.cumsum(values)])[stops])
@@ -454,8 +526,10 @@ def aligned_tokens(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     doc_id are documents like any other. An empty table gives no rows. Only
     doc_id and text are read. One text is one task's work.
     """
-    blocks = saved(aligned_blocks(docs, path_a, path_b), "blocks")
+    blocks = saved(aligned_blocks(docs, path_a, path_b), "blocks", ROW_GROUPS)
     counts = saved(pair_counts(blocks), "counts")
-    placed = blocks.select(F.col("block").alias("of_block"), F.posexplode("pairs").alias("place", "pair"))
+    at = (F.col("first") + F.col("of_row")).alias("place")
+    placed = blocks.select(F.col("block").alias("of_block"), "first", F.posexplode("pairs").alias("of_row", "pair")).select("of_block", at, "pair")
     marks = placed.join(counts, "pair").select("of_block", "place", "mark")
-    return blocks.groupBy("block").cogroup(marks.groupBy("of_block")).applyInArrow(_resolved, RESULT)
+    sums = blocks.select("block", *DOCUMENT, "stops", "at", "times")
+    return sums.groupBy("block").cogroup(marks.groupBy("of_block")).applyInArrow(_resolved, RESULT)

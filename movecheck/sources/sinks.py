@@ -146,8 +146,8 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/movecheck/{label}-{uuid.uuid4().hex}"
 
 
-def saved(df: DataFrame, label: str) -> DataFrame:
+def saved(df: DataFrame, label: str, options: Mapping[str, str | int] | None = None) -> DataFrame:
     """The frame written to scratch space and read back: its lineage ends here."""
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.options(**(options or {})).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import hashlib
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -140,3 +142,47 @@ def test_large_groups_and_long_texts(libraries):
 
 def test_empty_table(spark, docs, no_docs):
     assert alignment.aligned_tokens(no_docs, A, B).count() == 0
+
+
+def test_rows_of_a_block_are_small(spark, monkeypatch, libraries):
+    """A block's links are dealt over several rows, and the sums stay those of the whole block."""
+    for name, value in {"BLOCK": 20_000, "SLICE": 700, "CHUNK": 60}.items():
+        monkeypatch.setattr(alignment, name, value)
+    texts = [r[1] for r in corpus(20)] + hostile(200, 9) + [None, ""]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    sizes = alignment.aligned_blocks(frame, A, B).selectExpr("block", "size(doc_ids) as n", "size(at) as places", "size(pairs) as pairs").collect()
+    assert sum(r["n"] for r in sizes) == len(texts) and len({r["block"] for r in sizes}) < len(sizes)
+    assert all(r["places"] <= 60 or r["n"] == 1 for r in sizes)
+    got = sorted(tuple(r) for r in alignment.aligned_tokens(frame, A, B).collect())
+    assert got == [(i, *r) for i, r in enumerate(plain(texts, libraries))]
+
+
+def test_a_block_is_cut_in_small_slices():
+    """Arrays of a slice, not of a block, are held at a time: 65 MB, and 145 for the block at once."""
+    words = [f"word{i % 9973} and" for i in range(250_000)]
+    texts = pa.record_batch([pa.array(range(250)), pa.array([" ".join(words[1000 * i : 1000 * (i + 1)]) for i in range(250)])], ["doc_id", "text"])
+    assert 3 << 20 < texts.nbytes < alignment.BLOCK
+    alignment.align(["word"], A, B)
+    tracemalloc.start()
+    columns, keys, times = alignment.block_links(texts, A, B, alignment.SLICE)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100 << 20
+    whole, all_keys, all_times = alignment.block_links(texts, A, B, alignment.BLOCK)
+    assert (keys == all_keys).all() and (times == all_times).all() and all((columns[c] == whole[c]).all() for c in columns)
+
+
+def test_remembered_runs_take_bounded_bytes(monkeypatch):
+    """Both tokenizers forget by bytes; the first one counted slices, whatever their length, and kept long ones."""
+    monkeypatch.setattr(alignment, "REMEMBERED", 20_000)
+    first, second = alignment.ByteLevel.load.__wrapped__(alignment.ByteLevel, A), alignment.Pieces(B)
+    rng = random.Random(1)
+    for _ in range(20):
+        texts = [" " + "".join(rng.choice("abcdefgh") for _ in range(rng.choice([9, 20, 5000]))) for _ in range(40)]
+        ids, ends = first.encode(texts)
+        assert second.encode(texts)[1][-1] > 0
+        again, stops = alignment.ByteLevel.load(A).encode(texts)
+        assert (ids == again).all() and (ends == stops).all()
+        for held in (first.merger.remembered.cache, second.remembered.cache):
+            assert sum(len(run) + len(ids) for run, ids in held.items()) < 20_000 and max(map(len, held), default=0) <= alignment.LONG_RUN
+        assert not first.merger.cache
