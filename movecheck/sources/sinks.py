@@ -5,7 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -135,8 +136,9 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
     The space is ``spark.checkpoint.dir``. Where that is unset, a local master
     gets a folder of this machine and any other master an error, as executors
-    could not read each other's files. Nothing here removes the folders: the
-    owner of the scratch space does, once the frames read from it are done with.
+    could not read each other's files. Folders that results may be read from are
+    not removed here: the owner of the scratch space does that, once the frames
+    read from them are done with.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
@@ -151,3 +153,34 @@ def saved(df: DataFrame, label: str, options: Mapping[str, str | int] | None = N
     path = scratch_path(df.sparkSession, label)
     df.write.options(**(options or {})).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def saved_in_turn(frames: Iterable[DataFrame], label: str) -> tuple[DataFrame, str]:
+    """(the rows of all frames, their folder); the frames are written one after the other."""
+    path = schema = spark = None
+    for df in frames:
+        path, schema, spark = path or scratch_path(df.sparkSession, label), df.schema, df.sparkSession
+        df.write.mode("append").parquet(path)
+    return spark.read.schema(schema).parquet(path), path
+
+
+def discard(spark: SparkSession, paths: Iterable[str]) -> None:
+    """Remove folders of scratch space that no frame in use reads from."""
+    for path in paths:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+
+
+# Fixed value: Spark's setting for shuffle files that go when their query ends, not when the driver collects garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def short_lived_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Queries that run meanwhile leave no shuffle files; for those whose results are saved."""
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEANUP, before)

@@ -1,9 +1,14 @@
 from __future__ import annotations
 
+import os
+import time
+import uuid
 from collections import Counter
 
 import movecheck as mc
 from movecheck.operators import pairing
+from movecheck.sources import sinks
+from tests.conftest import rows
 
 
 def wide(spark, n, salt):
@@ -41,3 +46,53 @@ def test_values_that_hashes_or_json_pass_over(spark):
     ]
     (row,) = mc.pair_changed_rows(*times).collect()
     assert row["status"] == "changed" and row["changed"] == ["t"]
+
+
+def test_steps_leave_no_shuffle_files_and_no_scratch(spark, monkeypatch, tmp_path):
+    """What a step is done with goes; before, all shuffles and every saved frame stayed."""
+    monkeypatch.setattr(sinks, "scratch_path", lambda spark, label: f"{tmp_path}/{label}-{uuid.uuid4().hex}")
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles
+    before, cleanup = files().size(), spark.conf.get(sinks.CLEANUP)
+    found = mc.pair_changed_rows(*changed_lines(spark))
+    for _ in range(20):
+        if files().size() <= before:
+            break
+        time.sleep(0.5)
+    assert files().size() <= before and spark.conf.get(sinks.CLEANUP) == cleanup
+    assert {name.split("-")[0] for name in os.listdir(tmp_path)} == {"matched", "free", "pairs"}
+    assert Counter(r["status"] for r in found.collect()) == {"changed": 600, "only_left": 300, "only_right": 300}
+
+
+def changed_lines(spark):
+    """1,200 rows of which a quarter each differ in no, one, two and three columns."""
+    left = wide(spark, 1200, 1)
+    turn = "cast(substring(c, 3) as int) % 4"
+    return left, left.selectExpr(
+        "few", f"a + if({turn} > 0, 1, 0) as a", "b", "c", "flag", f"g + if({turn} > 1, 5, 0) as g", f"h + if({turn} > 2, 0.25D, 0) as h", "i", "j"
+    )
+
+
+def test_passes_give_the_same_pairs(spark, monkeypatch, tmp_path):
+    """Tables and frames taken in passes, and blocks with places by slots, give the rows of one pass."""
+    want = rows(mc.pair_changed_rows(*changed_lines(spark)))
+    for name, value in {"PASS_BYTES": 0, "PASS_ROWS": 0, "HOT_BLOCK": 1}.items():
+        monkeypatch.setattr(pairing, name, value)
+    for name, frame in zip(("left", "right"), changed_lines(spark)):
+        frame.repartition(3).write.parquet(str(tmp_path / name))
+    left, right = (spark.read.parquet(str(tmp_path / name)) for name in ("left", "right"))
+    assert len(pairing._shares(left, right, None, None)) == pairing.PASSES
+    assert len(pairing._shares(left.limit(5), right, None, None)) == 1
+    found, names = pairing._difference(left, right, None, None)
+    assert found.select("id").distinct().count() == found.count() == 1800
+    assert rows(mc.pair_changed_rows(left, right)) == want
+
+
+def test_blocks_with_many_pairs_are_looked_up_by_sets(spark):
+    """A segment's block of many rows on both sides makes no pair of each."""
+    left = spark.range(200).selectExpr("'k' as a", "'k' as b", "id % 2 as c", "id as d")
+    right = spark.range(200).selectExpr("'k' as a", "'k' as b", "id % 2 as c", "id + 1000 as d")
+    difference, names = pairing._difference(left, right, None, None)
+    blocks = pairing._blocks(difference, len(names), 1)
+    assert blocks.count() == 400 and blocks.select("no").distinct().count() == 1
+    found = mc.pair_changed_rows(left, right, max_changed=1).collect()
+    assert len(found) == 200 and all(r["changed"] == ["d"] and r["left"]["c"] == r["right"]["c"] for r in found)
